@@ -1,0 +1,5 @@
+"""No stream operators: the workload covered here is batch only.
+
+The per-row operators (filters, prompts, splits, inference) are plain column
+expressions, so they also apply to a streaming DataFrame unchanged.
+"""
