@@ -128,8 +128,10 @@ def _count(col: str, pattern: str) -> str:
 # Over the counts ``w s y c`` made by _counts.
 TEXT_SCORES = """
   token_count,
-  round(0.39::DOUBLE * w / s + 11.8::DOUBLE * y / w - 15.59::DOUBLE, 6) AS flesch_kincaid_grade,
-  round(4.71::DOUBLE * c / w + 0.5::DOUBLE * w / s - 21.43::DOUBLE, 6) AS ari_grade"""
+  0.39::DOUBLE * w / s + 11.8::DOUBLE * y / w - 15.59::DOUBLE AS flesch_kincaid_grade,
+  4.71::DOUBLE * c / w + 0.5::DOUBLE * w / s - 21.43::DOUBLE AS ari_grade"""
+ROUNDED = """* REPLACE (
+  round(flesch_kincaid_grade, 6) AS flesch_kincaid_grade, round(ari_grade, 6) AS ari_grade)"""
 
 
 def _counts(col: str) -> str:
@@ -316,8 +318,9 @@ GENERATION_CHECKS = {
 SCORING_CHECKS = {
     "eval_frame": f"""WITH {LLM_OUT}
         SELECT row_key, prompt AS inputs, response AS ground_truth, llm_response FROM llm_out""",
-    "text_metrics": f"""WITH measured AS (SELECT doc_id, {_counts('text')} FROM documents)
-        SELECT doc_id, {TEXT_SCORES} FROM measured""",
+    "text_metrics": f"""WITH measured AS (SELECT doc_id, {_counts('text')} FROM documents),
+        scores AS (SELECT doc_id, {TEXT_SCORES} FROM measured)
+        SELECT {ROUNDED} FROM scores""",
     "toxicity_ratio": """
         SELECT count(*) AS n_rows, count(toxic) AS n_scored,
           round(avg(CASE WHEN toxic > 0.5 THEN 1.0 WHEN toxic IS NOT NULL THEN 0.0 END), 6)
@@ -325,7 +328,7 @@ SCORING_CHECKS = {
         FROM documents LEFT JOIN labels USING (doc_id)""",
     "judge_similarity": f"WITH {JUDGED} SELECT row_key, answer_similarity FROM judged",
     "judge_correctness": f"WITH {JUDGED} SELECT row_key, answer_correctness FROM judged",
-    "evaluate_rows": f"WITH {SCORES} SELECT * FROM scores",
+    "evaluate_rows": f"WITH {SCORES} SELECT {ROUNDED} FROM scores",
     "metric_summary": f"WITH {SUMMARY} SELECT * FROM summary",
     "metrics_json": f"""WITH {SUMMARY}
         SELECT '{{' || string_agg('"' || metric || '/' || stat || '":' || value::DECIMAL(24, 6), ','
