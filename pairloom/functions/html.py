@@ -13,7 +13,7 @@ from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import clean_text
@@ -110,3 +110,16 @@ def parsed_text(html: Column, tag: str = "article", css_class: str | None = None
             yield pages.map(lambda p: None if p is None else _ContainerText(tag, css_class).text(p))
 
     return clean_text(container_text(html))
+
+
+def extract_article(
+    df: DataFrame,
+    html_col: str,
+    tag: str = "article",
+    css_class: str | None = None,
+    parse: bool = True,
+    out_col: str = "article",
+) -> DataFrame:
+    """Add the container's text; ``parse=False`` for pages known to suit ``pattern_text``."""
+    text = parsed_text if parse else pattern_text
+    return df.withColumn(out_col, text(F.col(html_col), tag, css_class))

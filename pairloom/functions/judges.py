@@ -22,13 +22,13 @@ def _grade(shared: Column, total: Column) -> Column:
 def similarity(pred: Column, truth: Column) -> Column:
     """Tokens in both answers, out of those in either."""
     p, t = distinct_tokens(pred), distinct_tokens(truth)
-    return _grade(F.size(F.array_intersect(p, t)), F.size(F.array_union(p, t)))
+    return _grade(F.array_size(F.array_intersect(p, t)), F.array_size(F.array_union(p, t)))
 
 
 def correctness(pred: Column, truth: Column) -> Column:
     """Tokens of the true answer that the prediction has."""
     p, t = distinct_tokens(pred), distinct_tokens(truth)
-    return _grade(F.size(F.array_intersect(p, t)), F.size(t))
+    return _grade(F.array_size(F.array_intersect(p, t)), F.array_size(t))
 
 
 def judge_udf(

@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.judges import correctness, similarity
-from pairloom.functions.readability import ari_grade, fk_grade, token_count
+from pairloom.functions.readability import (
+    ari_grade,
+    fk_grade,
+    sentence_count,
+    syllable_count,
+    tokens,
+)
 from pairloom.operators.percentile import exact_percentile
 
 
@@ -21,12 +27,8 @@ class Metric:
     score: Callable[[Column, Column], Column]
 
 
-TOKEN_COUNT = Metric("token_count", lambda pred, target: token_count(pred))
-FK_GRADE = Metric("flesch_kincaid_grade", lambda pred, target: fk_grade(pred))
-ARI_GRADE = Metric("ari_grade", lambda pred, target: ari_grade(pred))
 ANSWER_SIMILARITY = Metric("answer_similarity", similarity)
 ANSWER_CORRECTNESS = Metric("answer_correctness", correctness)
-MODEL_TYPES = {"text": (TOKEN_COUNT, FK_GRADE, ARI_GRADE)}
 
 
 def given_score(name: str, col: str) -> Metric:
@@ -34,6 +36,32 @@ def given_score(name: str, col: str) -> Metric:
     return Metric(name, lambda pred, target: F.col(col))
 
 
+def text_metrics(df: DataFrame, col: str) -> DataFrame:
+    """Add ``token_count``, ``flesch_kincaid_grade`` and ``ari_grade`` of a text column.
+
+    Each text is split and counted once: the counts are columns of their own below the
+    grades, where the optimizer keeps them since several grades use them.
+    """
+    text = F.col(col)
+    counted = df.select("*", tokens(text).alias("_tokens")).select(
+        *df.columns,
+        F.array_size("_tokens").cast("bigint").alias("token_count"),
+        F.length(F.array_join("_tokens", "")).alias("_characters"),
+        sentence_count(text).alias("_sentences"),
+        syllable_count(text).alias("_syllables"),
+    )
+    n, s = F.col("token_count"), F.col("_sentences")
+    return counted.select(
+        *df.columns,
+        "token_count",
+        fk_grade(n, s, F.col("_syllables")).alias("flesch_kincaid_grade"),
+        ari_grade(F.col("_characters"), n, s).alias("ari_grade"),
+    )
+
+
+MODEL_TYPES = {"text": text_metrics}
+
+
 def judge_similarity(
     df: DataFrame, pred: str, truth: str, judge: Callable[[Column, Column], Column] = similarity
 ) -> DataFrame:
@@ -68,9 +96,10 @@ def evaluate(
     extra: Sequence[Metric] = (),
 ) -> DataFrame:
     """Add one column per metric: the defaults of ``model_type``, if any, and ``extra``."""
-    metrics = [*(MODEL_TYPES[model_type] if model_type else ()), *extra]
+    if model_type is not None:
+        df = MODEL_TYPES[model_type](df, predictions)
     pred, target = F.col(predictions), F.col(targets)
-    return df.select("*", *[m.score(pred, target).alias(m.name) for m in metrics])
+    return df.select("*", *[m.score(pred, target).alias(m.name) for m in extra])
 
 
 def aggregate_scores(
@@ -102,12 +131,12 @@ def aggregate_scores(
 
     long = scores.unpivot([], list(score_cols), "metric", "score")
     found = exact_percentile(long, "metric", "score", p)
-    # One row per metric even where a metric has no scores at all.
-    spread = (
-        moments.where(F.col("stat") == "mean")
-        .select("metric")
-        .join(found, "metric", "left")
-        .select("metric", F.lit(f"p{round(100 * p)}").alias("stat"), F.col("percentile").alias("value"))
+    # One row per metric, even where a metric has no scores at all.
+    names = scores.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, score_cols))).alias("metric")
+    )
+    spread = names.join(F.broadcast(found), "metric", "left").select(
+        "metric", F.lit(f"p{round(100 * p)}").alias("stat"), F.col("percentile").alias("value")
     )
     return moments.unionByName(spread)
 

@@ -46,7 +46,7 @@ def validate_ift(train: DataFrame, evaluation: DataFrame) -> DataFrame:
 
 def training_profile(df: DataFrame, epochs: int, split_col: str = "split") -> DataFrame:
     """Rows, tokens, and tokens over all epochs, per split."""
-    tokens = token_count(F.concat_ws(" ", *PAIR_COLUMNS))
+    tokens = token_count(F.col("prompt")) + token_count(F.col("response"))
     sums = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(tokens).alias("n_tokens"))
     return sums.withColumn("total_tokens", F.col("n_tokens") * epochs)
 

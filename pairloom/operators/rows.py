@@ -55,7 +55,7 @@ def dedup(df: DataFrame, keys: list[str], order_by: str | None = None) -> DataFr
     others = [c for c in df.columns if c not in keys]
     if others == [order_by]:
         return df.groupBy(*keys).agg(F.min(order_by).alias(order_by)).select(*df.columns)
-    first = F.min_by(F.struct(*others), F.col(order_by))
+    first = F.min_by(F.struct(*others), F.struct(F.col(order_by).isNull(), F.col(order_by)))
     return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*").select(*df.columns)
 
 

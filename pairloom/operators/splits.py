@@ -38,3 +38,13 @@ def hash_split(
     for name, bound in reversed(list(zip(named, bounds))):
         side = F.when(slot < bound, name).otherwise(side)
     return df.withColumn(out_col, side)
+
+
+def save_splits(df: DataFrame, table: str, split_col: str = "split") -> DataFrame:
+    """Write all sides in one job, one partition each, and return the stored table.
+
+    A filter on the split then reads its side's files only, and what came before the
+    split runs once, not once per side.
+    """
+    df.write.mode("overwrite").partitionBy(split_col).saveAsTable(table)
+    return df.sparkSession.table(table)

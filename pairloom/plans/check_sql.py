@@ -272,6 +272,8 @@ STORAGE_CHECKS = {
     "scan_table": "SELECT doc_id, text, lang FROM documents",
     "register_table": "SELECT * FROM documents",
     "save_table": f"WITH {IFT} SELECT row_key, prompt, response, split FROM ift",
+    "save_splits": f"""WITH {IFT}
+        SELECT row_key, prompt, response, split FROM ift WHERE split = 'eval'""",
     "jsonl_roundtrip": f"""WITH {IFT}
         SELECT prompt, CASE WHEN row_key % 5 <> 0 THEN response END AS response FROM ift""",
     "export_single_jsonl": f"WITH {IFT} SELECT prompt, response FROM ift WHERE split = 'train'",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions.html import parsed_text, pattern_text
+from pairloom.functions.html import extract_article
 from pairloom.functions.text import (
     DOCSTRING_TEMPLATE,
     TITLE_TEMPLATE,
@@ -96,12 +96,12 @@ def clean_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def html_article(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load_dir(spark, sf_dir, "pages.parquet")
-    return pages.select("page_id", "url", pattern_text(F.col("html")).alias("article"))
+    return extract_article(pages, "html", parse=False).drop("html")
 
 
 def html_article_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load_dir(spark, sf_dir, "pages.parquet")
-    return pages.select("page_id", "url", parsed_text(F.col("html")).alias("article"))
+    return extract_article(pages, "html").drop("html")
 
 
 def validate_ift(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batches(spark, sf_dir).select(
-        "bucket", "batch", F.size("prompts").cast("bigint").alias("n_prompts"), "request"
+        "bucket", "batch", F.array_size("prompts").cast("bigint").alias("n_prompts"), "request"
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions import readability
 from pairloom.operators import evaluate as ev
 from pairloom.operators.rows import to_eval_frame
 from pairloom.plans import views
@@ -33,14 +32,13 @@ def eval_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_eval_frame(views.llm_out(spark, sf_dir))
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: _round(F.col(c)) for c in ("flesch_kincaid_grade", "ari_grade")})
+
+
 def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.col("text")
-    return views.documents(spark, sf_dir).select(
-        "doc_id",
-        readability.token_count(text).alias("token_count"),
-        _round(readability.fk_grade(text)).alias("flesch_kincaid_grade"),
-        _round(readability.ari_grade(text)).alias("ari_grade"),
-    )
+    scored = ev.text_metrics(views.documents(spark, sf_dir).select("doc_id", "text"), "text")
+    return _rounded(scored.drop("text"))
 
 
 def toxicity_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +69,7 @@ def _saved_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def evaluate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rounded = {c: _round(F.col(c)) for c in ("flesch_kincaid_grade", "ari_grade")}
-    return _scores(spark, sf_dir).withColumns(rounded)
+    return _rounded(_scores(spark, sf_dir))
 
 
 def _summary(scores: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.operators import splits
 from pairloom.plans import views
 from pairloom.sources import jsonl, tables
 from pairloom.sources.workspace import workspace
@@ -47,6 +48,13 @@ def save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved(views.ift(spark, sf_dir), "ift", sf_dir)
 
 
+def save_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides saved in one job; the evaluation side read back from its own files."""
+    db, _ = _namespace(spark, sf_dir)
+    pairs = views.ift(spark, sf_dir)
+    return splits.save_splits(pairs, f"{db}.ift_by_split").where(F.col("split") == "eval")
+
+
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs written as a JSON Lines directory and read back; every fifth response is null."""
     _, folder = _namespace(spark, sf_dir)
@@ -118,6 +126,7 @@ QUERIES = {
     "scan_table": scan_table,
     "register_table": register_table,
     "save_table": save_table,
+    "save_splits": save_splits,
     "jsonl_roundtrip": jsonl_roundtrip,
     "export_single_jsonl": export_single_jsonl,
     "table_to_jsonl": table_to_jsonl,

@@ -46,11 +46,12 @@ def export_single_jsonl(df: DataFrame, path: str, max_copy_bytes: int = 4 << 30)
         target.getParent(), f"_{target.getName()}-{uuid.uuid4().hex}"
     )
     try:
-        # A folder of one part per task; AQE has already merged tiny ones.
         write_jsonl(df, str(scratch))
         parts = _part_files(fs, scratch)
         if len(parts) > 1:
-            if fs.hasPathCapability(scratch, "fs.capability.paths.concat"):
+            # A raw local file system claims the capability but drops the first file.
+            joins = fs.hasPathCapability(scratch, "fs.capability.paths.concat")
+            if joins and fs.getScheme() != "file":
                 parts = _join_files(spark, fs, parts)
             else:
                 parts = _copy_to_one(spark, fs, scratch, max_copy_bytes)
@@ -91,7 +92,10 @@ def _join_files(spark: SparkSession, fs: JavaObject, parts: list[JavaObject]) ->
     )
     for i, part in enumerate(parts[1:]):
         rest[i] = part
+    size = sum(fs.getFileStatus(part).getLen() for part in parts)
     fs.concat(parts[0], rest)
+    if fs.getFileStatus(parts[0]).getLen() != size:
+        raise RuntimeError(f"joining {len(parts)} part files lost data")
     return parts[:1]
 
 
