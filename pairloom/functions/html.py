@@ -18,17 +18,18 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.text import clean_text
 
-# Entities decoded natively; "&amp;" comes last so that nothing is decoded twice.
+# Entities decoded natively, as patterns. Those from before HTML 4 stand
+# without their semicolon too. "&amp;" comes last so that nothing is decoded twice.
 ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
+    ("&#39;?", "'"),
     ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
+    ("&nbsp;?", "\u00a0"),
+    ("&copy;?", "©"),
+    ("&middot;?", "·"),
+    ("&amp;?", "&"),
 ]
 MARKUP = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -48,7 +49,7 @@ def pattern_text(html: Column, tag: str = "article", css_class: str | None = Non
     )
     body = F.regexp_extract(html, rf"(?is)<{tag}{wanted}>(.*?)</{tag}\s*>", 1)
     marked = F.regexp_replace(body, MARKUP, BREAK)
-    decoded = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, marked)
+    decoded = reduce(lambda c, e: F.regexp_replace(c, e[0], e[1]), ENTITIES, marked)
     nodes = F.transform(F.split(decoded, BREAK), lambda node: F.trim(node, F.lit(SPACES)))
     return clean_text(F.array_join(F.filter(nodes, lambda node: node != ""), " "))
 

@@ -102,22 +102,46 @@ def _request(prompts: str) -> str:
     )
 
 
-HTML = r"""
+def _decoded(text: str) -> str:
+    entities = [
+        ("&lt;?", "'<'"),
+        ("&gt;?", "'>'"),
+        ("&quot;?", "chr(34)"),
+        ("&#39;?", "chr(39)"),
+        ("&apos;", "chr(39)"),
+        ("&nbsp;?", "chr(160)"),
+        ("&copy;?", "'©'"),
+        ("&middot;?", "'·'"),
+        ("&amp;?", "'&'"),
+    ]
+    for pattern, char in entities:
+        text = f"regexp_replace({text}, '{pattern}', {char}, 'g')"
+    return text
+
+
+HTML = f"""
+WITH bodies AS (
+  SELECT page_id, url,
+    regexp_extract(html, '(?is)<article(?:\\s[^>]*)?>(.*?)</article\\s*>', 1) AS body
+  FROM pages
+),
+marked AS (
+  SELECT page_id, url, regexp_replace(body,
+    '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>'
+    || '|<template\\b.*?</template\\s*>|<[^>]*>', chr(1), 'g') AS text
+  FROM bodies
+),
+nodes AS (
+  SELECT page_id, url, list_filter(
+    list_transform(string_split({_decoded('text')}, chr(1)), lambda node:
+      trim(node, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11) || chr(160))),
+    lambda node: node <> '') AS texts
+  FROM marked
+)
 SELECT page_id, url,
-  replace(replace(replace(array_to_string(list_filter(list_transform(
-    string_split(
-      replace(replace(replace(replace(replace(replace(replace(replace(replace(
-        regexp_replace(
-          regexp_extract(html, '(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>', 1),
-          '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<template\b.*?</template\s*>|<[^>]*>',
-          chr(1), 'g'),
-        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
-        '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
-      chr(1)),
-    lambda node: trim(node, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11) || chr(160))),
-    lambda node: node <> ''), ' '),
+  replace(replace(replace(array_to_string(texts, ' '),
     chr(92) || '''', ''''), ' ,', ','), ' .', '.') AS article
-FROM pages
+FROM nodes
 """
 
 

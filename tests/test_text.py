@@ -11,6 +11,7 @@ PAGES = {
     "none": ("<html><p>x</p></html>", ""),
     "plain": ("<article><h1>A</h1><p>b , c .</p></article>", "A b, c."),
     "entities": ("<article>R&amp;D &lt;b&gt; &amp;lt;&nbsp;</article>", "R&D <b> &lt;"),
+    "no_semicolon": ("<article>a &amp b&amp;amp</article>", "a & b&amp"),
     "hidden": ("<article>a<script>x='</p>'</script><!-- > n -->b<style>p{}</style></article>", "a b"),
     "spaces": ("<article><p>\n  a  b \t</p><p> </p>c</article>", "a  b c"),
     "first": ("<article>a</article><article>b</article>", "a"),
