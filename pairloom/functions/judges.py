@@ -31,6 +31,20 @@ def correctness(pred: Column, truth: Column) -> Column:
     return _grade(F.array_size(F.array_intersect(p, t)), F.array_size(t))
 
 
+def text_score_udf(
+    factory: Callable[[], Callable[[list[str]], list[float]]],
+) -> Callable[[Column], Column]:
+    """A score per text, such as toxicity, from a model whose factory runs once per task."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = factory()
+        for texts in batches:
+            yield pd.Series(model(texts.tolist()), dtype="Float64")
+
+    return score.asNondeterministic()
+
+
 def judge_udf(
     factory: Callable[[], Callable[[list[str], list[str]], list[int]]],
 ) -> Callable[[Column, Column], Column]:

@@ -22,15 +22,15 @@ def exact_percentile(
     values = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select(group, value)
     margin = 3.0 / accuracy
     stats = values.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("_count"),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
         F.percentile_approx(value, [max(0.0, p - margin), min(1.0, p + margin)], accuracy).alias("_q"),
     )
-    wide = F.col("n") <= 10 * accuracy  # too few rows for the margin to cover a whole rank
+    wide = F.col("_count") <= 10 * accuracy  # too few rows for the margin to cover a whole rank
     bounds = stats.select(
         group,
-        ((F.col("n") - 1) * p).alias("_rank"),
+        ((F.col("_count") - 1) * p).alias("_rank"),
         F.when(wide, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"),
         F.when(wide, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi"),
     )

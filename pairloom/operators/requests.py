@@ -19,6 +19,7 @@ def batch_requests(
     params: GenParams = GenParams(),
     rows_per_bucket: int = 1024,
     unique_key: bool = False,
+    n_rows: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Requests of up to ``batch_size`` prompts: ``(bucket, batch, keys, prompts, request)``.
@@ -30,10 +31,12 @@ def batch_requests(
     A key that repeats cannot fill a bucket: equal rows are first counted, with map-side
     combine, and a count is cut into pieces of at most ``rows_per_bucket`` copies that
     hash to buckets of their own. Pass ``unique_key`` where the key is known to identify
-    a row; it saves that first shuffle.
+    a row, which saves that first shuffle, and ``n_rows`` where the count is known, which
+    saves a pass.
     """
     rows = df.select(*key, F.col(prompt_col).alias("_prompt"))
-    n_buckets = max(1, math.ceil(df.count() / rows_per_bucket))
+    n_rows = df.count() if n_rows is None else n_rows
+    n_buckets = max(1, math.ceil(n_rows / rows_per_bucket))
     if unique_key:
         pieces = rows.withColumns({"_piece": F.lit(0).cast("bigint"), "_copies": F.lit(1).cast("bigint")})
     else:

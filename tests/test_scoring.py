@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.functions.judges import correctness, judge_udf, similarity
+from pairloom.functions.judges import correctness, judge_udf, similarity, text_score_udf
 from pairloom.operators import evaluate as ev
 from pairloom.operators import handoff
 from pairloom.operators.percentile import exact_percentile
@@ -31,6 +31,17 @@ def test_a_judge_plugs_in(spark):
     assert [r.answer_correctness for r in judged.collect()] == [5, 1]
 
 
+def test_a_toxicity_model_plugs_in(spark):
+    def factory():
+        return lambda texts: [None if t is None else float("!" in t) for t in texts]
+
+    df = from_rows(spark, [("a!", "a"), ("b", "b"), (None, "c")], "p string, t string")
+    score = text_score_udf(factory)
+    scored = ev.evaluate(df, "t", "p", extra=[ev.Metric("toxicity", lambda pred, target: score(pred))])
+    assert [r.toxicity for r in scored.collect()] == [1.0, 0.0, None]
+    assert ev.toxicity(scored, "toxicity").first().toxicity_ratio == 0.5
+
+
 def test_default_metrics_can_be_off(spark):
     df = from_rows(spark, [("a", "a")], "p string, t string")
     assert ev.evaluate(df, "t", "p", extra=[ev.ANSWER_SIMILARITY]).columns == ["p", "t", "answer_similarity"]
@@ -48,12 +59,11 @@ def test_toxicity_leaves_unscored_rows_out(spark):
 
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 0.999, 1.0])
 def test_percentile_of_few_rows(spark, p):
-    for n in (1, 2, 9, 10, 11, 100):
-        values = np.random.default_rng(n).normal(size=n).tolist()
-        df = from_rows(spark, [("g", v) for v in values] + [("g", None)], "g string, v double")
-        found = exact_percentile(df, "g", "v", p).collect()
-        assert [r.g for r in found] == ["g"]
-        assert found[0].percentile == pytest.approx(np.percentile(values, 100 * p))
+    values = {n: np.random.default_rng(n).normal(size=n).tolist() for n in (1, 2, 9, 10, 11, 100)}
+    rows = [(n, v) for n, of_n in values.items() for v in [*of_n, None]]
+    found = exact_percentile(from_rows(spark, rows, "n int, v double"), "n", "v", p).collect()
+    wanted = {n: np.percentile(of_n, 100 * p) for n, of_n in values.items()}
+    assert {r.n: r.percentile for r in found} == pytest.approx(wanted)
 
 
 def skewed(spark):

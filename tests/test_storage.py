@@ -88,6 +88,17 @@ def test_a_file_too_large_for_one_task_is_refused_whole(spark, tmp_path):
     assert not [p for p in tmp_path.iterdir()]
 
 
+def test_joining_files_checks_that_nothing_is_lost(spark, tmp_path):
+    """The raw local file system's own join drops the first file."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.RawLocalFileSystem()
+    fs.initialize(spark._jvm.java.net.URI("file:///"), spark._jsc.hadoopConfiguration())
+    for name in "abc":
+        (tmp_path / name).write_text(name * 9)
+    with pytest.raises(RuntimeError, match="lost data"):
+        jsonl._join_files(spark, fs, [hadoop.Path(str(tmp_path / name)) for name in "abc"])
+
+
 def test_two_tables_make_two_files(spark, db, tmp_path):
     for name, n in (("train", 9), ("eval", 1)):
         tables.save_table(spark.range(n), f"{db}.{name}")
