@@ -69,12 +69,11 @@ def make_batch_udf(
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = factory(params)
         for batch in batches:
-            out = pd.DataFrame(None, index=range(len(batch)), columns=["text", "error"], dtype=object)
-            rows = [i for i, prompt in enumerate(batch) if prompt is not None]
-            for start in range(0, len(rows), call_size):
-                call = rows[start : start + call_size]
-                out.iloc[call] = scored(scorer, [batch.iloc[i] for i in call])
-            yield out
+            prompts = [prompt for prompt in batch if prompt is not None]
+            calls = (prompts[i : i + call_size] for i in range(0, len(prompts), call_size))
+            results = (result for call in calls for result in scored(scorer, call))
+            out = [(None, None) if prompt is None else next(results) for prompt in batch]
+            yield pd.DataFrame(out, columns=["text", "error"], dtype=object)
 
     return score.asNondeterministic()
 
