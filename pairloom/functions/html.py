@@ -31,9 +31,10 @@ ENTITIES = [
     ("&middot;?", "·"),
     ("&amp;?", "&"),
 ]
+# One "<" before all alternatives: other characters fail at once.
 MARKUP = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r"|<template\b.*?</template\s*>|<[^>]*>"
+    r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
+    r"|template\b.*?</template\s*>|[^>]*>)"
 )
 SPACES = " \t\n\r\f\u000b\u00a0"
 BREAK = "\u0001"
@@ -50,7 +51,8 @@ def pattern_text(html: Column, tag: str = "article", css_class: str | None = Non
     body = F.regexp_extract(html, rf"(?is)<{tag}{wanted}>(.*?)</{tag}\s*>", 1)
     marked = F.regexp_replace(body, MARKUP, BREAK)
     decoded = reduce(lambda c, e: F.regexp_replace(c, e[0], e[1]), ENTITIES, marked)
-    nodes = F.transform(F.split(decoded, BREAK), lambda node: F.trim(node, F.lit(SPACES)))
+    plain = F.when(F.contains(marked, F.lit("&")), decoded).otherwise(marked)
+    nodes = F.transform(F.split(plain, BREAK), lambda node: F.trim(node, F.lit(SPACES)))
     return clean_text(F.array_join(F.filter(nodes, lambda node: node != ""), " "))
 
 
