@@ -121,13 +121,11 @@ def aggregate_scores(
     stats |= {(c, "variance"): F.var_pop(c) for c in score_cols}
     stats |= {(c, "ratio"): _share_above(c, t) for c, t in thresholds.items()}
     one_row = scores.agg(*[s.alias(f"s{i}") for i, s in enumerate(stats.values())])
-    named = F.array(
-        *[
-            F.struct(F.lit(c).alias("metric"), F.lit(stat).alias("stat"), F.col(f"s{i}").alias("value"))
-            for i, (c, stat) in enumerate(stats)
-        ]
-    )
-    moments = one_row.select(F.inline(named))
+    named = [
+        F.struct(F.lit(c).alias("metric"), F.lit(s).alias("stat"), F.col(f"s{i}").alias("value"))
+        for i, (c, s) in enumerate(stats)
+    ]
+    moments = one_row.select(F.inline(F.array(*named)))
 
     long = scores.unpivot([], list(score_cols), "metric", "score")
     found = exact_percentile(long, "metric", "score", p)
@@ -143,9 +141,8 @@ def aggregate_scores(
 
 def metrics_json(metrics: DataFrame) -> DataFrame:
     """The metrics as one JSON document, ``metric/stat`` to value, keys in order."""
-    entry = F.struct(
-        F.concat_ws("/", "metric", "stat").alias("key"), F.col("value").cast("decimal(24,6)").alias("value")
-    )
+    value = F.col("value").cast("decimal(24,6)")
+    entry = F.struct(F.concat_ws("/", "metric", "stat").alias("key"), value.alias("value"))
     document = F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry))))
     return metrics.agg(document.alias("metrics"))
 

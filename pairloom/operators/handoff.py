@@ -32,25 +32,26 @@ def validate_ift(train: DataFrame, evaluation: DataFrame) -> DataFrame:
         F.count_if(F.col("_train") & unfit).alias("train_unfit"),
         F.count_if(~F.col("_train") & unfit).alias("eval_unfit"),
     ]
-    names = ["train_rows", "eval_rows", "train_unfit", "eval_unfit"]
-    sums = [F.sum(c).alias(c) for c in names]
+    names = ["train_rows", "eval_rows", "train_unfit", "eval_unfit", "shared_pairs", "shared_prompts"]
     shared = ((F.col("train_rows") > 0) & (F.col("eval_rows") > 0)).cast("bigint")
 
-    pairs = both.groupBy(digest(F.col("prompt")).alias("_p"), digest(F.col("response")).alias("_r")).agg(*counts)
-    prompts = pairs.withColumn("shared_pairs", shared).groupBy("_p").agg(*sums, F.sum("shared_pairs").alias("shared_pairs"))
-    return (
-        prompts.withColumn("shared_prompts", shared)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*names, "shared_pairs", "shared_prompts"]])
-    )
+    by_pair = [digest(F.col("prompt")).alias("_p"), digest(F.col("response")).alias("_r")]
+    pairs = both.groupBy(*by_pair).agg(*counts).withColumn("shared_pairs", shared)
+    prompts = pairs.groupBy("_p").agg(*[F.sum(c).alias(c) for c in names[:5]])
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
+    return prompts.withColumn("shared_prompts", shared).agg(*totals)
 
 
 def training_profile(df: DataFrame, epochs: int, split_col: str = "split") -> DataFrame:
     """Rows, tokens, and tokens over all epochs, per split."""
     tokens = token_count(F.col("prompt")) + token_count(F.col("response"))
-    sums = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(tokens).alias("n_tokens"))
+    sums = df.groupBy(split_col).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(tokens).alias("n_tokens")
+    )
     return sums.withColumn("total_tokens", F.col("n_tokens") * epochs)
 
 
 def unpivot_record(df: DataFrame, keys: list[str]) -> DataFrame:
     """A wide row as ``(key, value)`` rows, values as text."""
-    return df.select(*[F.col(k).cast("string").alias(k) for k in keys]).unpivot([], keys, "key", "value")
+    as_text = df.select(*[F.col(k).cast("string").alias(k) for k in keys])
+    return as_text.unpivot([], keys, "key", "value")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def exact_percentile(
     values: DataFrame, group: str, value: str, p: float, accuracy: int = 10_000, bins: int = 4096
 ) -> DataFrame:
-    """Linear-interpolated percentile per group as ``(group, percentile)``; nulls ignored.
+    """Linear-interpolated percentile per group as ``(group, percentile)``; nulls and NaN ignored.
 
     The built-in exact ``percentile`` holds every distinct value of a group in one
     buffer. Here an approximate percentile only proposes a narrow interval around the
@@ -21,11 +21,12 @@ def exact_percentile(
     """
     values = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select(group, value)
     margin = 3.0 / accuracy
+    around = [max(0.0, p - margin), min(1.0, p + margin)]
     stats = values.groupBy(group).agg(
         F.count(F.lit(1)).alias("_count"),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
-        F.percentile_approx(value, [max(0.0, p - margin), min(1.0, p + margin)], accuracy).alias("_q"),
+        F.percentile_approx(value, around, accuracy).alias("_q"),
     )
     wide = F.col("_count") <= 10 * accuracy  # too few rows for the margin to cover a whole rank
     bounds = stats.select(
@@ -34,12 +35,13 @@ def exact_percentile(
         F.when(wide, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"),
         F.when(wide, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi"),
     )
-    step = F.floor((F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)
+    width = F.col("_hi") - F.col("_lo")
+    step = F.floor((F.col(value) - F.col("_lo")) / width * bins)
     stepped = values.join(F.broadcast(bounds), group).withColumn(
         "_bin",
         F.when(F.col(value) < F.col("_lo"), -1)
         .when(F.col(value) > F.col("_hi"), bins + 1)
-        .when(F.col("_hi") > F.col("_lo"), step)
+        .when((width > 0) & (width < float("inf")), step)
         .otherwise(0),
     )
     low, high = F.floor("_rank"), F.ceil("_rank")
@@ -67,4 +69,5 @@ def exact_percentile(
         F.min(F.when(F.col("_upto") > high, F.col(value))).alias("_b"),
     )
     between = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - low)
-    return ends.select(group, between.alias("percentile"))
+    result = F.when(F.col("_b") > F.col("_a"), between).otherwise(F.col("_a"))
+    return ends.select(group, result.alias("percentile"))

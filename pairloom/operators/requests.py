@@ -37,12 +37,13 @@ def batch_requests(
     rows = df.select(*key, F.col(prompt_col).alias("_prompt"))
     n_rows = df.count() if n_rows is None else n_rows
     n_buckets = max(1, math.ceil(n_rows / rows_per_bucket))
+    zero = F.lit(0).cast("bigint")
     if unique_key:
-        pieces = rows.withColumns({"_piece": F.lit(0).cast("bigint"), "_copies": F.lit(1).cast("bigint")})
+        pieces = rows.withColumn("_piece", zero).withColumn("_copies", zero + 1)
     else:
         counted = rows.groupBy(*key, "_prompt").agg(F.count(F.lit(1)).alias("_copies"))
         last = F.floor((F.col("_copies") - 1) / rows_per_bucket)
-        pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        pieces = counted.withColumn("_piece", F.explode(F.sequence(zero, last)))
         left = F.col("_copies") - F.col("_piece") * rows_per_bucket
         pieces = pieces.withColumn("_copies", F.least(left, F.lit(rows_per_bucket)))
     hashed = stable_hash(seed, [*map(F.col, key), F.col("_prompt"), F.col("_piece")], digits=15)
@@ -78,6 +79,8 @@ def unbatch_responses(
 
     Every key keeps its row; its text is null where the response is malformed or short.
     """
-    return df.select(
-        F.posexplode(keys_col).alias("pos", "_key"), response_texts(F.col(response_col)).alias("_texts")
-    ).select("_key.*", F.col("pos").cast("bigint").alias("pos"), F.get("_texts", "pos").alias(out_col))
+    texts = response_texts(F.col(response_col)).alias("_texts")
+    exploded = df.select(F.posexplode(keys_col).alias("_at", "_key"), texts)
+    return exploded.select(
+        "_key.*", F.col("_at").cast("bigint").alias("pos"), F.get("_texts", "_at").alias(out_col)
+    )

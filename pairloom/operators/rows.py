@@ -56,7 +56,8 @@ def dedup(df: DataFrame, keys: list[str], order_by: str | None = None) -> DataFr
     if others == [order_by]:
         return df.groupBy(*keys).agg(F.min(order_by).alias(order_by)).select(*df.columns)
     first = F.min_by(F.struct(*others), F.struct(F.col(order_by).isNull(), F.col(order_by)))
-    return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*").select(*df.columns)
+    kept = df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
+    return kept.select(*df.columns)
 
 
 def head_k(df: DataFrame, k: int, order_by: str | list[str]) -> DataFrame:

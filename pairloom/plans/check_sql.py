@@ -57,8 +57,8 @@ raw AS (
 code_elements AS (
   SELECT doc_id, element_type, args,
     CASE WHEN doc_id % 7 = 0 THEN NULL ELSE body END AS doc_string,
-    'def f' || doc_id || '(' || coalesce(args, '') || '):' || chr(10) || '    ' || repeat('"', 3) || body
-      || repeat('"', 3) || chr(10) || '    return 1' || chr(10) AS source
+    'def f' || doc_id || '(' || coalesce(args, '') || '):' || chr(10) || '    '
+      || repeat('"', 3) || body || repeat('"', 3) || chr(10) || '    return 1' || chr(10) AS source
   FROM raw
 ),
 documented AS (
@@ -145,6 +145,9 @@ FROM nodes
 """
 
 
+WORD = r"[^ \n\t\r]+"
+
+
 def _count(col: str, pattern: str) -> str:
     return f"len(regexp_extract_all({col}, '{pattern}', 0))::BIGINT"
 
@@ -159,17 +162,17 @@ ROUNDED = """* REPLACE (
 
 
 def _counts(col: str) -> str:
-    word, end, vowels = r"[^ \n\t\r]+", "[.!?]+", "[aeiouyAEIOUY]+"
+    end, vowels = "[.!?]+", "[aeiouyAEIOUY]+"
     return f"""
-  {_count(col, word)} AS token_count,
-  greatest(1, {_count(col, word)})::DOUBLE AS w,
+  {_count(col, WORD)} AS token_count,
+  greatest(1, {_count(col, WORD)})::DOUBLE AS w,
   greatest(1, {_count(col, end)})::DOUBLE AS s,
   greatest(1, {_count(col, vowels)})::DOUBLE AS y,
   length(regexp_replace({col}, '[ \\n\\t\\r]', '', 'g'))::DOUBLE AS c"""
 
 
 def _tokens(col: str) -> str:
-    return rf"list_distinct(regexp_extract_all(lower({col}), '[^ \n\t\r]+', 0))"
+    return f"list_distinct(regexp_extract_all(lower({col}), '{WORD}', 0))"
 
 
 JUDGED = (
@@ -226,7 +229,7 @@ PROFILE = (
     + f""",
 profile AS (
   SELECT split, count(*) AS n_rows,
-    sum({_count('prompt', r'[^ \n\t\r]+')} + {_count('response', r'[^ \n\t\r]+')})::BIGINT AS n_tokens
+    sum({_count('prompt', WORD)} + {_count('response', WORD)})::BIGINT AS n_tokens
   FROM ift GROUP BY split
 )"""
 )
@@ -248,12 +251,15 @@ DATASET_CHECKS = {
     "ift_pairs_blog": f"WITH {IFT} SELECT prompt, response FROM ift",
     "documented_functions": f"""WITH {CODE}
         SELECT doc_id, element_type, args, doc_string, source, fn_def FROM documented""",
-    "ift_pairs_code": f"WITH {CODE} SELECT {CODE_PROMPT} AS prompt, doc_string AS response FROM documented",
+    "ift_pairs_code": f"""WITH {CODE}
+        SELECT {CODE_PROMPT} AS prompt, doc_string AS response FROM documented""",
     "extract_docstring": f"""WITH {CODE}
-        SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN string_split(source, repeat('"', 3))[2] END AS docstring
+        SELECT doc_id,
+          CASE WHEN doc_id % 4 <> 0 THEN string_split(source, repeat('"', 3))[2] END AS docstring
         FROM code_elements""",
     "sample_prompt": f"WITH {IFT} SELECT row_key, prompt FROM ift ORDER BY row_key LIMIT 1",
-    "head_k": f"WITH {IFT} SELECT row_key, prompt FROM ift WHERE split = 'eval' ORDER BY row_key LIMIT 2",
+    "head_k": f"""WITH {IFT}
+        SELECT row_key, prompt FROM ift WHERE split = 'eval' ORDER BY row_key LIMIT 2""",
     "row_count": f"WITH {BLOGS} SELECT count(*) AS n_rows FROM deduped",
     "column_counts": f"""WITH {BLOGS}
         SELECT 'doc_id' AS column_name, count(doc_id) AS n_values FROM blogs
@@ -313,7 +319,8 @@ STORAGE_CHECKS = {
 GENERATION_CHECKS = {
     "request_payload": f"WITH {IFT} SELECT row_key, {_request('[prompt]')} AS request FROM ift",
     "response_text": f"""WITH {LLM_OUT}
-        SELECT row_key, CASE WHEN row_key % 10 <> 0 THEN llm_response END AS llm_response FROM llm_out""",
+        SELECT row_key, CASE WHEN row_key % 10 <> 0 THEN llm_response END AS llm_response
+        FROM llm_out""",
     "batch_requests": f"""WITH {BATCHES}
         SELECT bucket, n // 8 AS batch, count(*) AS n_prompts,
           {_request('list(text ORDER BY n)')} AS request
@@ -324,7 +331,8 @@ GENERATION_CHECKS = {
     "batch_infer": f"WITH {LLM_OUT} SELECT row_key, prompt, response, llm_response FROM llm_out",
     "infer_errors": f"WITH {IFT} SELECT row_key, {REFUSED} FROM ift",
     "infer_one": f"""WITH {IFT}
-        SELECT row_key, prompt, array_to_string(string_split(prompt, ' ')[1:100], ' ') AS llm_response
+        SELECT row_key, prompt,
+          array_to_string(string_split(prompt, ' ')[1:100], ' ') AS llm_response
         FROM ift ORDER BY row_key LIMIT 1""",
     "payload_log": f"""WITH {IFT}, tried AS (SELECT row_key, prompt, {REFUSED} FROM ift)
         SELECT row_key AS request_id, {_request('[prompt]')} AS request,
@@ -334,7 +342,8 @@ GENERATION_CHECKS = {
           CASE WHEN error IS NULL THEN 200 ELSE 400 END::INTEGER AS status, 'lead' AS model
         FROM tried""",
     "attach_predictions": f"""WITH {IFT},
-        eval_side AS (SELECT *, row_number() OVER (ORDER BY row_key) AS n FROM ift WHERE split = 'eval')
+        eval_side AS (
+          SELECT *, row_number() OVER (ORDER BY row_key) AS n FROM ift WHERE split = 'eval')
         SELECT row_key, prompt AS inputs, response AS ground_truth,
           CASE WHEN n <= 2 THEN array_to_string(string_split(text, ' ')[1:100], ' ') END
             AS generated_title

@@ -49,9 +49,8 @@ def ift_pairs_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_docstring(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = views.code_elements(spark, sf_dir)
     # Every fourth source loses its quotes, to show the case without a docstring.
-    source = F.when(F.col("doc_id") % 4 == 0, F.replace("source", F.lit('"""'), F.lit(""))).otherwise(
-        F.col("source")
-    )
+    bare = F.replace("source", F.lit('"""'), F.lit(""))
+    source = F.when(F.col("doc_id") % 4 == 0, bare).otherwise(F.col("source"))
     return code.select("doc_id", between_delimiters(source).alias("docstring"))
 
 

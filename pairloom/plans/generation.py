@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions.payload import request_payload, response_payload, response_text as parse_text
+from pairloom.functions import payload
 from pairloom.operators import infer, requests, rows
 from pairloom.plans import views
 from pairloom.plans.storage import saved
@@ -19,16 +19,16 @@ TITLE_TOKENS = 12
 
 def request_payload_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.ift(spark, sf_dir).select(
-        "row_key", request_payload(F.array("prompt"), views.PARAMS).alias("request")
+        "row_key", payload.request_payload(F.array("prompt"), views.PARAMS).alias("request")
     )
 
 
 def response_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts parsed from answers; every tenth answer is cut short and so malformed."""
-    answer = response_payload(F.array("llm_response"))
+    answer = payload.response_payload(F.array("llm_response"))
     received = F.when(F.col("row_key") % 10 == 0, F.substring(answer, 1, 20)).otherwise(answer)
     answers = views.llm_out(spark, sf_dir).select("row_key", received.alias("response"))
-    return answers.select("row_key", parse_text(F.col("response")).alias("llm_response"))
+    return answers.select("row_key", payload.response_text(F.col("response")).alias("llm_response"))
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,9 @@ def unbatch_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     lead = F.transform(
         "prompts", lambda p: F.array_join(F.slice(F.split(p, " "), 1, TITLE_TOKENS), " ")
     )
-    answered = _batches(spark, sf_dir).select("keys", response_payload(lead).alias("answer"))
+    answered = _batches(spark, sf_dir).select(
+        "keys", payload.response_payload(lead).alias("answer")
+    )
     return requests.unbatch_responses(answered, "answer", "keys")
 
 

@@ -15,6 +15,7 @@ TOXICITY = ev.given_score("toxicity", "toxic")
 JUDGES = [ev.ANSWER_SIMILARITY, ev.ANSWER_CORRECTNESS]
 TEXT_SCORES = ["token_count", "flesch_kincaid_grade", "ari_grade", "toxicity"]
 JUDGE_SCORES = ["answer_similarity", "answer_correctness"]
+THRESHOLDS = {"toxicity": 0.5}
 RUN_ID = "run-1"
 
 
@@ -73,7 +74,7 @@ def evaluate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary(scores: DataFrame) -> DataFrame:
-    metrics = ev.aggregate_scores(scores, [*TEXT_SCORES, *JUDGE_SCORES], thresholds={"toxicity": 0.5})
+    metrics = ev.aggregate_scores(scores, [*TEXT_SCORES, *JUDGE_SCORES], thresholds=THRESHOLDS)
     return metrics.withColumn("value", _round(F.col("value")))
 
 
@@ -91,7 +92,8 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{db}.run_metrics"
     drop_table(spark, table)
     scores = _saved_scores(spark, sf_dir, "run")
-    ev.log_metrics(ev.aggregate_scores(scores, TEXT_SCORES, thresholds={"toxicity": 0.5}), RUN_ID, table)
+    text = ev.aggregate_scores(scores, TEXT_SCORES, thresholds=THRESHOLDS)
+    ev.log_metrics(text, RUN_ID, table)
     ev.log_metrics(ev.aggregate_scores(scores, JUDGE_SCORES), RUN_ID, table)
     return spark.table(table).withColumn("value", _round(F.col("value")))
 

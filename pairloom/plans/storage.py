@@ -101,7 +101,9 @@ def namespace_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         spark.catalog.setCurrentDatabase(before)
     return ids.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(spark.catalog.databaseExists(db)).alias("exists"), F.lit(entered).alias("entered"), "n_rows"
+        F.lit(spark.catalog.databaseExists(db)).alias("exists"),
+        F.lit(entered).alias("entered"),
+        "n_rows",
     )
 
 

@@ -49,13 +49,13 @@ def code_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring_index("text", "\n", 1),
         F.when(i % 2 == 0, "\nParameters\n----------\n").otherwise("\n"),
     )
-    source = F.concat(
-        F.lit("def f"), i.cast("string"), F.lit("("), F.coalesce(args, F.lit("")), F.lit('):\n    """'),
-        body, F.lit('"""\n    return 1\n'),
+    source = F.format_string(
+        'def f%d(%s):\n    """%s"""\n    return 1\n', i, F.coalesce(args, F.lit("")), body
     )
+    kind = F.when(i % 3 == 0, "function").when(i % 3 == 1, "class").otherwise("method")
     return documents(spark, sf_dir).select(
         "doc_id",
-        F.when(i % 3 == 0, "function").when(i % 3 == 1, "class").otherwise("method").alias("element_type"),
+        kind.alias("element_type"),
         args.alias("args"),
         F.when(i % 7 == 0, None).otherwise(body).alias("doc_string"),
         source.alias("source"),

@@ -66,6 +66,14 @@ def test_percentile_of_few_rows(spark, p):
     assert {r.n: r.percentile for r in found} == pytest.approx(wanted)
 
 
+def test_percentile_with_infinite_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("g", v) for v in (-inf, 1.0, 2.0, inf, nan)] + [("all", inf), ("all", inf)]
+    df = from_rows(spark, rows, "g string, v double")
+    found = {r.g: r.percentile for r in exact_percentile(df, "g", "v", 0.5).collect()}
+    assert found == {"g": 1.5, "all": inf}
+
+
 def skewed(spark):
     """Groups of 300,000: normal, one value for a third of rows, far outliers, one value only."""
     i = F.col("id")

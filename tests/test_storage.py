@@ -6,7 +6,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from pairloom.operators.rows import select_documented_functions
 from pairloom.operators.splits import save_splits
+from pairloom.plans import views
 from pairloom.sources import jsonl, tables
 from pairloom.sources.workspace import shared_dir, workspace
 
@@ -55,6 +57,14 @@ def test_saved_splits_are_read_by_file(spark, db):
     assert "PartitionFilters: [isnotnull(split" in evaluation._jdf.queryExecution().executedPlan().toString()
 
 
+def test_selector_filters_reach_the_files(spark, db):
+    tables.save_table(views.code_elements(spark, "/root/testdata/sf0.001"), f"{db}.code")
+    chosen = select_documented_functions(tables.load_table(spark, f"{db}.code"))
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    for part in ("IsNotNull(doc_string)", "EqualTo(element_type,function)", "StringContains(doc_string,Param"):
+        assert part in plan
+
+
 def test_null_fields_are_left_out_and_restored(spark, tmp_path):
     df = tables.from_rows(spark, [("p", None), ('q"\n', "é")], PAIR)
     jsonl.write_jsonl(df, str(tmp_path / "out"))
