@@ -13,8 +13,11 @@ RESOLUTION = 10_000
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
-    """Spark's own random split. Its sides depend on the partition layout and it sorts
-    every partition; :func:`hash_split` does neither and is the one to prefer."""
+    """Spark's own random split: sides depend on the layout, and every partition is sorted.
+
+    Each side runs ``df`` again, so it must give the same rows every time; save it first
+    if it holds arbitrary choices. :func:`hash_split` has none of these limits.
+    """
     return df.randomSplit(weights, seed)
 
 

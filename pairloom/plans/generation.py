@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pairloom.functions import payload
 from pairloom.operators import infer, requests, rows
 from pairloom.plans import views
-from pairloom.plans.storage import saved
-from pairloom.sources.tables import load_dir
+from pairloom.plans.storage import namespace, saved
+from pairloom.sources.tables import drop_table, load_dir, save_table
 
 BATCH_SIZE = 8
 ROWS_PER_BUCKET = 64
@@ -81,7 +81,9 @@ def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = infer.payload_log(
         _strict(spark, sf_dir), "row_key", "prompt", "llm_response", "error", views.PARAMS, "lead"
     )
-    return saved(log, "payload_log", sf_dir)
+    db, _ = namespace(spark, sf_dir)
+    drop_table(spark, f"{db}.payload_log")
+    return save_table(log, f"{db}.payload_log", mode="append")
 
 
 def attach_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

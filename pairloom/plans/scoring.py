@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.operators import evaluate as ev
 from pairloom.operators.rows import to_eval_frame
 from pairloom.plans import views
-from pairloom.plans.storage import _namespace, saved
+from pairloom.plans.storage import namespace, saved
 from pairloom.sources.tables import drop_table, load_dir
 
 TOXICITY = ev.given_score("toxicity", "toxic")
@@ -88,7 +88,7 @@ def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two evaluations under one run: the text defaults, then the judges alone."""
-    db, _ = _namespace(spark, sf_dir)
+    db, _ = namespace(spark, sf_dir)
     table = f"{db}.run_metrics"
     drop_table(spark, table)
     scores = _saved_scores(spark, sf_dir, "run")

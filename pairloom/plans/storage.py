@@ -11,7 +11,7 @@ from pairloom.sources import jsonl, tables
 from pairloom.sources.workspace import workspace
 
 
-def _namespace(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def namespace(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     db, folder = workspace(spark, sf_dir)
     tables.ensure_namespace(spark, db, f"{folder}/db", use=False)
     return db, folder
@@ -19,7 +19,7 @@ def _namespace(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def saved(df: DataFrame, name: str, sf_dir: str) -> DataFrame:
     """``df`` written once as a workspace table and read back."""
-    db, _ = _namespace(df.sparkSession, sf_dir)
+    db, _ = namespace(df.sparkSession, sf_dir)
     return tables.save_table(df, f"{db}.{name}")
 
 
@@ -33,14 +33,14 @@ def scan_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that points at the given files; no data is copied to register it."""
-    db, _ = _namespace(spark, sf_dir)
+    db, _ = namespace(spark, sf_dir)
     name = f"{db}.documents_in_place"
     tables.register_table(spark, name, f"{sf_dir}/documents.parquet", copy=False)
     return tables.load_table(spark, name).select("doc_id", "text", "lang")
 
 
 def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    db, _ = _namespace(spark, sf_dir)
+    db, _ = namespace(spark, sf_dir)
     return tables.register_table(spark, f"{db}.documents_copy", f"{sf_dir}/documents.parquet")
 
 
@@ -50,14 +50,14 @@ def save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def save_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides saved in one job; the evaluation side read back from its own files."""
-    db, _ = _namespace(spark, sf_dir)
+    db, _ = namespace(spark, sf_dir)
     pairs = views.ift(spark, sf_dir)
     return splits.save_splits(pairs, f"{db}.ift_by_split").where(F.col("split") == "eval")
 
 
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs written as a JSON Lines directory and read back; every fifth response is null."""
-    _, folder = _namespace(spark, sf_dir)
+    _, folder = namespace(spark, sf_dir)
     pairs = views.ift(spark, sf_dir).select(
         "prompt", F.when(F.col("row_key") % 5 != 0, F.col("response")).alias("response")
     )
@@ -66,7 +66,7 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_single_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, folder = _namespace(spark, sf_dir)
+    _, folder = namespace(spark, sf_dir)
     path = f"{folder}/export/train.jsonl"
     train = views.ift(spark, sf_dir).where(F.col("split") == "train").select("prompt", "response")
     jsonl.export_single_jsonl(train, path)
@@ -74,7 +74,7 @@ def export_single_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_to_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    db, folder = _namespace(spark, sf_dir)
+    db, folder = namespace(spark, sf_dir)
     path = f"{folder}/export/pairs.jsonl"
     tables.save_table(_pairs(spark, sf_dir), f"{db}.pairs")
     jsonl.table_to_jsonl(spark, f"{db}.pairs", path)
@@ -91,7 +91,7 @@ def from_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def namespace_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create and enter a namespace, and save a table there by its bare name."""
+    """Create and enter a namespace, save a table there by its bare name, and fill a folder."""
     db, folder = workspace(spark, f"{sf_dir}#ddl")
     before = spark.catalog.currentDatabase()
     try:
@@ -100,7 +100,10 @@ def namespace_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
         ids = tables.save_table(views.documents(spark, sf_dir).select("doc_id"), "doc_ids")
     finally:
         spark.catalog.setCurrentDatabase(before)
-    return ids.agg(F.count(F.lit(1)).alias("n_rows")).select(
+    tables.ensure_dir(spark, f"{folder}/volume")
+    jsonl.write_jsonl(ids, f"{folder}/volume/doc_ids")
+    stored = jsonl.read_jsonl(spark, f"{folder}/volume/doc_ids", ids.schema)
+    return stored.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(spark.catalog.databaseExists(db)).alias("exists"),
         F.lit(entered).alias("entered"),
         "n_rows",
@@ -109,7 +112,7 @@ def namespace_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table's rows while it stands, and whether it exists before and after its drop."""
-    db, _ = _namespace(spark, sf_dir)
+    db, _ = namespace(spark, sf_dir)
     name = f"{db}.dropped"
     docs = views.documents(spark, sf_dir).select("doc_id")
     n_rows = tables.save_table(docs, name).count()

@@ -57,6 +57,12 @@ def ensure_namespace(
         spark.catalog.setCurrentDatabase(db)
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create the folder ``path`` if absent, on whatever file system it names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def from_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
     """A DataFrame from a few driver-side rows with a declared schema."""
     return spark.createDataFrame(list(rows), schema)
