@@ -1,6 +1,8 @@
-"""Built-in judges: integer grades 1 to 5 from the tokens two answers share.
+"""Built-in judges, and where models that grade, score or tokenize plug in.
 
-They stand in for a model that reads both answers; one plugs in by ``judge_udf``.
+The built-in judges give integer grades 1 to 5 from the tokens two answers share. They
+stand in for a model that reads both answers. Each ``*_udf`` takes a factory that is
+called once per task and hands its model Arrow batches.
 """
 
 from __future__ import annotations
@@ -31,10 +33,24 @@ def correctness(pred: Column, truth: Column) -> Column:
     return _grade(F.array_size(F.array_intersect(p, t)), F.array_size(t))
 
 
+def token_count_udf(
+    factory: Callable[[], Callable[[str], int]],
+) -> Callable[[Column], Column]:
+    """Tokens per text by a model's own tokenizer; null for null."""
+
+    @F.pandas_udf("bigint")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = factory()
+        for texts in batches:
+            yield pd.Series([None if t is None else tokens(t) for t in texts], dtype="Int64")
+
+    return count
+
+
 def text_score_udf(
     factory: Callable[[], Callable[[list[str]], list[float]]],
 ) -> Callable[[Column], Column]:
-    """A score per text, such as toxicity, from a model whose factory runs once per task."""
+    """A score per text, such as toxicity."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -48,7 +64,7 @@ def text_score_udf(
 def judge_udf(
     factory: Callable[[], Callable[[list[str], list[str]], list[int]]],
 ) -> Callable[[Column, Column], Column]:
-    """A judge from a factory called once per task; it grades Arrow batches of pairs."""
+    """A grade per pair of texts."""
 
     @F.pandas_udf("int")
     def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -36,24 +36,27 @@ def given_score(name: str, col: str) -> Metric:
     return Metric(name, lambda pred, target: F.col(col))
 
 
-def text_metrics(df: DataFrame, col: str) -> DataFrame:
+def text_metrics(
+    df: DataFrame, col: str, token_counter: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Add ``token_count``, ``flesch_kincaid_grade`` and ``ari_grade`` of a text column.
 
     Each text is split and counted once: the counts are columns of their own below the
-    grades, where the optimizer keeps them since several grades use them.
+    grades, where the optimizer keeps them since several grades use them. Tokens are
+    words unless ``token_counter`` counts them by a model's own tokenizer.
     """
     text = F.col(col)
     counted = df.select("*", tokens(text).alias("_tokens")).select(
         *df.columns,
-        F.array_size("_tokens").cast("bigint").alias("token_count"),
+        F.array_size("_tokens").cast("bigint").alias("_words"),
         F.length(F.array_join("_tokens", "")).alias("_characters"),
         sentence_count(text).alias("_sentences"),
         syllable_count(text).alias("_syllables"),
     )
-    n, s = F.col("token_count"), F.col("_sentences")
+    n, s = F.col("_words"), F.col("_sentences")
     return counted.select(
         *df.columns,
-        "token_count",
+        (token_counter(text) if token_counter else n).alias("token_count"),
         fk_grade(n, s, F.col("_syllables")).alias("flesch_kincaid_grade"),
         ari_grade(F.col("_characters"), n, s).alias("ari_grade"),
     )

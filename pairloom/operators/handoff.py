@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.hashing import digest
@@ -11,6 +13,24 @@ from pairloom.functions.readability import token_count
 
 PAIR_COLUMNS = ["prompt", "response"]
 
+# The fields of a training run's record, in the order shown.
+RUN_FIELDS = [
+    "name",
+    "status",
+    "details",
+    "model",
+    "task_type",
+    "learning_rate",
+    "training_duration",
+    "train_data_path",
+    "eval_data_path",
+    "register_to",
+    "experiment_path",
+    "eval_prompts",
+    "custom_weights_path",
+    "data_prep_cluster_id",
+]
+
 
 def validate_ift(train: DataFrame, evaluation: DataFrame) -> DataFrame:
     """One row of counts: rows, unfit rows, and what the two sides share.
@@ -42,16 +62,24 @@ def validate_ift(train: DataFrame, evaluation: DataFrame) -> DataFrame:
     return prompts.withColumn("shared_prompts", shared).agg(*totals)
 
 
-def training_profile(df: DataFrame, epochs: int, split_col: str = "split") -> DataFrame:
-    """Rows, tokens, and tokens over all epochs, per split."""
-    tokens = token_count(F.col("prompt")) + token_count(F.col("response"))
+def training_profile(
+    df: DataFrame,
+    epochs: int,
+    split_col: str = "split",
+    token_counter: Callable[[Column], Column] = token_count,
+) -> DataFrame:
+    """Rows, tokens, and tokens over all epochs, per split.
+
+    ``token_counter`` is where a model's own tokenizer goes (see ``token_count_udf``).
+    """
+    tokens = token_counter(F.col("prompt")) + token_counter(F.col("response"))
     sums = df.groupBy(split_col).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(tokens).alias("n_tokens")
     )
     return sums.withColumn("total_tokens", F.col("n_tokens") * epochs)
 
 
-def unpivot_record(df: DataFrame, keys: list[str]) -> DataFrame:
+def unpivot_record(df: DataFrame, keys: list[str] = RUN_FIELDS) -> DataFrame:
     """A wide row as ``(key, value)`` rows, values as text."""
     as_text = df.select(*[F.col(k).cast("string").alias(k) for k in keys])
     return as_text.unpivot([], keys, "key", "value")

@@ -288,13 +288,16 @@ DATASET_CHECKS = {
           (SELECT count(*) FILTER (shared) FROM prompts) AS shared_prompts
         FROM ift""",
     "training_profile": f"WITH {PROFILE} SELECT *, n_tokens * 3 AS total_tokens FROM profile",
-    "run_record": f"""WITH {PROFILE}
-        SELECT 'name' AS key, 'title-run' AS value
-        UNION ALL SELECT 'task_type', 'INSTRUCTION_FINETUNE'
-        UNION ALL SELECT 'learning_rate', '3e-06'
-        UNION ALL SELECT 'training_duration', '3ep'
-        UNION ALL SELECT 'train_rows', n_rows::VARCHAR FROM profile WHERE split = 'train'
-        UNION ALL SELECT 'train_tokens', (n_tokens * 3)::VARCHAR FROM profile WHERE split = 'train'""",
+    "run_record": f"""WITH {PROFILE},
+        train AS (SELECT * FROM profile WHERE split = 'train'),
+        fixed(key, value) AS (VALUES
+          ('name', 'title-run'), ('status', 'COMPLETED'), ('model', 'base'),
+          ('task_type', 'INSTRUCTION_FINETUNE'), ('learning_rate', '3e-06'),
+          ('training_duration', '3ep'), ('train_data_path', 'title_train'),
+          ('eval_data_path', 'title_eval'), ('register_to', 'models'), ('experiment_path', NULL),
+          ('eval_prompts', NULL), ('custom_weights_path', NULL), ('data_prep_cluster_id', NULL))
+        SELECT key, value FROM fixed, train
+        UNION ALL SELECT 'details', n_rows || ' rows, ' || (n_tokens * 3) || ' tokens' FROM train""",
 }
 
 STORAGE_CHECKS = {

@@ -118,16 +118,22 @@ def training_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record of a training run over this dataset, as key/value rows."""
     profile = handoff.training_profile(views.ift(spark, sf_dir), epochs=3)
-    train = profile.where(F.col("split") == "train")
-    record = train.select(
-        F.lit("title-run").alias("name"),
-        F.lit("INSTRUCTION_FINETUNE").alias("task_type"),
-        F.lit("3e-06").alias("learning_rate"),
-        F.lit("3ep").alias("training_duration"),
-        F.col("n_rows").alias("train_rows"),
-        F.col("total_tokens").alias("train_tokens"),
+    known = {
+        "name": F.lit("title-run"),
+        "status": F.lit("COMPLETED"),
+        "details": F.format_string("%d rows, %d tokens", "n_rows", "total_tokens"),
+        "model": F.lit("base"),
+        "task_type": F.lit("INSTRUCTION_FINETUNE"),
+        "learning_rate": F.lit("3e-06"),
+        "training_duration": F.lit("3ep"),
+        "train_data_path": F.lit("title_train"),
+        "eval_data_path": F.lit("title_eval"),
+        "register_to": F.lit("models"),
+    }
+    record = profile.where(F.col("split") == "train").select(
+        *[known.get(field, F.lit(None)).alias(field) for field in handoff.RUN_FIELDS]
     )
-    return handoff.unpivot_record(record, record.columns)
+    return handoff.unpivot_record(record)
 
 
 QUERIES = {

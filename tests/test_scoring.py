@@ -6,7 +6,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.functions.judges import correctness, judge_udf, similarity, text_score_udf
+from pairloom.functions.judges import (
+    correctness,
+    judge_udf,
+    similarity,
+    text_score_udf,
+    token_count_udf,
+)
 from pairloom.operators import evaluate as ev
 from pairloom.operators import handoff
 from pairloom.operators.percentile import exact_percentile
@@ -42,6 +48,15 @@ def test_a_toxicity_model_plugs_in(spark):
     assert ev.toxicity(scored, "toxicity").first().toxicity_ratio == 0.5
 
 
+def test_a_tokenizer_plugs_in(spark):
+    counter = token_count_udf(lambda: len)
+    df = from_rows(spark, [("train", "ab c", "d"), ("train", "", None)], f"split string, {PAIR}")
+    found = ev.text_metrics(df, "response", counter).orderBy(F.desc("prompt")).collect()
+    assert [r.token_count for r in found] == [1, None]
+    profile = handoff.training_profile(df.fillna(""), 2, token_counter=counter).first()
+    assert (profile.n_rows, profile.n_tokens, profile.total_tokens) == (2, 5, 10)
+
+
 def test_default_metrics_can_be_off(spark):
     df = from_rows(spark, [("a", "a")], "p string, t string")
     assert ev.evaluate(df, "t", "p", extra=[ev.ANSWER_SIMILARITY]).columns == ["p", "t", "answer_similarity"]
