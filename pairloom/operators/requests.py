@@ -79,8 +79,12 @@ def unbatch_responses(
 
     Every key keeps its row; its text is null where the response is malformed or short.
     """
-    texts = response_texts(F.col(response_col)).alias("_texts")
-    exploded = df.select(F.posexplode(keys_col).alias("_at", "_key"), texts)
-    return exploded.select(
-        "_key.*", F.col("_at").cast("bigint").alias("pos"), F.get("_texts", "_at").alias(out_col)
+    texts = F.coalesce(response_texts(F.col(response_col)), F.array().cast("array<string>"))
+    paired = df.select(
+        F.col(keys_col).alias("key"), F.slice(texts, 1, F.array_size(keys_col)).alias("text")
+    )
+    # Zipped before it is exploded, so that a row carries its own text only.
+    rows = paired.select(F.posexplode(F.arrays_zip("key", "text")).alias("pos", "item"))
+    return rows.select(
+        "item.key.*", F.col("pos").cast("bigint").alias("pos"), F.col("item.text").alias(out_col)
     )

@@ -122,10 +122,13 @@ def test_responses(spark):
 
 
 def test_unbatch_keeps_a_row_for_every_key(spark):
-    rows = [([(1,), (2,)], '{"predictions":[{"candidates":[{"text":"a"}]}]}'), ([(3,)], "{oops")]
+    one = '{"predictions":[{"candidates":[{"text":"a"}]}]}'
+    two = '{"predictions":[{"candidates":[{"text":"b"}]},{"candidates":[{"text":"surplus"}]}]}'
+    rows = [([(1,), (2,)], one), ([(3,)], "{oops"), ([(4,)], two), ([], one)]
     df = from_rows(spark, rows, "keys array<struct<id: long>>, answer string")
     found = requests.unbatch_responses(df, "answer", "keys", "text")
-    assert sorted(map(tuple, found.collect())) == [(1, 0, "a"), (2, 1, None), (3, 0, None)]
+    wanted = [(1, 0, "a"), (2, 1, None), (3, 0, None), (4, 0, "b")]
+    assert sorted(map(tuple, found.collect())) == wanted
 
 
 def batches_of(df, **options):
