@@ -16,7 +16,7 @@ from pairloom.functions.readability import (
     syllable_count,
     tokens,
 )
-from pairloom.operators.percentile import exact_percentile
+from pairloom.operators.percentile import exact_percentiles
 
 
 @dataclass(frozen=True)
@@ -130,8 +130,7 @@ def aggregate_scores(
     ]
     moments = one_row.select(F.inline(F.array(*named)))
 
-    long = scores.unpivot([], list(score_cols), "metric", "score")
-    found = exact_percentile(long, "metric", "score", p)
+    found = exact_percentiles(scores, score_cols, p)
     # One row per metric, even where a metric has no scores at all.
     names = scores.sparkSession.range(1).select(
         F.explode(F.array(*map(F.lit, score_cols))).alias("metric")

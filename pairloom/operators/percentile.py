@@ -1,73 +1,83 @@
-"""Exact percentiles of any number of values, without gathering a group in one task."""
+"""Exact percentiles of any number of values, without gathering a column in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentile(
-    values: DataFrame, group: str, value: str, p: float, accuracy: int = 10_000, bins: int = 4096
+def exact_percentiles(
+    df: DataFrame, cols: Sequence[str], p: float, accuracy: int = 10_000, bins: int = 4096
 ) -> DataFrame:
-    """Linear-interpolated percentile per group as ``(group, percentile)``; nulls and NaN ignored.
+    """Linear-interpolated percentile per column as ``(metric, percentile)``.
+
+    Nulls and NaN are ignored; a column of nothing else has no row.
 
-    The built-in exact ``percentile`` holds every distinct value of a group in one
+    The built-in exact ``percentile`` holds every distinct value of a column in one
     buffer. Here an approximate percentile only proposes a narrow interval around the
     answer; exact counts of ``bins`` equal steps over it find the step with the wanted
     rank; and only that step's distinct values are ranked. A poor proposal costs time,
     never the result. A value that repeats is one counted row, however hot.
 
-    ``group`` must have few distinct values: one small row of each is broadcast.
+    What is broadcast is one row per column, then at most two.
     """
-    values = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select(group, value)
+    values = (
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+        .unpivot([], list(cols), "metric", "score")
+        .where(F.col("score").isNotNull() & ~F.isnan("score"))
+    )
+    score = F.col("score")
     margin = 3.0 / accuracy
     around = [max(0.0, p - margin), min(1.0, p + margin)]
-    stats = values.groupBy(group).agg(
-        F.count(F.lit(1)).alias("_count"),
-        F.min(value).alias("_min"),
-        F.max(value).alias("_max"),
-        F.percentile_approx(value, around, accuracy).alias("_q"),
+    stats = values.groupBy("metric").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(score).alias("min"),
+        F.max(score).alias("max"),
+        F.percentile_approx(score, around, accuracy).alias("near"),
     )
-    wide = F.col("_count") <= 10 * accuracy  # too few rows for the margin to cover a whole rank
+    few = F.col("n") <= 10 * accuracy  # too few for the margin to cover a whole rank
     bounds = stats.select(
-        group,
-        ((F.col("_count") - 1) * p).alias("_rank"),
-        F.when(wide, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"),
-        F.when(wide, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi"),
+        "metric",
+        ((F.col("n") - 1) * p).alias("rank"),
+        F.when(few, F.col("min")).otherwise(F.col("near")[0]).alias("lo"),
+        F.when(few, F.col("max")).otherwise(F.col("near")[1]).alias("hi"),
     )
-    width = F.col("_hi") - F.col("_lo")
-    step = F.floor((F.col(value) - F.col("_lo")) / width * bins)
-    stepped = values.join(F.broadcast(bounds), group).withColumn(
-        "_bin",
-        F.when(F.col(value) < F.col("_lo"), -1)
-        .when(F.col(value) > F.col("_hi"), bins + 1)
-        .when((width > 0) & (width < float("inf")), step)
+    width = F.col("hi") - F.col("lo")
+    stepped = values.join(F.broadcast(bounds), "metric").withColumn(
+        "step",
+        F.when(score < F.col("lo"), -1)
+        .when(score > F.col("hi"), bins + 1)
+        .when((width > 0) & (width < float("inf")), F.floor((score - F.col("lo")) / width * bins))
         .otherwise(0),
     )
-    low, high = F.floor("_rank"), F.ceil("_rank")
+    low, high = F.floor("rank"), F.ceil("rank")
 
-    # At most bins + 3 rows per group.
-    before = Window.partitionBy(group).orderBy("_bin")
-    histogram = stepped.groupBy(group, "_rank", "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    # At most bins + 3 rows per column.
+    upto = Window.partitionBy("metric").orderBy("step")
     chosen = (
-        histogram.withColumn("_upto", F.sum("_n").over(before))
-        .withColumn("_below", F.col("_upto") - F.col("_n"))
-        .where((F.col("_below") <= high) & (F.col("_upto") > low))
-        .select(group, "_bin", "_below")
+        stepped.groupBy("metric", "rank", "step")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(upto))
+        .withColumn("below", F.col("upto") - F.col("n"))
+        .where((F.col("below") <= high) & (F.col("upto") > low))
+        .select("metric", "step", "below")
     )
 
     # The distinct values of one step, or of two where the rank falls between them.
-    inside = Window.partitionBy(group, "_bin").orderBy(value)
-    ranked = (
-        stepped.join(F.broadcast(chosen), [group, "_bin"])
-        .groupBy(group, "_rank", "_bin", "_below", value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.col("_below") + F.sum("_n").over(inside))
-    )
-    ends = ranked.groupBy(group, "_rank").agg(
-        F.min(F.when(F.col("_upto") > low, F.col(value))).alias("_a"),
-        F.min(F.when(F.col("_upto") > high, F.col(value))).alias("_b"),
+    inside = Window.partitionBy("metric", "step").orderBy("score")
+    ends = (
+        stepped.join(F.broadcast(chosen), ["metric", "step"])
+        .groupBy("metric", "rank", "step", "below", "score")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.col("below") + F.sum("n").over(inside))
+        .groupBy("metric", "rank")
+        .agg(
+            F.min(F.when(F.col("upto") > low, score)).alias("a"),
+            F.min(F.when(F.col("upto") > high, score)).alias("b"),
+        )
     )
-    between = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - low)
-    result = F.when(F.col("_b") > F.col("_a"), between).otherwise(F.col("_a"))
-    return ends.select(group, result.alias("percentile"))
+    between = F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - low)
+    exact = F.when(F.col("b") > F.col("a"), between).otherwise(F.col("a"))
+    return ends.select("metric", exact.alias("percentile"))

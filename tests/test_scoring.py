@@ -1,6 +1,7 @@
 """Scores, exact percentiles, summaries, and checks before training."""
 
 import json
+from itertools import zip_longest
 
 import numpy as np
 import pytest
@@ -15,7 +16,7 @@ from pairloom.functions.judges import (
 )
 from pairloom.operators import evaluate as ev
 from pairloom.operators import handoff
-from pairloom.operators.percentile import exact_percentile
+from pairloom.operators.percentile import exact_percentiles
 from pairloom.sources.tables import drop_table, from_rows
 
 
@@ -74,23 +75,25 @@ def test_toxicity_leaves_unscored_rows_out(spark):
 
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 0.999, 1.0])
 def test_percentile_of_few_rows(spark, p):
-    values = {n: np.random.default_rng(n).normal(size=n).tolist() for n in (1, 2, 9, 10, 11, 100)}
-    rows = [(n, v) for n, of_n in values.items() for v in [*of_n, None]]
-    found = exact_percentile(from_rows(spark, rows, "n int, v double"), "n", "v", p).collect()
-    wanted = {n: np.percentile(of_n, 100 * p) for n, of_n in values.items()}
-    assert {r.n: r.percentile for r in found} == pytest.approx(wanted)
+    sizes = (1, 2, 9, 10, 11, 100)
+    values = [np.random.default_rng(n).normal(size=n).tolist() for n in sizes]
+    rows = list(zip_longest(*values))  # shorter columns end in nulls
+    df = from_rows(spark, rows, ", ".join(f"n{n} double" for n in sizes))
+    found = exact_percentiles(df, df.columns, p).collect()
+    wanted = {f"n{n}": np.percentile(of_n, 100 * p) for n, of_n in zip(sizes, values)}
+    assert {r.metric: r.percentile for r in found} == pytest.approx(wanted)
 
 
 def test_percentile_with_infinite_values(spark):
     inf, nan = float("inf"), float("nan")
-    rows = [("g", v) for v in (-inf, 1.0, 2.0, inf, nan)] + [("all", inf), ("all", inf)]
-    df = from_rows(spark, rows, "g string, v double")
-    found = {r.g: r.percentile for r in exact_percentile(df, "g", "v", 0.5).collect()}
-    assert found == {"g": 1.5, "all": inf}
+    rows = [(-inf, inf, None), (1.0, inf, nan), (2.0, None, nan), (inf, None, None), (nan, None, None)]
+    df = from_rows(spark, rows, "some double, all double, none double")
+    found = {r.metric: r.percentile for r in exact_percentiles(df, df.columns, 0.5).collect()}
+    assert found == {"some": 1.5, "all": inf}
 
 
 def skewed(spark):
-    """Groups of 300,000: normal, one value for a third of rows, far outliers, one value only."""
+    """300,000 rows: normal, one value for a third of them, far outliers, one value, integers."""
     i = F.col("id")
     noise = F.randn(3)
     values = {
@@ -98,31 +101,31 @@ def skewed(spark):
         "hot": F.when(i % 3 == 0, 1.25).otherwise(noise),
         "far": F.when(i % 1000 == 0, noise * 1e12).otherwise(noise),
         "flat": F.lit(2.5),
-        "whole": F.floor(noise * 3).cast("double"),
+        "whole": F.floor(noise * 3),
     }
-    wide = spark.range(0, 300_000, 1, 8).select(*[v.alias(k) for k, v in values.items()])
-    return wide.unpivot([], list(values), "g", "v")
+    return spark.range(0, 300_000, 1, 8).select(*[v.alias(k) for k, v in values.items()])
+
+
+def built_in_percentiles(df, p):
+    return df.agg(*[F.percentile(c, p).alias(c) for c in df.columns]).first().asDict()
 
 
 @pytest.mark.parametrize("accuracy", [10_000, 1000, 50])
 def test_percentile_of_many_rows(spark, accuracy):
     df = skewed(spark)
-    built_in = df.groupBy("g").agg(F.percentile("v", 0.9).alias("want"))
-    found = exact_percentile(df, "g", "v", 0.9, accuracy=accuracy, bins=64).join(built_in, "g")
-    rows = found.collect()
-    assert len(rows) == 5
-    for r in rows:
-        assert r.percentile == pytest.approx(r.want, rel=1e-12), r
+    found = exact_percentiles(df, df.columns, 0.9, accuracy=accuracy, bins=64).collect()
+    wanted = built_in_percentiles(df, 0.9)
+    assert {r.metric: r.percentile for r in found} == pytest.approx(wanted, rel=1e-12)
 
 
 def test_a_poor_proposal_still_gives_the_exact_answer(spark, monkeypatch):
     """Bounds that miss the rank altogether only make the step outside them the chosen one."""
     df = skewed(spark)
-    want = {r.g: r.want for r in df.groupBy("g").agg(F.percentile("v", 0.9).alias("want")).collect()}
+    wanted = built_in_percentiles(df, 0.9)
     honest = F.percentile_approx
     monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: honest(c, [0.2, 0.3], a))
-    found = exact_percentile(df, "g", "v", 0.9).collect()
-    assert {r.g: r.percentile for r in found} == pytest.approx(want)
+    found = exact_percentiles(df, df.columns, 0.9).collect()
+    assert {r.metric: r.percentile for r in found} == pytest.approx(wanted)
 
 
 def test_summary(spark):
