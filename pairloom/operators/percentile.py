@@ -23,20 +23,23 @@ def exact_percentiles(
 
     What is broadcast is one row per column, then at most two.
     """
-    values = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        .unpivot([], list(cols), "metric", "score")
-        .where(F.col("score").isNotNull() & ~F.isnan("score"))
-    )
-    score = F.col("score")
+    df = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in cols])
     margin = 3.0 / accuracy
     around = [max(0.0, p - margin), min(1.0, p + margin)]
-    stats = values.groupBy("metric").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(score).alias("min"),
-        F.max(score).alias("max"),
-        F.percentile_approx(score, around, accuracy).alias("near"),
-    )
+    # Side by side in one row first: no row is copied once per column for this pass.
+    summaries = [
+        F.struct(
+            F.lit(c).alias("metric"),
+            F.count(c).alias("n"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+            F.percentile_approx(c, around, accuracy).alias("near"),
+        )
+        for c in cols
+    ]
+    stats = df.agg(F.array(*summaries).alias("of")).select(F.inline("of")).where(F.col("n") > 0)
+    values = df.unpivot([], list(cols), "metric", "score").where(F.col("score").isNotNull())
+    score = F.col("score")
     few = F.col("n") <= 10 * accuracy  # too few for the margin to cover a whole rank
     bounds = stats.select(
         "metric",
