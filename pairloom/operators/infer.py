@@ -87,12 +87,16 @@ def batch_infer(
     error_col: str | None = None,
     on_error: OnError = "null",
     call_size: int = 64,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add the generated text, and with ``error_col`` the reason where there is none.
 
-    Save the result (``save_table``) before using it twice: every action on an unsaved
+    A slow model wants more tasks than a scan of a few files gives: ``tasks`` spreads the
+    rows evenly over that many first. Save the result (``save_table``) before using it twice: every action on an unsaved
     result calls the model again.
     """
+    if tasks is not None:
+        df = df.repartition(tasks)
     udf = make_batch_udf(factory, params, on_error, call_size)
     scored = df.withColumn("_scored", udf(F.col(prompt_col)))
     outputs = {out_col: F.col("_scored.text")}

@@ -61,6 +61,13 @@ def test_factory_runs_once_per_task(spark, small_batches, tmp_path):
     assert open(log).read().count("start") == 2
 
 
+def test_rows_spread_over_the_tasks_asked_for(spark):
+    df = spark.range(0, 1000, 1, 1).select(F.col("id").cast("string").alias("prompt"))
+    out = infer.batch_infer(df, "prompt", shout, tasks=5).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in out.groupBy("task").count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 300
+
+
 def test_lead_scorer_and_its_params(spark):
     df = from_rows(spark, [("a b c d",), ("a",), ("",), ("x  y z",)], "prompt string")
     out = infer.batch_infer(df, "prompt", infer.lead_scorer(), GenParams(max_tokens=3))
