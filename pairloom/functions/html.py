@@ -37,25 +37,27 @@ MARKUP = (
     r"|template\b.*?</template\s*>|[^>]*>)"
 )
 SPACES = " \t\n\r\f\u000b\u00a0"
-BREAK = "\u0001"
 HIDDEN_TAGS = ("script", "style", "template")
 
 
 def pattern_text(html: Column, tag: str = "article", css_class: str | None = None) -> Column:
-    """Container text by patterns, whole-stage codegen all the way; ``''`` if no container."""
+    """Container text by patterns, all in the JVM; ``''`` if there is no container."""
     wanted = (
         rf"""\s[^>]*?\bclass\s*=\s*["'](?:[^"']*\s)?{re.escape(css_class)}(?:\s[^"']*)?["'][^>]*"""
         if css_class
         else r"(?:\s[^>]*)?"
     )
     body = F.regexp_extract(html, rf"(?is)<{tag}{wanted}>(.*?)</{tag}\s*>", 1)
-    marked = F.regexp_replace(body, MARKUP, BREAK)
-    decoded = reduce(lambda c, e: F.regexp_replace(c, e[0], e[1]), ENTITIES, marked)
-    plain = F.when(F.contains(marked, F.lit("&")), decoded).otherwise(marked)
-    nodes = F.transform(F.split(plain, BREAK), lambda node: F.trim(node, F.lit(SPACES)))
+    nodes = F.transform(F.split(body, MARKUP), lambda node: F.trim(_decoded(node), F.lit(SPACES)))
     return clean_text(F.array_join(F.filter(nodes, lambda node: node != ""), " "))
 
 
+def _decoded(node: Column) -> Column:
+    """Entities decoded, where the node has any: most have none and skip the passes."""
+    decoded = reduce(lambda c, e: F.regexp_replace(c, *e), ENTITIES, node)
+    return F.when(F.contains(node, F.lit("&")), decoded).otherwise(node)
+
+
 class _ContainerText(HTMLParser):
     """Collects the visible text nodes of the first matching container."""
 

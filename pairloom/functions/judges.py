@@ -18,7 +18,8 @@ from pairloom.functions.readability import distinct_tokens
 
 def _grade(shared: Column, total: Column) -> Column:
     """1 for nothing shared up to 5 for all shared; null where there is nothing to share."""
-    return F.when(total > 0, 1 + F.floor(4 * shared / total)).cast("int")
+    # Dividing by zero is the null; a test of the total would compute it twice.
+    return (1 + F.floor(F.try_divide(4 * shared, total))).cast("int")
 
 
 def similarity(pred: Column, truth: Column) -> Column:

@@ -39,8 +39,9 @@ def hash_split(
     *named, last = list(weights)
     side = F.lit(last)
     for name, bound in reversed(list(zip(named, bounds))):
-        side = F.when(slot < bound, name).otherwise(side)
-    return df.withColumn(out_col, side)
+        side = F.when(F.col("_slot") < bound, name).otherwise(side)
+    # The slot is a column of its own, so that several sides hash a row only once.
+    return df.withColumn("_slot", slot).withColumn(out_col, side).drop("_slot")
 
 
 def save_splits(df: DataFrame, table: str, split_col: str = "split") -> DataFrame:
