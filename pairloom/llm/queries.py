@@ -5,14 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import chat_format, decontamination, secret_scan, topk
+from pairloom.llm import (
+    chat_format,
+    decontamination,
+    grammar_store,
+    packing,
+    pu_quality,
+    secret_scan,
+    topk,
+)
 from pairloom.sources.tables import load_dir
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_chats(load_dir(spark, sf_dir, "conversations.parquet"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load_dir(spark, sf_dir, "documents.parquet"), tokenizer("byte_bpe_50k.json"))
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.whole_vectors(load_dir(spark, sf_dir, "embeddings.parquet"))
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
@@ -47,10 +66,28 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar_store.round_trip(load_dir(spark, sf_dir, "documents.parquet"), tokenizer("word_bpe_49k.json"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (load_dir(spark, sf_dir, f"{t}.parquet") for t in ("documents", "labels"))
+    scored = pu_quality.score_quality(docs, labels, ["doc_id"])
+    return scored.select(
+        "row.doc_id",
+        pu_quality.held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= pu_quality.CUT).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_packing": op2_packing,
     "op3_exact_top_k": op3_exact_top_k,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_secret_scan": op6_secret_scan,
+    "op9_token_id_output": op9_token_id_output,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 CHECKS: dict[str, str] = {}

@@ -15,11 +15,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once and read back, so that lost executors cost no recomputation."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
