@@ -9,6 +9,7 @@ from pairloom.llm import (
     chat_format,
     decontamination,
     grammar_store,
+    jaccard_join,
     packing,
     pu_quality,
     secret_scan,
@@ -66,6 +67,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(load_dir(spark, sf_dir, "documents.parquet"))
+
+
 def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_store.round_trip(load_dir(spark, sf_dir, "documents.parquet"), tokenizer("word_bpe_49k.json"))
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op3_exact_top_k": op3_exact_top_k,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_secret_scan": op6_secret_scan,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_token_id_output": op9_token_id_output,
     "op10_quality_classifier": op10_quality_classifier,
 }
