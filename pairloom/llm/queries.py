@@ -13,6 +13,7 @@ from pairloom.llm import (
     packing,
     pu_quality,
     secret_scan,
+    substring_dedup,
     topk,
 )
 from pairloom.sources.tables import load_dir
@@ -71,6 +72,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(load_dir(spark, sf_dir, "documents.parquet"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(load_dir(spark, sf_dir, "documents.parquet"))
+
+
 def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_store.round_trip(load_dir(spark, sf_dir, "documents.parquet"), tokenizer("word_bpe_49k.json"))
 
@@ -93,6 +98,7 @@ QUERIES = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_secret_scan": op6_secret_scan,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_id_output": op9_token_id_output,
     "op10_quality_classifier": op10_quality_classifier,
 }
