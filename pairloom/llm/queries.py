@@ -10,6 +10,7 @@ from pairloom.llm import (
     decontamination,
     grammar_store,
     jaccard_join,
+    license_scan,
     packing,
     pu_quality,
     secret_scan,
@@ -39,6 +40,20 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and license found in it."""
+    found = license_scan.find_licenses(load_dir(spark, sf_dir, "documents.parquet"), carry=["doc_id"])
+    return (
+        found.select("row.doc_id", F.explode("matches").alias("match"))
+        .groupBy("doc_id", "match.license")
+        .agg(
+            F.count(F.lit(1)).alias("n_matches"),
+            F.min("match.start").alias("first_word"),
+            F.max("match.containment").alias("containment"),
+        )
+    )
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_dir(spark, sf_dir, "documents.parquet")
     hits = decontamination.find_hits(docs, load_dir(spark, sf_dir, "benchmark.parquet"), ["doc_id"])
@@ -95,6 +110,7 @@ QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_packing": op2_packing,
     "op3_exact_top_k": op3_exact_top_k,
+    "op4_license_scan": op4_license_scan,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_secret_scan": op6_secret_scan,
     "op7_jaccard_join": op7_jaccard_join,
