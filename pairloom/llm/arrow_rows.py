@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,6 +14,23 @@ from pyspark.sql import types as T
 from pairloom.llm.text_words import groups
 
 
+#: Where this package lies; workers on hosts that do not have it there need it installed.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def map_batches(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow``, by workers that can import this package.
+
+    Functions go to the workers by name, so a worker loads tables and caches once and keeps
+    them for all its tasks.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
+    return df.mapInArrow(run, schema)
+
+
 def add_columns(
     docs: DataFrame,
     compute: Callable[[list[bytes | None]], Sequence[pa.Array]],
@@ -43,4 +62,4 @@ def add_columns(
                     [rows.slice(low, high - low), *made], ["row", *[n for n, _, _ in own]]
                 )
 
-    return frame.mapInArrow(run, schema)
+    return map_batches(frame, run, schema)

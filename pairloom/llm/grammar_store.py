@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.llm.arrow_rows import map_batches
 from pairloom.llm.scratch import new_folder
 from pairloom.llm.token_ids import word_bpe
 
@@ -158,7 +159,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, _SHARD).write.option("compression", "zstd").parquet(path)
+    map_batches(ordered, run, _SHARD).write.option("compression", "zstd").parquet(path)
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
@@ -187,7 +188,7 @@ def read_documents(spark, path: str) -> DataFrame:
                 columns = [np.full(len(ends), row["part"]), np.full(len(ends), row["shard"]), pa.array(row["doc_ids"], pa.int64()), ends - lengths, lengths, np.array(crc, dtype=np.int64)]
                 yield pa.record_batch(columns, ["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    rows = shards.mapInArrow(run, "part long, shard long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = map_batches(shards, run, "part long, shard long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return rows.join(shard_starts(shards), ["part", "shard"]).select(
         "doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.llm.arrow_rows import map_batches
 from pairloom.llm.components import components
 from pairloom.llm.scratch import keep, release, remove
 from pairloom.llm.text_words import SPACED_LOWER, groups, mix, ngrams, words_of
@@ -134,7 +135,7 @@ def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 yield pa.record_batch([ids.slice(low, high - low), n, code], ["doc_id", "n", "cid"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("cid", T.LongType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def _key_rows(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
@@ -159,7 +160,7 @@ def _key_rows(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFr
                     ["bucket", "keys", "cids"],
                 )
 
-    return docs.select("text").mapInArrow(run, "bucket long, keys binary, cids binary")
+    return map_batches(docs.select("text"), run, "bucket long, keys binary, cids binary")
 
 
 def _meetings(rows: DataFrame, buckets: int) -> DataFrame:
@@ -202,7 +203,7 @@ def _meetings(rows: DataFrame, buckets: int) -> DataFrame:
             yield found
 
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "meeting long, cid long").distinct()
+    return map_batches(dealt, run, "meeting long, cid long").distinct()
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -241,7 +242,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
             codes = [class_code(np.frombuffer(s.as_py(), dtype=np.uint64)) for s in batch.column("shingles")]
             yield batch.filter(pa.array([a == b for a, b in zip(codes, batch.column("cid").to_pylist())]))
 
-    found = texts.mapInArrow(own_sets, "cid long, shingles binary").dropDuplicates(["cid"])
+    found = map_batches(texts, own_sets, "cid long, shingles binary").dropDuplicates(["cid"])
     routed = sends.select("cid", "to.*").join(found, "cid")
     dealt = routed.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
 
@@ -263,7 +264,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
                     v.append(to)
             yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return dealt.select("cid", "hub", "salt", "own", "shingles").mapInArrow(compare, "u long, v long")
+    return map_batches(dealt.select("cid", "hub", "salt", "own", "shingles"), compare, "u long, v long")
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from pairloom.llm.arrow_rows import map_batches
 from pairloom.llm.scratch import keep
 from pairloom.llm.text_words import mix
 from pairloom.llm.token_ids import byte_bpe
@@ -93,7 +94,7 @@ def tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
                 yield pa.record_batch([batch.column("doc_id"), curve, pa.array(ids, pa.binary())], ["doc_id", "curve", "ids"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("curve", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def unpacked(raw: bytes) -> np.ndarray:
@@ -183,4 +184,4 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool =
         if done:
             yield batch_of(done)
 
-    return ordered.mapInArrow(run, T.StructType(fields))
+    return map_batches(ordered, run, T.StructType(fields))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.arrow_rows import add_columns
+from pairloom.llm.arrow_rows import add_columns, map_batches
 
 KINDS = ("assign", "access", "hex", "random")
 #: Least length of a run that the battery judges.
@@ -149,7 +149,7 @@ def corpus_shares(docs: DataFrame) -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.record_batch([seen, total[seen]], ["symbol", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
+    rows = map_batches(docs.select("text"), count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
     shares = np.zeros(256)
     for r in rows.collect():  # at most one row per symbol of the alphabet
         shares[r.symbol] = r.n
@@ -173,7 +173,7 @@ def threshold(docs: DataFrame, shares: np.ndarray, level: float = FALSE_DISCOVER
         seen = np.flatnonzero(total)
         yield pa.record_batch([seen, total[seen]], ["bin", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    rows = map_batches(docs.select("text"), count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
     total, found, least = sum(r.n for r in rows), 0, BINS
     for r in sorted(rows, key=lambda r: -r.bin):
         found += r.n

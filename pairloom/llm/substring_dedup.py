@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.llm.arrow_rows import map_batches
 from pairloom.llm.scratch import keep, release, remove
 from pairloom.llm.text_words import SPACED, groups, mix, ngrams, words_of
 
@@ -96,7 +97,7 @@ def _emitted(texts: DataFrame, entries, buckets: int, columns: list[str]) -> Dat
                 if len(doc):
                     yield _packed(doc_ids, doc, code, mark, bucket)
 
-    return texts.select("doc_id", "text", *columns).mapInArrow(run, _PACKED)
+    return map_batches(texts.select("doc_id", "text", *columns), run, _PACKED)
 
 
 def _judged(packed: DataFrame, buckets: int, kind: str, judge, wide: bool) -> DataFrame:
@@ -138,7 +139,7 @@ def _judged(packed: DataFrame, buckets: int, kind: str, judge, wide: bool) -> Da
             yield flush(now, held)
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "doc_id long, codes array<long>")
+    return map_batches(dealt, run, "doc_id long, codes array<long>")
 
 
 def _hit(doc, anchor, edges, sizes):
@@ -210,7 +211,7 @@ def _summaries(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "sha"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("sha", T.StringType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -254,7 +255,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 columns = [part.column("doc_id"), pa.array(sha), pa.array(n, pa.int64()), pa.array(kept)]
                 yield pa.record_batch(columns, ["doc_id", "sha", "n", "kept"])
 
-    cut = near.select("doc_id", "text").join(lists, "doc_id").mapInArrow(run, "doc_id long, sha string, n long, kept string")
+    cut = map_batches(near.select("doc_id", "text").join(lists, "doc_id"), run, "doc_id long, sha string, n long, kept string")
     cut = keep(cut.distinct(), "cut")
     remove(spark, near, later)
     copy = (F.col("n_words") >= WINDOW) & (F.col("doc_id") > F.col("least"))

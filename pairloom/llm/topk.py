@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.arrow_rows import map_batches
 from pairloom.llm.scratch import keep
 
 #: Rows of a block of queries and of a shard; a tile is one of each.
@@ -167,20 +168,20 @@ def top_k(queries: DataFrame, table: DataFrame, k: int) -> DataFrame:
     least vector counts; it leaves out all rows of that id. Fewer rows than ``k`` give a shorter list, empty tables an empty result.
     """
     spark = table.sparkSession
-    shards = keep(table.mapInArrow(_blocks(SHARD_ROWS), _BLOCK), "shards")
+    shards = keep(map_batches(table, _blocks(SHARD_ROWS), _BLOCK), "shards")
     blocks = keep(
-        queries.groupBy("vec_id").agg(F.min("vector").alias("vector")).mapInArrow(_blocks(QUERY_ROWS), _BLOCK), "queries"
+        map_batches(queries.groupBy("vec_id").agg(F.min("vector").alias("vector")), _blocks(QUERY_ROWS), _BLOCK), "queries"
     ).toDF("q_block", "n", "q_ids", "q_vectors")
     groups = 1 + shards.count() // GROUP_SHARDS
     shards = shards.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)))
     spread = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     tiles = spread.join(shards, ["part", "n"]).repartition("q_block", "part").sortWithinPartitions("q_block", "part")
-    lists = tiles.select("q_block", "part", "q_ids", "q_vectors", "ids", "vectors").mapInArrow(_tiles(k), _LIST)
+    lists = map_batches(tiles.select("q_block", "part", "q_ids", "q_vectors", "ids", "vectors"), _tiles(k), _LIST)
     while True:
         groups = -(-groups // FAN_IN)
         part = F.floor(F.col("part") / FAN_IN).cast("long")
         lists = lists.withColumn("part", part).repartition("query_id", "part").sortWithinPartitions("query_id", "part")
-        lists = lists.mapInArrow(_fold(k), _LIST)
+        lists = map_batches(lists, _fold(k), _LIST)
         if groups == 1:
             break
     best = lists.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("score").cast("decimal(20,0)")).alias("s"), "vec_id", "score"))).alias("best"))
