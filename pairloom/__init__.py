@@ -1,8 +1 @@
 """Instruction-data preparation, batch text inference and scoring as Spark jobs."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# UDFs carry this package's code to the executors, so it need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
