@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pairloom.functions.model_calls import OnError, call_model
 from pairloom.functions.readability import distinct_tokens
 
 
@@ -50,27 +51,46 @@ def token_count_udf(
 
 def text_score_udf(
     factory: Callable[[], Callable[[list[str]], list[float]]],
+    on_error: OnError = "null",
+    call_size: int = 64,
+    details: bool = False,
 ) -> Callable[[Column], Column]:
-    """A score per text, such as toxicity."""
+    """A score per text, such as toxicity; null for a null text.
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    With ``details`` the column is ``struct<value, error>``, so that a failure shows its reason.
+    """
+
+    @F.pandas_udf("value double, error string")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = factory()
         for texts in batches:
-            yield pd.Series(model(texts.tolist()), dtype="Float64")
+            yield _answers(call_model(model, [texts.tolist()], on_error, call_size), "Float64")
 
-    return score.asNondeterministic()
+    return _column(score.asNondeterministic(), details)
 
 
 def judge_udf(
     factory: Callable[[], Callable[[list[str], list[str]], list[int]]],
+    on_error: OnError = "null",
+    call_size: int = 64,
+    details: bool = False,
 ) -> Callable[[Column, Column], Column]:
-    """A grade per pair of texts."""
+    """A grade per pair of texts; null where either is null. ``details`` as above."""
 
-    @F.pandas_udf("int")
-    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("value int, error string")
+    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         grade = factory()
         for pred, truth in batches:
-            yield pd.Series(grade(pred.tolist(), truth.tolist()), dtype="Int32")
+            pairs = [pred.tolist(), truth.tolist()]
+            yield _answers(call_model(grade, pairs, on_error, call_size), "Int32")
+
+    return _column(judge.asNondeterministic(), details)
+
+
+def _answers(found: list[tuple], dtype: str) -> pd.DataFrame:
+    values = pd.Series([value for value, _ in found], dtype=dtype)
+    return pd.DataFrame({"value": values, "error": pd.Series([e for _, e in found], dtype=object)})
+
 
-    return judge.asNondeterministic()
+def _column(udf: Callable[..., Column], details: bool) -> Callable[..., Column]:
+    return udf if details else lambda *texts: udf(*texts)["value"]

@@ -6,24 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def not_null(name: str) -> Column:
-    return F.col(name).isNotNull()
-
-
-def eq(name: str, value: str) -> Column:
-    return F.col(name) == value
-
-
-def min_length(name: str, n: int) -> Column:
-    """String longer than ``n`` characters."""
-    return F.length(name) > n
-
-
-def contains(name: str, part: str) -> Column:
-    """Case-sensitive substring test."""
-    return F.col(name).contains(part)
-
-
 def filled(name: str) -> Column:
     """Neither null nor empty. Blank text such as ``' '`` counts as filled."""
-    return not_null(name) & (F.col(name) != "")
+    return F.col(name).isNotNull() & (F.col(name) != "")

@@ -16,7 +16,8 @@ from pairloom.functions.readability import (
     syllable_count,
     tokens,
 )
-from pairloom.operators.percentile import exact_percentiles
+from pairloom.operators.percentile import exact_percentiles, first_look, usable
+from pairloom.sources.tables import save_table
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,8 @@ class Metric:
 
     name: str
     score: Callable[[Column, Column], Column]
+    #: The score is ``struct<value, error>``, as of a judge with details.
+    details: bool = False
 
 
 ANSWER_SIMILARITY = Metric("answer_similarity", similarity)
@@ -49,7 +52,7 @@ def text_metrics(
     counted = df.select("*", tokens(text).alias("_tokens")).select(
         *df.columns,
         F.array_size("_tokens").cast("bigint").alias("_words"),
-        F.length(F.array_join("_tokens", "")).alias("_characters"),
+        F.length(F.translate(text, " \n\t\r", "")).alias("_characters"),
         sentence_count(text).alias("_sentences"),
         syllable_count(text).alias("_syllables"),
     )
@@ -97,12 +100,48 @@ def evaluate(
     predictions: str,
     model_type: str | None = None,
     extra: Sequence[Metric] = (),
+    token_counter: Callable[[Column], Column] | None = None,
+    toxicity: str | Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Add one column per metric: the defaults of ``model_type``, if any, and ``extra``."""
+    """Add one column per metric: the defaults of ``model_type``, if any, and ``extra``.
+
+    The type ``text`` has the token count (by ``token_counter``, where given), both readability
+    grades, and toxicity where it can be had: a column of given scores, or a model's function
+    of the text. Rows without a prediction have null scores. A metric with ``details`` adds
+    its errors beside its scores, as ``<name>_error``.
+    """
+    metrics = list(extra)
     if model_type is not None:
-        df = MODEL_TYPES[model_type](df, predictions)
+        df = MODEL_TYPES[model_type](df, predictions, token_counter)
+        if isinstance(toxicity, str):
+            metrics.insert(0, given_score("toxicity", toxicity))
+        elif toxicity:
+            metrics.insert(0, Metric("toxicity", lambda pred, target: toxicity(pred)))
     pred, target = F.col(predictions), F.col(targets)
-    return df.select("*", *[m.score(pred, target).alias(m.name) for m in extra])
+    scored = df.select("*", *[m.score(pred, target).alias(m.name) for m in metrics])
+    for m in metrics:
+        if m.details:
+            parts = {m.name: F.col(m.name)["value"], f"{m.name}_error": F.col(m.name)["error"]}
+            scored = scored.withColumns(parts)
+    return scored
+
+
+def evaluate_once(
+    df: DataFrame,
+    targets: str,
+    predictions: str,
+    table: str,
+    score_cols: Sequence[str],
+    p: float = 0.9,
+    thresholds: dict[str, float] | None = None,
+    **how,
+) -> tuple[DataFrame, DataFrame]:
+    """Score into ``table``, then summarise the stored scores: ``(scores, summary)``.
+
+    Every model is called once per row. ``how`` goes to :func:`evaluate`.
+    """
+    scores = save_table(evaluate(df, targets, predictions, **how), table)
+    return scores, aggregate_scores(scores, score_cols, p, thresholds)
 
 
 def aggregate_scores(
@@ -113,38 +152,31 @@ def aggregate_scores(
 ) -> DataFrame:
     """``(metric, stat, value)``: mean, population variance and a percentile per metric.
 
-    ``thresholds`` adds a ``ratio`` for a metric: the share of its scores above a value.
-    Reads ``scores`` several times, so pass a saved table where scoring is costly.
+    ``thresholds`` adds a ``ratio`` for a metric: the share of its scores above a value. Runs at
+    once: one pass for the moments of all metrics and an interval for the percentiles, and a few
+    narrow passes for these. Pass stored scores (see :func:`evaluate_once`); unsaved ones would
+    be computed in each pass, which is wrong for a model whose answers vary.
     """
     thresholds = thresholds or {}
-    scores = scores.select(*[F.col(c).cast("double").alias(c) for c in score_cols])
-
-    # Mean, variance and ratio side by side, so a row is not copied once per metric.
+    columns = scores.select(*[F.col(c).cast("double").alias(c) for c in score_cols])
     stats = {(c, "mean"): F.avg(c) for c in score_cols}
     stats |= {(c, "variance"): F.var_pop(c) for c in score_cols}
     stats |= {(c, "ratio"): _share_above(c, t) for c, t in thresholds.items()}
-    one_row = scores.agg(*[s.alias(f"s{i}") for i, s in enumerate(stats.values())])
-    named = [
-        F.struct(F.lit(c).alias("metric"), F.lit(s).alias("stat"), F.col(f"s{i}").alias("value"))
-        for i, (c, s) in enumerate(stats)
-    ]
-    moments = one_row.select(F.inline(F.array(*named)))
-
-    found = exact_percentiles(scores, score_cols, p)
-    # One row per metric, even where a metric has no scores at all.
-    names = scores.sparkSession.range(1).select(
-        F.explode(F.array(*map(F.lit, score_cols))).alias("metric")
-    )
-    spread = names.join(F.broadcast(found), "metric", "left").select(
-        "metric", F.lit(f"p{round(100 * p)}").alias("stat"), F.col("percentile").alias("value")
-    )
-    return moments.unionByName(spread)
+    # The percentiles leave NaN out, the moments do not.
+    seen = columns.select("*", *[usable(c).alias(f"_{c}") for c in score_cols])
+    row = seen.agg(
+        *[s.alias(f"s{i}") for i, s in enumerate(stats.values())],
+        *first_look([f"_{c}" for c in score_cols], p),
+    ).first()
+    found = exact_percentiles(columns, score_cols, p, looks=row)
+    out = [(c, s, row[f"s{i}"]) for i, (c, s) in enumerate(stats)]
+    out += [(c, f"p{round(100 * p)}", found.get(c)) for c in score_cols]
+    return scores.sparkSession.createDataFrame(out, "metric string, stat string, value double")
 
 
 def metrics_json(metrics: DataFrame) -> DataFrame:
     """The metrics as one JSON document, ``metric/stat`` to value, keys in order."""
-    value = F.col("value").cast("decimal(24,6)")
-    entry = F.struct(F.concat_ws("/", "metric", "stat").alias("key"), value.alias("value"))
+    entry = F.struct(F.concat_ws("/", "metric", "stat").alias("key"), "value")
     document = F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry))))
     return metrics.agg(document.alias("metrics"))
 

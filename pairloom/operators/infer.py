@@ -7,37 +7,44 @@ which takes a list of prompts and returns as many texts.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Literal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions.model_calls import OnError, call_model
 from pairloom.functions.payload import GenParams, request_payload, response_payload
 
 Scorer = Callable[[list[str]], list[str]]
 ScorerFactory = Callable[[GenParams], Scorer]
-OnError = Literal["null", "raise"]
 
 
-def lead_scorer(max_input_chars: int | None = None) -> ScorerFactory:
-    """The built-in model: echoes the first ``max_tokens`` space-separated tokens.
-
-    With ``max_input_chars`` it refuses longer prompts, as a model with a bounded
-    context does.
-    """
+def lead_scorer() -> ScorerFactory:
+    """The built-in model: echoes the first ``max_tokens`` space-separated tokens."""
 
     def factory(params: GenParams) -> Scorer:
-        def one(prompt: str) -> str:
-            if max_input_chars is not None and len(prompt) > max_input_chars:
-                raise ValueError(f"prompt has {len(prompt)} characters, limit {max_input_chars}")
-            return " ".join(prompt.split(" ", params.max_tokens)[: params.max_tokens])
-
-        return lambda prompts: [one(p) for p in prompts]
+        n = params.max_tokens
+        return lambda prompts: [" ".join(p.split(" ", n)[:n]) for p in prompts]
 
     return factory
 
 
+def refusing_scorer(factory: ScorerFactory, mark: str) -> ScorerFactory:
+    """A model that cannot read prompts with ``mark`` in them, to show how failures are kept."""
+
+    def refusing(params: GenParams) -> Scorer:
+        scorer = factory(params)
+
+        def score(prompts: list[str]) -> list[str]:
+            if any(mark in p for p in prompts):
+                raise ValueError(f"prompt holds {mark}")
+            return scorer(prompts)
+
+        return score
+
+    return refusing
+
+
 def make_batch_udf(
     factory: ScorerFactory,
     params: GenParams,
@@ -46,33 +53,16 @@ def make_batch_udf(
 ) -> Callable[[Column], Column]:
     """A column function giving ``struct<text, error>`` for each prompt.
 
-    At most ``call_size`` prompts go into one scorer call. If a call fails and
-    ``on_error`` is ``null``, its prompts are tried one by one and each failure is
-    recorded with its row. Null prompts are not scored. The function is marked
-    nondeterministic so that the optimizer neither repeats nor moves the calls.
+    Calls, nulls and errors follow :func:`pairloom.functions.model_calls.call_model`. The
+    function is marked nondeterministic so that the optimizer neither repeats nor moves the
+    calls.
     """
 
-    def scored(scorer: Scorer, prompts: list[str]) -> list[tuple[str | None, str | None]]:
-        try:
-            texts = list(scorer(prompts))
-            if len(texts) != len(prompts):
-                raise ValueError(f"scorer gave {len(texts)} texts for {len(prompts)} prompts")
-            return [(text, None) for text in texts]
-        except Exception as failure:
-            if on_error == "raise":
-                raise
-            if len(prompts) == 1:
-                return [(None, str(failure) or type(failure).__name__)]
-            return [result for prompt in prompts for result in scored(scorer, [prompt])]
-
     @F.pandas_udf("text string, error string")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = factory(params)
         for batch in batches:
-            prompts = [prompt for prompt in batch if prompt is not None]
-            calls = (prompts[i : i + call_size] for i in range(0, len(prompts), call_size))
-            results = (result for call in calls for result in scored(scorer, call))
-            out = [(None, None) if prompt is None else next(results) for prompt in batch]
+            out = call_model(scorer, [batch.tolist()], on_error, call_size)
             yield pd.DataFrame(out, columns=["text", "error"], dtype=object)
 
     return score.asNondeterministic()
@@ -92,8 +82,8 @@ def batch_infer(
     """Add the generated text, and with ``error_col`` the reason where there is none.
 
     A slow model wants more tasks than a scan of a few files gives: ``tasks`` spreads the
-    rows evenly over that many first. Save the result (``save_table``) before using it twice: every action on an unsaved
-    result calls the model again.
+    rows evenly over that many first. Save the result (``save_table``) before using it twice:
+    every action on an unsaved result calls the model again.
     """
     if tasks is not None:
         df = df.repartition(tasks)
@@ -108,10 +98,13 @@ def batch_infer(
 def attach_predictions(df: DataFrame, preds: DataFrame, key: str) -> DataFrame:
     """All rows of ``df`` with their predictions; null where a row has none.
 
-    A left join on a unique row key. The join strategy is left to Spark, which
-    broadcasts ``preds`` only when its measured size allows.
+    Of several predictions for one key the least counts, in the order of their columns, so no
+    row of ``df`` repeats. The join strategy is left to Spark, which broadcasts ``preds`` only
+    when its measured size allows.
     """
-    return df.join(preds, key, "left")
+    others = [c for c in preds.columns if c != key]
+    one = preds.groupBy(key).agg(F.min(F.struct(*others)).alias("_one")).select(key, "_one.*")
+    return df.join(one, key, "left")
 
 
 def payload_log(
@@ -123,14 +116,18 @@ def payload_log(
     params: GenParams,
     model: str,
 ) -> DataFrame:
-    """One log row per request: payload, response, status (200 or 400) and model name."""
-    failed = F.col(error_col).isNotNull()
+    """One log row per request: payload, response, status and model name.
+
+    The status is 200 for an answer, 400 for a failure, and 204, without a response, for a
+    null prompt, which is never sent.
+    """
+    failed, unsent = F.col(error_col).isNotNull(), F.col(prompt_col).isNull()
     answer = response_payload(F.array(F.col(text_col)))
     refusal = F.to_json(F.struct(F.col(error_col).alias("error")))
     return df.select(
         F.col(request_id).alias("request_id"),
         request_payload(F.array(F.col(prompt_col)), params).alias("request"),
-        F.when(failed, refusal).otherwise(answer).alias("response"),
-        F.when(failed, 400).otherwise(200).cast("int").alias("status"),
+        F.when(failed, refusal).when(~unsent, answer).alias("response"),
+        F.when(failed, 400).when(unsent, 204).otherwise(200).cast("int").alias("status"),
         F.lit(model).alias("model"),
     )

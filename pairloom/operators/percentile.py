@@ -3,84 +3,106 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import ceil, floor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentiles(
-    df: DataFrame, cols: Sequence[str], p: float, accuracy: int = 10_000, bins: int = 4096
-) -> DataFrame:
-    """Linear-interpolated percentile per column as ``(metric, percentile)``.
+def first_look(cols: Sequence[str], p: float, accuracy: int = 10_000) -> list[Column]:
+    """One aggregate per column: its count, and an interval proposed around the percentile."""
+    margin = 3.0 / accuracy
+    around = [max(0.0, p - margin), min(1.0, p + margin)]
+    return [
+        F.struct(F.count(c).alias("n"), F.percentile_approx(c, around, accuracy).alias("near")).alias(f"look{i}")
+        for i, c in enumerate(cols)
+    ]
+
+
+def usable(c: str) -> Column:
+    """A score column as double, NaN as null."""
+    return F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
+
+
+@dataclass
+class _Search:
+    """The value of one rank: it lies in [low, high], with ``below`` values under ``low``."""
+
+    metric: str
+    rank: int
+    low: float
+    high: float
+    below: int = 0
+    outside: bool = True
+
 
-    Nulls and NaN are ignored; a column of nothing else has no row.
+def exact_percentiles(
+    df: DataFrame, cols: Sequence[str], p: float, accuracy: int = 10_000, bins: int = 4096, looks: Row | None = None
+) -> dict[str, float]:
+    """Linear-interpolated percentile of each column that has values; nulls and NaN are ignored.
 
-    The built-in exact ``percentile`` holds every distinct value of a column in one
-    buffer. Here an approximate percentile only proposes a narrow interval around the
-    answer; exact counts of ``bins`` equal steps over it find the step with the wanted
-    rank; and only that step's distinct values are ranked. A poor proposal costs time,
-    never the result. A value that repeats is one counted row, however hot.
+    An approximate percentile proposes an interval. Each round counts the values of ``bins``
+    equal steps over it, and of all below and above, with the least and greatest value of each;
+    the step that holds the wanted rank, between its own extremes, is the next interval. Every
+    round parts at least two values, so the search ends at one value, however values crowd, and
+    a value that repeats is only a count. The driver sees one row per column and rank, tasks at
+    most ``bins + 3`` steps of each. Rows are copied only for columns still searched.
 
-    What is broadcast is one row per column, then at most two.
+    ``looks`` is the row of :func:`first_look` where the caller has it already.
     """
-    df = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in cols])
-    margin = 3.0 / accuracy
-    around = [max(0.0, p - margin), min(1.0, p + margin)]
-    # Side by side in one row first: no row is copied once per column for this pass.
-    summaries = [
-        F.struct(
-            F.lit(c).alias("metric"),
-            F.count(c).alias("n"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-            F.percentile_approx(c, around, accuracy).alias("near"),
-        )
-        for c in cols
-    ]
-    stats = df.agg(F.array(*summaries).alias("of")).select(F.inline("of")).where(F.col("n") > 0)
-    values = df.unpivot([], list(cols), "metric", "score").where(F.col("score").isNotNull())
+    df = df.select(*[usable(c) for c in cols])
+    looks = looks or df.agg(*first_look(cols, p, accuracy)).first()
+    searches, ranks = [], {}
+    for i, c in enumerate(cols):
+        n, near = looks[f"look{i}"]
+        if n:
+            ranks[c] = (n - 1) * p
+            searches += [_Search(c, r, *near) for r in {floor(ranks[c]), ceil(ranks[c])}]
+    while open_ := [s for s in searches if s.outside or s.low < s.high]:
+        for r in _steps(df, open_, bins).collect():
+            s = open_[r.search]
+            s.low, s.high, s.below, s.outside = r.least, r.most, r.below, False
+    values = {(s.metric, s.rank): s.low for s in searches}
+    return {c: _between(values[c, floor(r)], values[c, ceil(r)], r - floor(r)) for c, r in ranks.items()}
+
+
+def _between(a: float, b: float, share: float) -> float:
+    return a + (b - a) * share if b > a else a
+
+
+def _steps(df: DataFrame, searches: list[_Search], bins: int) -> DataFrame:
+    """``(search, below, least, most)``: the step that holds each search's rank."""
+    metrics = sorted({s.metric for s in searches})
     score = F.col("score")
-    few = F.col("n") <= 10 * accuracy  # too few for the margin to cover a whole rank
-    bounds = stats.select(
-        "metric",
-        ((F.col("n") - 1) * p).alias("rank"),
-        F.when(few, F.col("min")).otherwise(F.col("near")[0]).alias("lo"),
-        F.when(few, F.col("max")).otherwise(F.col("near")[1]).alias("hi"),
+    rows = df.unpivot([], metrics, "metric", "score").where(score.isNotNull())
+    bounds = [(i, s.metric, s.rank, s.low, s.high, s.below, s.outside) for i, s in enumerate(searches)]
+    names = "search int, metric string, rank long, low double, high double, before long, outside boolean"
+    # At most two rows per column.
+    of = F.broadcast(df.sparkSession.createDataFrame(bounds, names))
+    inside = (score >= F.col("low")) & (score <= F.col("high"))
+    width = F.col("high") - F.col("low")
+    finite = (width > 0) & (width < float("inf"))
+    # Infinite ends are steps of their own, so that what lies between them has a width next.
+    step = (
+        F.when(score < F.col("low"), -1)
+        .when(score > F.col("high"), bins + 2)
+        .when(finite, F.floor((score - F.col("low")) / width * bins))
+        .when(score == F.col("low"), 0)
+        .when(score == F.col("high"), bins + 1)
+        .when(score < 0, 1)
+        .when(score == 0, 2)
+        .otherwise(3)
     )
-    width = F.col("hi") - F.col("lo")
-    stepped = values.join(F.broadcast(bounds), "metric").withColumn(
-        "step",
-        F.when(score < F.col("lo"), -1)
-        .when(score > F.col("hi"), bins + 1)
-        .when((width > 0) & (width < float("inf")), F.floor((score - F.col("lo")) / width * bins))
-        .otherwise(0),
+    counted = (
+        rows.join(of, "metric")
+        .where(F.col("outside") | inside)
+        .withColumn("step", step)
+        .groupBy("search", "rank", "before", "step")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"), F.max("score").alias("most"))
     )
-    low, high = F.floor("rank"), F.ceil("rank")
-
-    # At most bins + 3 rows per column.
-    upto = Window.partitionBy("metric").orderBy("step")
-    chosen = (
-        stepped.groupBy("metric", "rank", "step")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(upto))
-        .withColumn("below", F.col("upto") - F.col("n"))
-        .where((F.col("below") <= high) & (F.col("upto") > low))
-        .select("metric", "step", "below")
-    )
-
-    # The distinct values of one step, or of two where the rank falls between them.
-    inside = Window.partitionBy("metric", "step").orderBy("score")
-    ends = (
-        stepped.join(F.broadcast(chosen), ["metric", "step"])
-        .groupBy("metric", "rank", "step", "below", "score")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.col("below") + F.sum("n").over(inside))
-        .groupBy("metric", "rank")
-        .agg(
-            F.min(F.when(F.col("upto") > low, score)).alias("a"),
-            F.min(F.when(F.col("upto") > high, score)).alias("b"),
-        )
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("search").orderBy("step"))
+    placed = counted.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("n"))
+    return placed.where((F.col("below") <= F.col("rank")) & (F.col("upto") > F.col("rank"))).select(
+        "search", "below", "least", "most"
     )
-    between = F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - low)
-    exact = F.when(F.col("b") > F.col("a"), between).otherwise(F.col("a"))
-    return ends.select("metric", exact.alias("percentile"))

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.hashing import stable_hash
-from pairloom.functions.payload import GenParams, request_payload, response_texts
+from pairloom.functions.model_calls import OnError, call_model
+from pairloom.functions.payload import GenParams, request_payload, response_payload, response_texts
+from pairloom.operators.infer import ScorerFactory
 
 
 def batch_requests(
@@ -31,8 +35,9 @@ def batch_requests(
     A key that repeats cannot fill a bucket: equal rows are first counted, with map-side
     combine, and a count is cut into pieces of at most ``rows_per_bucket`` copies that
     hash to buckets of their own. Pass ``unique_key`` where the key is known to identify
-    a row, which saves that first shuffle, and ``n_rows`` where the count is known, which
-    saves a pass.
+    a row, which saves that first shuffle. The number of buckets needs the row count: pass
+    ``n_rows`` where it is known, or ``df`` is counted on the spot (of a stored table that
+    reads no rows).
     """
     rows = df.select(*key, F.col(prompt_col).alias("_prompt"))
     n_rows = df.count() if n_rows is None else n_rows
@@ -72,6 +77,48 @@ def batch_requests(
     )
 
 
+def infer_batches(
+    batches: DataFrame,
+    factory: ScorerFactory,
+    params: GenParams = GenParams(),
+    prompts_col: str = "prompts",
+    out_col: str = "answer",
+    error_col: str = "error",
+    on_error: OnError = "null",
+) -> DataFrame:
+    """Send each packed request as one call of the model; add its answer document and error.
+
+    ``params`` are those of the requests. A call answers all prompts of its request or none: a
+    failure costs that request alone, whose answer is null and whose ``error`` says why. A null
+    prompt in a request fails it. Requests are scored in Arrow batches, the model is loaded
+    once per task, and nothing is shuffled.
+    """
+
+    @F.pandas_udf("texts array<string>, error string")
+    def score(groups: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = factory(params)
+
+        def one(requests: list) -> list[list[str]]:
+            return [_whole(scorer, list(prompts)) for prompts in requests]
+
+        for requests in groups:
+            out = call_model(one, [requests.tolist()], on_error, call_size=1)
+            texts, errors = [list(c) for c in zip(*out)] if out else ([], [])
+            yield pd.DataFrame({"texts": pd.Series(texts, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+    scored = batches.withColumn("_scored", score.asNondeterministic()(F.col(prompts_col)))
+    texts = F.col("_scored.texts")
+    answer = F.when(texts.isNotNull(), response_payload(texts))
+    return scored.withColumns({out_col: answer, error_col: F.col("_scored.error")}).drop("_scored")
+
+
+def _whole(scorer: Callable[[list[str]], list[str]], prompts: list[str]) -> list[str]:
+    texts = list(scorer(prompts))
+    if len(texts) != len(prompts):
+        raise ValueError(f"scorer gave {len(texts)} texts for {len(prompts)} prompts")
+    return texts
+
+
 def unbatch_responses(
     df: DataFrame, response_col: str, keys_col: str, out_col: str = "llm_response"
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.predicates import contains, eq, filled, min_length, not_null
+from pairloom.functions.predicates import filled
 from pairloom.functions.text import before_delimiter
 
 
@@ -29,11 +29,11 @@ def filter_report(df: DataFrame, cols: list[str]) -> DataFrame:
 def select_documented_functions(df: DataFrame) -> DataFrame:
     """Functions with arguments and a numpy-style docstring; adds ``fn_def``, the signature."""
     documented = df.where(
-        not_null("doc_string")
-        & eq("element_type", "function")
-        & not_null("args")
-        & min_length("args", 0)
-        & contains("doc_string", "Parameters")
+        F.col("doc_string").isNotNull()
+        & (F.col("element_type") == "function")
+        & F.col("args").isNotNull()
+        & (F.length("args") > 0)
+        & F.col("doc_string").contains("Parameters")
     )
     return documented.withColumn("fn_def", before_delimiter(F.col("source")))
 

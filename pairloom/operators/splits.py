@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.hashing import stable_hash
 
-RESOLUTION = 10_000
+#: Slots of the hash: 15 hex digits.
+RESOLUTION = 1 << 60
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
@@ -31,11 +32,11 @@ def hash_split(
     """Name each row's side by its own keys and the seed alone: no shuffle, no sort.
 
     Rows with equal keys fall on the same side. Weights are shares of their sum, held
-    to one part in ten thousand.
+    to one part in 2^60, so a side may be as small as a user likes.
     """
     total = sum(weights.values())
     bounds = [round(RESOLUTION * w / total) for w in accumulate(weights.values())]
-    slot = stable_hash(seed, [F.col(k) for k in keys]) % RESOLUTION
+    slot = stable_hash(seed, [F.col(k) for k in keys], digits=15)
     *named, last = list(weights)
     side = F.lit(last)
     for name, bound in reversed(list(zip(named, bounds))):

@@ -29,8 +29,8 @@ pairs AS (
 ),
 ift AS (
   SELECT *,
-    CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', prompt, response)), 1, 8))::BIGINT % 10000
-              < 9000 THEN 'train' ELSE 'eval' END AS split
+    CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', prompt, response)), 1, 15))::BIGINT
+              < 1037629354146162304 THEN 'train' ELSE 'eval' END AS split
   FROM pairs
 )"""
 )
@@ -45,12 +45,26 @@ llm_out AS (
 )"""
 )
 
+# Titles for the first two evaluation rows only.
+PARTLY_OUT = (
+    IFT
+    + """,
+eval_side AS (
+  SELECT *, row_number() OVER (ORDER BY row_key) AS n FROM ift WHERE split = 'eval'
+),
+llm_out AS (
+  SELECT row_key, prompt, response,
+    CASE WHEN n <= 2 THEN array_to_string(string_split(text, ' ')[1:100], ' ') END AS llm_response
+  FROM eval_side
+)"""
+)
+
 CODE = r"""
 raw AS (
   SELECT doc_id,
     CASE doc_id % 3 WHEN 0 THEN 'function' WHEN 1 THEN 'class' ELSE 'method' END AS element_type,
     CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'a' || (doc_id % 5) END AS args,
-    split_part(text, chr(10), 1) || CASE WHEN doc_id % 2 = 0
+    text || CASE WHEN doc_id % 2 = 0
       THEN chr(10) || 'Parameters' || chr(10) || '----------' || chr(10) ELSE chr(10) END AS body
   FROM documents
 ),
@@ -95,6 +109,14 @@ numbered AS (
 """
 
 
+MARKED = """marked AS (
+  SELECT * REPLACE (
+    CASE WHEN conv_id % 50 = 7 AND turn = 0 THEN '[broken] ' || text ELSE text END AS text)
+  FROM conversations
+),
+counted AS"""
+
+
 def _request(prompts: str) -> str:
     return (
         f"to_json({{'inputs': {{'prompt': {prompts}}}, "
@@ -163,11 +185,15 @@ ROUNDED = """* REPLACE (
 
 def _counts(col: str) -> str:
     end, vowels = "[.!?]+", "[aeiouyAEIOUY]+"
+
+    def at_least_1(pattern: str) -> str:
+        return f"CASE WHEN {col} IS NOT NULL THEN greatest(1, {_count(col, pattern)})::DOUBLE END"
+
     return f"""
   {_count(col, WORD)} AS token_count,
-  greatest(1, {_count(col, WORD)})::DOUBLE AS w,
-  greatest(1, {_count(col, end)})::DOUBLE AS s,
-  greatest(1, {_count(col, vowels)})::DOUBLE AS y,
+  {at_least_1(WORD)} AS w,
+  {at_least_1(end)} AS s,
+  {at_least_1(vowels)} AS y,
   length(regexp_replace({col}, '[ \\n\\t\\r]', '', 'g'))::DOUBLE AS c"""
 
 
@@ -175,9 +201,7 @@ def _tokens(col: str) -> str:
     return f"list_distinct(regexp_extract_all(lower({col}), '{WORD}', 0))"
 
 
-JUDGED = (
-    LLM_OUT
-    + f""",
+_JUDGED = f""",
 token_sets AS (
   SELECT *, {_tokens('llm_response')} AS p, {_tokens('response')} AS t FROM llm_out
 ),
@@ -191,22 +215,18 @@ judged AS (
     CASE WHEN n > 0 THEN 1 + (4 * i) // n END::INTEGER AS answer_correctness
   FROM sizes
 )"""
-)
+JUDGED = LLM_OUT + _JUDGED
 
-SCORES = (
-    JUDGED
-    + f""",
+_SCORES = f""",
 measured AS (SELECT *, {_counts('llm_response')} FROM judged),
 scores AS (
   SELECT row_key, {TEXT_SCORES}, labels.toxic AS toxicity,
     answer_similarity, answer_correctness
   FROM measured LEFT JOIN labels ON labels.doc_id = row_key
 )"""
-)
+SCORES = JUDGED + _SCORES
 
-SUMMARY = (
-    SCORES
-    + """,
+_SUMMARY = """,
 long AS (
   UNPIVOT (
     SELECT token_count::DOUBLE AS token_count, flesch_kincaid_grade, ari_grade,
@@ -222,7 +242,7 @@ summary AS (
   UNION ALL SELECT metric, 'ratio', round(avg(CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END), 6)
     FROM long WHERE metric = 'toxicity' GROUP BY metric
 )"""
-)
+SUMMARY = SCORES + _SUMMARY
 
 PROFILE = (
     IFT
@@ -235,10 +255,9 @@ profile AS (
 )
 
 REFUSED = """
-  CASE WHEN length(prompt) > 2000 THEN NULL
-    ELSE array_to_string(string_split(prompt, ' ')[1:100], ' ') END AS llm_response,
-  CASE WHEN length(prompt) > 2000
-    THEN 'prompt has ' || length(prompt) || ' characters, limit 2000' END AS error
+  CASE WHEN row_key % 50 <> 7
+    THEN array_to_string(string_split(prompt, ' ')[1:100], ' ') END AS llm_response,
+  CASE WHEN row_key % 50 = 7 THEN 'prompt holds [broken]' END AS error
 """
 
 DATASET_CHECKS = {
@@ -288,16 +307,11 @@ DATASET_CHECKS = {
           (SELECT count(*) FILTER (shared) FROM prompts) AS shared_prompts
         FROM ift""",
     "training_profile": f"WITH {PROFILE} SELECT *, n_tokens * 3 AS total_tokens FROM profile",
-    "run_record": f"""WITH {PROFILE},
-        train AS (SELECT * FROM profile WHERE split = 'train'),
-        fixed(key, value) AS (VALUES
-          ('name', 'title-run'), ('status', 'COMPLETED'), ('model', 'base'),
-          ('task_type', 'INSTRUCTION_FINETUNE'), ('learning_rate', '3e-06'),
-          ('training_duration', '3ep'), ('train_data_path', 'title_train'),
-          ('eval_data_path', 'title_eval'), ('register_to', 'models'), ('experiment_path', NULL),
-          ('eval_prompts', NULL), ('custom_weights_path', NULL), ('data_prep_cluster_id', NULL))
-        SELECT key, value FROM fixed, train
-        UNION ALL SELECT 'details', n_rows || ' rows, ' || (n_tokens * 3) || ' tokens' FROM train""",
+    "run_record": f"""WITH {PROFILE}
+        SELECT split || '_n_rows' AS key, n_rows::VARCHAR AS value FROM profile
+        UNION ALL SELECT split || '_n_tokens', n_tokens::VARCHAR FROM profile
+        UNION ALL SELECT 'epochs', '3'
+        UNION ALL SELECT 'total_tokens', (n_tokens * 3)::VARCHAR FROM profile WHERE split = 'train'""",
 }
 
 STORAGE_CHECKS = {
@@ -306,7 +320,7 @@ STORAGE_CHECKS = {
     "register_table": "SELECT * FROM documents",
     "save_table": f"WITH {IFT} SELECT row_key, prompt, response, split FROM ift",
     "save_splits": f"""WITH {IFT}
-        SELECT row_key, prompt, response, split FROM ift WHERE split = 'eval'""",
+        SELECT row_key, prompt, response, split FROM ift""",
     "jsonl_roundtrip": f"""WITH {IFT}
         SELECT prompt, CASE WHEN row_key % 5 <> 0 THEN response END AS response FROM ift""",
     "export_single_jsonl": f"WITH {IFT} SELECT prompt, response FROM ift WHERE split = 'train'",
@@ -330,14 +344,23 @@ GENERATION_CHECKS = {
         FROM numbered GROUP BY bucket, n // 8""",
     "unbatch_responses": f"""WITH {BATCHES}
         SELECT conv_id, turn, n % 8 AS pos,
-          array_to_string(string_split(text, ' ')[1:12], ' ') AS llm_response FROM numbered""",
+          array_to_string(string_split(text, ' ')[1:100], ' ') AS llm_response FROM numbered""",
+    "infer_batches": f"""WITH {BATCHES.replace('FROM conversations', 'FROM marked').replace('counted AS', MARKED, 1)}
+        SELECT bucket, n // 8 AS batch,
+          CASE WHEN NOT bool_or(contains(text, '[broken]')) THEN to_json({{'predictions':
+            list({{'candidates': [{{'text': array_to_string(string_split(text, ' ')[1:100], ' ')}}]}}
+              ORDER BY n)}})::VARCHAR END AS answer,
+          CASE WHEN bool_or(contains(text, '[broken]')) THEN 'prompt holds [broken]' END AS error
+        FROM numbered GROUP BY bucket, n // 8""",
     "batch_infer": f"WITH {LLM_OUT} SELECT row_key, prompt, response, llm_response FROM llm_out",
     "infer_errors": f"WITH {IFT} SELECT row_key, {REFUSED} FROM ift",
     "infer_one": f"""WITH {IFT}
         SELECT row_key, prompt,
           array_to_string(string_split(prompt, ' ')[1:100], ' ') AS llm_response
         FROM ift ORDER BY row_key LIMIT 1""",
-    "payload_log": f"""WITH {IFT}, tried AS (SELECT row_key, prompt, {REFUSED} FROM ift)
+    "payload_log": f"""WITH {IFT}, tried AS (
+          SELECT row_key, CASE WHEN row_key % 50 = 7 THEN '[broken] ' || prompt ELSE prompt END AS prompt,
+            {REFUSED} FROM ift)
         SELECT row_key AS request_id, {_request('[prompt]')} AS request,
           CASE WHEN error IS NULL
             THEN to_json({{'predictions': [{{'candidates': [{{'text': llm_response}}]}}]}})::VARCHAR
@@ -368,8 +391,9 @@ SCORING_CHECKS = {
     "judge_correctness": f"WITH {JUDGED} SELECT row_key, answer_correctness FROM judged",
     "evaluate_rows": f"WITH {SCORES} SELECT {ROUNDED} FROM scores",
     "metric_summary": f"WITH {SUMMARY} SELECT * FROM summary",
+    "partial_summary": f"WITH {PARTLY_OUT + _JUDGED + _SCORES + _SUMMARY} SELECT * FROM summary",
     "metrics_json": f"""WITH {SUMMARY}
-        SELECT '{{' || string_agg('"' || metric || '/' || stat || '":' || value::DECIMAL(24, 6), ','
+        SELECT '{{' || string_agg('"' || metric || '/' || stat || '":' || value, ','
             ORDER BY metric || '/' || stat) || '}}' AS metrics
         FROM summary""",
     "run_metrics": f"WITH {SUMMARY} SELECT 'run-1' AS run_id, * FROM summary",

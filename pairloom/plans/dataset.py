@@ -17,6 +17,8 @@ from pairloom.operators import counts, handoff, rows, splits
 from pairloom.plans import views
 from pairloom.sources.tables import load_dir
 
+EPOCHS = 3
+
 
 def filter_null_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.filtered_blogs(spark, sf_dir)
@@ -64,7 +66,7 @@ def head_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.row_count(views.deduped_blogs(spark, sf_dir))
+    return counts.row_count(views.blog_keys(spark, sf_dir))
 
 
 def column_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +74,7 @@ def column_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.split_counts(views.ift(spark, sf_dir))
+    return counts.split_counts(views.blog_keys(spark, sf_dir))
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +85,7 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.ift(spark, sf_dir).select("row_key", "split")
+    return views.blog_keys(spark, sf_dir).select("row_key", "split")
 
 
 def clean_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,36 +106,23 @@ def html_article_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_ift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = views.ift(spark, sf_dir)
-    train = pairs.where(F.col("split") == "train").select("prompt", "response")
-    return handoff.validate_ift(
-        train, pairs.where(F.col("split") == "eval").select("prompt", "response")
-    )
+    return handoff.validate_split(views.ift(spark, sf_dir))
 
 
 def training_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return handoff.training_profile(views.ift(spark, sf_dir), epochs=3)
+    return handoff.training_profile(views.blog_keys(spark, sf_dir), EPOCHS, tokens_col="n_tokens")
 
 
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The record of a training run over this dataset, as key/value rows."""
-    profile = handoff.training_profile(views.ift(spark, sf_dir), epochs=3)
-    known = {
-        "name": F.lit("title-run"),
-        "status": F.lit("COMPLETED"),
-        "details": F.format_string("%d rows, %d tokens", "n_rows", "total_tokens"),
-        "model": F.lit("base"),
-        "task_type": F.lit("INSTRUCTION_FINETUNE"),
-        "learning_rate": F.lit("3e-06"),
-        "training_duration": F.lit("3ep"),
-        "train_data_path": F.lit("title_train"),
-        "eval_data_path": F.lit("title_eval"),
-        "register_to": F.lit("models"),
+    """What is known of a run over this dataset before it starts, as key/value rows."""
+    profile = training_profile(spark, sf_dir)
+    facts = {
+        f"{side}_{name}": F.max(F.when(F.col("split") == side, F.col(name)))
+        for side in ("train", "eval")
+        for name in ("n_rows", "n_tokens")
     }
-    record = profile.where(F.col("split") == "train").select(
-        *[known.get(field, F.lit(None)).alias(field) for field in handoff.RUN_FIELDS]
-    )
-    return handoff.unpivot_record(record)
+    facts |= {"epochs": F.max(F.lit(EPOCHS)), "total_tokens": F.max(F.when(F.col("split") == "train", F.col("total_tokens")))}
+    return handoff.unpivot_record(profile.agg(*[c.alias(k) for k, c in facts.items()]), list(facts))
 
 
 QUERIES = {

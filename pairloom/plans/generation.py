@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import payload
 from pairloom.operators import infer, requests, rows
 from pairloom.plans import views
-from pairloom.plans.storage import namespace, saved
-from pairloom.sources.tables import drop_table, load_dir, save_table
+from pairloom.plans.storage import fresh, saved
+from pairloom.sources.tables import load_dir, save_table
 
 BATCH_SIZE = 8
 ROWS_PER_BUCKET = 64
-MAX_INPUT_CHARS = 2000
-TITLE_TOKENS = 12
+#: Put into some prompts by their row key, to show how failures are kept.
+BROKEN = "[broken]"
 
 
 def request_payload_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,35 +24,44 @@ def request_payload_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def response_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts parsed from answers; every tenth answer is cut short and so malformed."""
+    """Texts parsed from answers; every tenth answer is malformed from its first character on."""
     answer = payload.response_payload(F.array("llm_response"))
-    received = F.when(F.col("row_key") % 10 == 0, F.substring(answer, 1, 20)).otherwise(answer)
+    received = F.when(F.col("row_key") % 10 == 0, F.concat(F.lit("]"), answer)).otherwise(answer)
     answers = views.llm_out(spark, sf_dir).select("row_key", received.alias("response"))
     return answers.select("row_key", payload.response_text(F.col("response")).alias("llm_response"))
 
 
-def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = load_dir(spark, sf_dir, "conversations.parquet")
+def _batches(turns: DataFrame) -> DataFrame:
+    """Requests of eight prompts; (conv_id, turn) names a row of the given table."""
     return requests.batch_requests(
-        turns, "text", BATCH_SIZE, ["conv_id", "turn"], views.PARAMS, ROWS_PER_BUCKET
+        turns, "text", BATCH_SIZE, ["conv_id", "turn"], views.PARAMS, ROWS_PER_BUCKET,
+        unique_key=True, n_rows=turns.count(),
     )
 
 
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _batches(spark, sf_dir).select(
+    return _batches(load_dir(spark, sf_dir, "conversations.parquet")).select(
         "bucket", "batch", F.array_size("prompts").cast("bigint").alias("n_prompts"), "request"
     )
 
 
+def _broken(column: str, chosen: Column) -> Column:
+    return F.when(chosen, F.concat(F.lit(f"{BROKEN} "), F.col(column))).otherwise(F.col(column))
+
+
+def infer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each request sent as one call; some requests hold a prompt that makes them fail."""
+    turns = load_dir(spark, sf_dir, "conversations.parquet")
+    turns = turns.withColumn("text", _broken("text", (F.col("conv_id") % 50 == 7) & (F.col("turn") == 0)))
+    scorer = infer.refusing_scorer(infer.lead_scorer(), BROKEN)
+    return requests.infer_batches(_batches(turns), scorer, views.PARAMS).select("bucket", "batch", "answer", "error")
+
+
 def unbatch_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each batch answered as one document, then one row per prompt again."""
-    lead = F.transform(
-        "prompts", lambda p: F.array_join(F.slice(F.split(p, " "), 1, TITLE_TOKENS), " ")
-    )
-    answered = _batches(spark, sf_dir).select(
-        "keys", payload.response_payload(lead).alias("answer")
-    )
-    return requests.unbatch_responses(answered, "answer", "keys")
+    """Each batch answered by the model as one document, then one row per prompt again."""
+    batches = _batches(load_dir(spark, sf_dir, "conversations.parquet"))
+    answered = requests.infer_batches(batches, infer.lead_scorer(), views.PARAMS)
+    return requests.unbatch_responses(answered.select("keys", "answer"), "answer", "keys")
 
 
 def batch_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,16 +69,16 @@ def batch_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved(views.llm_out(spark, sf_dir), "llm_out", sf_dir)
 
 
-def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inference by a model that refuses long prompts."""
-    pairs = views.ift(spark, sf_dir).select("row_key", "prompt")
-    return infer.batch_infer(
-        pairs, "prompt", infer.lead_scorer(MAX_INPUT_CHARS), views.PARAMS, error_col="error"
-    )
+def _partly_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inference in which one prompt in fifty cannot be read."""
+    prompt = _broken("prompt", F.col("row_key") % 50 == 7)
+    pairs = views.ift(spark, sf_dir).select("row_key", prompt.alias("prompt"))
+    scorer = infer.refusing_scorer(infer.lead_scorer(), BROKEN)
+    return infer.batch_infer(pairs, "prompt", scorer, views.PARAMS, error_col="error")
 
 
 def infer_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _strict(spark, sf_dir).select("row_key", "llm_response", "error")
+    return _partly_broken(spark, sf_dir).select("row_key", "llm_response", "error")
 
 
 def infer_one(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,11 +88,9 @@ def infer_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = infer.payload_log(
-        _strict(spark, sf_dir), "row_key", "prompt", "llm_response", "error", views.PARAMS, "lead"
+        _partly_broken(spark, sf_dir), "row_key", "prompt", "llm_response", "error", views.PARAMS, "lead"
     )
-    db, _ = namespace(spark, sf_dir)
-    drop_table(spark, f"{db}.payload_log")
-    return save_table(log, f"{db}.payload_log", mode="append")
+    return save_table(log, fresh(spark, sf_dir, "payload_log")[0], mode="append")
 
 
 def attach_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +108,7 @@ QUERIES = {
     "request_payload": request_payload_query,
     "response_text": response_text,
     "batch_requests": batch_requests,
+    "infer_batches": infer_batches,
     "unbatch_responses": unbatch_responses,
     "batch_infer": batch_infer,
     "infer_errors": infer_errors,

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from pairloom.operators import evaluate as ev
 from pairloom.operators.rows import to_eval_frame
 from pairloom.plans import views
-from pairloom.plans.storage import namespace, saved
-from pairloom.sources.tables import drop_table, load_dir
+from pairloom.plans.generation import attach_predictions
+from pairloom.plans.storage import fresh, saved
+from pairloom.sources.tables import drop_table, load_dir, save_table
 
-TOXICITY = ev.given_score("toxicity", "toxic")
 JUDGES = [ev.ANSWER_SIMILARITY, ev.ANSWER_CORRECTNESS]
 TEXT_SCORES = ["token_count", "flesch_kincaid_grade", "ari_grade", "toxicity"]
 JUDGE_SCORES = ["answer_similarity", "answer_correctness"]
@@ -58,43 +58,50 @@ def judge_correctness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row_key", "answer_correctness")
 
 
-def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = to_eval_frame(_labelled(views.llm_out(spark, sf_dir), sf_dir))
-    scored = ev.evaluate(frame, "ground_truth", "llm_response", "text", [TOXICITY, *JUDGES])
+def _scores(frame: DataFrame, sf_dir: str) -> DataFrame:
+    scored = ev.evaluate(
+        _labelled(frame, sf_dir), "ground_truth", "llm_response", "text", JUDGES, toxicity="toxic"
+    )
     return scored.select("row_key", *TEXT_SCORES, *JUDGE_SCORES)
 
 
-def _saved_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scores only, no texts, run once: the summary reads them several times."""
-    return saved(_scores(spark, sf_dir), f"scores_{name}", sf_dir)
-
-
 def evaluate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_scores(spark, sf_dir))
+    return _rounded(_scores(eval_frame(spark, sf_dir), sf_dir))
 
 
-def _summary(scores: DataFrame) -> DataFrame:
+def _summary(frame: DataFrame, sf_dir: str) -> DataFrame:
+    """The summary of stored scores; the scores are dropped, as the summary is complete."""
+    spark = frame.sparkSession
+    table, _ = fresh(spark, sf_dir, "scores")
+    scores = save_table(_scores(frame, sf_dir), table)
     metrics = ev.aggregate_scores(scores, [*TEXT_SCORES, *JUDGE_SCORES], thresholds=THRESHOLDS)
+    drop_table(spark, table)
     return metrics.withColumn("value", _round(F.col("value")))
 
 
 def metric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(_saved_scores(spark, sf_dir, "summary"))
+    return _summary(eval_frame(spark, sf_dir), sf_dir)
+
+
+def partial_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles attached to two rows, the frame stored, and the whole of it scored and summarised."""
+    frame = saved(attach_predictions(spark, sf_dir), "eval_frame", sf_dir)
+    return _summary(frame.withColumnRenamed("generated_title", "llm_response"), sf_dir)
 
 
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.metrics_json(_summary(_saved_scores(spark, sf_dir, "json")))
+    return ev.metrics_json(metric_summary(spark, sf_dir))
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two evaluations under one run: the text defaults, then the judges alone."""
-    db, _ = namespace(spark, sf_dir)
-    table = f"{db}.run_metrics"
-    drop_table(spark, table)
-    scores = _saved_scores(spark, sf_dir, "run")
+    table, _ = fresh(spark, sf_dir, "run_metrics")
+    held, _ = fresh(spark, sf_dir, "scores")
+    scores = save_table(_scores(eval_frame(spark, sf_dir), sf_dir), held)
     text = ev.aggregate_scores(scores, TEXT_SCORES, thresholds=THRESHOLDS)
     ev.log_metrics(text, RUN_ID, table)
     ev.log_metrics(ev.aggregate_scores(scores, JUDGE_SCORES), RUN_ID, table)
+    drop_table(spark, held)
     return spark.table(table).withColumn("value", _round(F.col("value")))
 
 
@@ -106,6 +113,7 @@ QUERIES = {
     "judge_correctness": judge_correctness,
     "evaluate_rows": evaluate_rows,
     "metric_summary": metric_summary,
+    "partial_summary": partial_summary,
     "metrics_json": metrics_json,
     "run_metrics": run_metrics,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +19,16 @@ def namespace(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return db, folder
 
 
+def fresh(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
+    """A table name and a folder that no other call has, so that no result replaces another."""
+    db, folder = namespace(spark, sf_dir)
+    name = f"{name}_{uuid.uuid4().hex[:12]}"
+    return f"{db}.{name}", f"{folder}/{name}"
+
+
 def saved(df: DataFrame, name: str, sf_dir: str) -> DataFrame:
     """``df`` written once as a workspace table and read back."""
-    db, _ = namespace(df.sparkSession, sf_dir)
-    return tables.save_table(df, f"{db}.{name}")
+    return tables.save_table(df, fresh(df.sparkSession, sf_dir, name)[0])
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,15 +41,14 @@ def scan_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that points at the given files; no data is copied to register it."""
-    db, _ = namespace(spark, sf_dir)
-    name = f"{db}.documents_in_place"
+    name, _ = fresh(spark, sf_dir, "documents_in_place")
     tables.register_table(spark, name, f"{sf_dir}/documents.parquet", copy=False)
     return tables.load_table(spark, name).select("doc_id", "text", "lang")
 
 
 def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    db, _ = namespace(spark, sf_dir)
-    return tables.register_table(spark, f"{db}.documents_copy", f"{sf_dir}/documents.parquet")
+    name, _ = fresh(spark, sf_dir, "documents_copy")
+    return tables.register_table(spark, name, f"{sf_dir}/documents.parquet")
 
 
 def save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,35 +56,36 @@ def save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def save_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sides saved in one job; the evaluation side read back from its own files."""
-    db, _ = namespace(spark, sf_dir)
-    pairs = views.ift(spark, sf_dir)
-    return splits.save_splits(pairs, f"{db}.ift_by_split").where(F.col("split") == "eval")
+    """Both sides saved in one job, and each read back from its own files."""
+    name, _ = fresh(spark, sf_dir, "ift_by_split")
+    stored = splits.save_splits(views.ift(spark, sf_dir), name)
+    return stored.where(F.col("split") == "eval").unionByName(stored.where(F.col("split") == "train"))
 
 
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs written as a JSON Lines directory and read back; every fifth response is null."""
-    _, folder = namespace(spark, sf_dir)
+    _, folder = fresh(spark, sf_dir, "pairs")
     pairs = views.ift(spark, sf_dir).select(
         "prompt", F.when(F.col("row_key") % 5 != 0, F.col("response")).alias("response")
     )
-    jsonl.write_jsonl(pairs, f"{folder}/jsonl/pairs")
-    return jsonl.read_jsonl(spark, f"{folder}/jsonl/pairs")
+    jsonl.write_jsonl(pairs, folder)
+    return jsonl.read_jsonl(spark, folder)
 
 
 def export_single_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, folder = namespace(spark, sf_dir)
-    path = f"{folder}/export/train.jsonl"
+    _, folder = fresh(spark, sf_dir, "export")
+    path = f"{folder}/train.jsonl"
     train = views.ift(spark, sf_dir).where(F.col("split") == "train").select("prompt", "response")
     jsonl.export_single_jsonl(train, path)
     return jsonl.read_jsonl(spark, path)
 
 
 def table_to_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    db, folder = namespace(spark, sf_dir)
-    path = f"{folder}/export/pairs.jsonl"
-    tables.save_table(_pairs(spark, sf_dir), f"{db}.pairs")
-    jsonl.table_to_jsonl(spark, f"{db}.pairs", path)
+    name, folder = fresh(spark, sf_dir, "pairs")
+    path = f"{folder}/pairs.jsonl"
+    tables.save_table(_pairs(spark, sf_dir), name)
+    jsonl.table_to_jsonl(spark, name, path)
+    tables.drop_table(spark, name)
     return jsonl.read_jsonl(spark, path)
 
 
@@ -92,7 +100,7 @@ def from_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def namespace_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create and enter a namespace, save a table there by its bare name, and fill a folder."""
-    db, folder = workspace(spark, f"{sf_dir}#ddl")
+    db, folder = workspace(spark, f"{sf_dir}#{uuid.uuid4().hex}")
     before = spark.catalog.currentDatabase()
     try:
         tables.ensure_namespace(spark, db, f"{folder}/db")
@@ -112,8 +120,7 @@ def namespace_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table's rows while it stands, and whether it exists before and after its drop."""
-    db, _ = namespace(spark, sf_dir)
-    name = f"{db}.dropped"
+    name, _ = fresh(spark, sf_dir, "dropped")
     docs = views.documents(spark, sf_dir).select("doc_id")
     n_rows = tables.save_table(docs, name).count()
     existed = spark.catalog.tableExists(name)

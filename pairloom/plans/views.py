@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.functions.hashing import digest
 from pairloom.functions.payload import GenParams
+from pairloom.functions.readability import token_count
 from pairloom.functions.text import TITLE_TEMPLATE, add_prompt
 from pairloom.operators.infer import batch_infer, lead_scorer
 from pairloom.operators.rows import dedup, filter_null_or_empty
@@ -46,7 +48,7 @@ def code_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("a"), (i % 5).cast("string")))
     )
     body = F.concat(
-        F.substring_index("text", "\n", 1),
+        "text",
         F.when(i % 2 == 0, "\nParameters\n----------\n").otherwise("\n"),
     )
     source = F.format_string(
@@ -78,6 +80,27 @@ def split_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_split(pairs, WEIGHTS, SEED, ["prompt", "response"])
 
 
+def blog_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_key, split, n_tokens)`` of ``ift``: what counts need, without a text in a shuffle.
+
+    Sides and tokens are computed from each text where it lies; copies combine by digest.
+    """
+    pairs = add_prompt(filtered_blogs(spark, sf_dir), TITLE_TEMPLATE, "text").select(
+        "doc_id", "text", "title", "prompt", F.col("title").alias("response")
+    )
+    sides = hash_split(pairs, WEIGHTS, SEED, ["prompt", "response"])
+    rows = sides.select(
+        F.col("doc_id").alias("row_key"),
+        digest(F.col("text")).alias("_t"),
+        digest(F.col("title")).alias("_r"),
+        (F.col("split") == "train").cast("int").alias("_train"),
+        (token_count(F.col("prompt")) + token_count(F.col("response"))).alias("_n"),
+    )
+    # Copies agree in side and tokens; numbers keep the aggregation hash-based.
+    one = rows.groupBy("_t", "_r").agg(F.min("row_key").alias("row_key"), F.max("_train").alias("_train"), F.max("_n").alias("n_tokens"))
+    return one.select("row_key", F.when(F.col("_train") == 1, "train").otherwise("eval").alias("split"), "n_tokens")
+
+
 def ift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(row_key, prompt, response, split)``: distinct pairs, each on its side."""
     return split_blogs(spark, sf_dir).select("row_key", "prompt", "response", "split")

@@ -29,14 +29,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType = PAIR_SCHEMA)
     return spark.read.schema(schema).json(path)
 
 
-def export_single_jsonl(df: DataFrame, path: str, max_copy_bytes: int = 4 << 30) -> None:
+def export_single_jsonl(df: DataFrame, path: str) -> None:
     """Publish ``df`` as exactly one JSON Lines file at ``path``.
 
     All executors write part files to a scratch folder beside ``path``. Where the file
     system can join files (HDFS), the parts become one file by a metadata change and
-    no row moves again, whatever the size. Elsewhere one task copies the finished
-    parts; that is refused above ``max_copy_bytes``, where :func:`write_jsonl` is the
-    form to use. The file appears under its name only when complete.
+    no row moves again. Elsewhere one task streams the finished parts, line by line and
+    whatever their size, into one file; :func:`write_jsonl` is the parallel form. The file
+    appears under its name only when complete.
     """
     spark = df.sparkSession
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -54,7 +54,7 @@ def export_single_jsonl(df: DataFrame, path: str, max_copy_bytes: int = 4 << 30)
             if joins and fs.getScheme() != "file":
                 parts = _join_files(spark, fs, parts)
             else:
-                parts = _copy_to_one(spark, fs, scratch, max_copy_bytes)
+                parts = _copy_to_one(spark, fs, scratch)
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file in {scratch}, found {len(parts)}")
         _replace(spark, conf, parts[0], target)
@@ -99,15 +99,7 @@ def _join_files(spark: SparkSession, fs: JavaObject, parts: list[JavaObject]) ->
     return parts[:1]
 
 
-def _copy_to_one(
-    spark: SparkSession, fs: JavaObject, scratch: JavaObject, max_copy_bytes: int
-) -> list[JavaObject]:
-    size = fs.getContentSummary(scratch).getLength()
-    if size > max_copy_bytes:
-        raise ValueError(
-            f"{size} bytes are too many for one task to copy into one file here; "
-            "use write_jsonl for a directory of files, or raise max_copy_bytes"
-        )
+def _copy_to_one(spark: SparkSession, fs: JavaObject, scratch: JavaObject) -> list[JavaObject]:
     merged = f"{scratch}/_one"
     lines = spark.read.option("lineSep", "\n").text(str(scratch))
     lines.coalesce(1).write.option("lineSep", "\n").text(merged)

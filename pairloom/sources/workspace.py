@@ -4,27 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-import tempfile
 
 from pyspark.sql import SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
     """A folder every executor can see, private to this application.
 
-    The base is ``spark.checkpoint.dir``. Only a local session may go without it.
+    It lies below ``spark.checkpoint.dir``, or the session's warehouse where that is unset.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if base is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        if sc.applicationId not in _local_dirs:
-            _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="pairloom-")
-        base = _local_dirs[sc.applicationId]
-    return f"{base.rstrip('/')}/pairloom/{sc.applicationId}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/pairloom/{spark.sparkContext.applicationId}"
 
 
 def workspace(spark: SparkSession, scope: str) -> tuple[str, str]:

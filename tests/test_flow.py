@@ -10,7 +10,6 @@ from pairloom.functions.payload import GenParams
 from pairloom.functions.text import DOCSTRING_TEMPLATE, TITLE_TEMPLATE, add_prompt, between_delimiters
 from pairloom.operators import evaluate as ev
 from pairloom.operators import handoff, infer, requests, rows, splits
-from pairloom.functions.payload import response_payload
 from pairloom.plans import views
 from pairloom.sources import jsonl, tables
 
@@ -79,9 +78,10 @@ def test_title_track_with_batched_requests(spark, db, tmp_path):
     assert {p for s in sent for p in s["inputs"]["prompt"]} == {r.prompt for r in evaluation.collect()}
     assert all(s["params"] == {"max_tokens": 128, "temperature": 0.9} for s in sent)
 
-    answered = batches.withColumn(
-        "answer", response_payload(F.transform("prompts", lambda p: F.substring(p, 1, 10)))
-    )
+    def titles_of(params):
+        return lambda prompts: [p[:10] for p in prompts]
+
+    answered = requests.infer_batches(batches, titles_of, GenParams(128, 0.9))
     titles = requests.unbatch_responses(answered, "answer", "keys", "generated_title").drop("pos")
     frame = infer.attach_predictions(rows.to_eval_frame(evaluation), titles, "row_key")
     assert frame.count() == evaluation.count()

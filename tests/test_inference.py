@@ -183,6 +183,23 @@ def test_batches_add_no_shuffle_to_the_window(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_a_failing_request_costs_that_request_alone(spark):
+    rows = [([(1,), (2,)], ["a", "b"]), ([(3,)], ["bad"]), ([(4,)], [None]), ([(5,)], ["c"]), ([], [])]
+    df = from_rows(spark, rows, "keys array<struct<id: long>>, prompts array<string>").coalesce(1)
+    sent = requests.infer_batches(df, picky)
+    assert [r.error is None for r in sent.collect()] == [True, False, False, True, True]
+    found = requests.unbatch_responses(sent, "answer", "keys", "text")
+    wanted = [(1, 0, "A"), (2, 1, "B"), (3, 0, None), (4, 0, None), (5, 0, "C")]
+    assert sorted(map(tuple, found.collect())) == wanted
+
+
+def test_repeated_predictions_do_not_repeat_rows(spark):
+    df = from_rows(spark, [(1, "a"), (2, "b")], "id long, prompt string")
+    preds = from_rows(spark, [(1, "B"), (1, "A"), (2, None)], "id long, text string")
+    found = infer.attach_predictions(df, preds, "id")
+    assert sorted(map(tuple, found.collect())) == [(1, "a", "A"), (2, "b", None)]
+
+
 def test_attached_predictions_leave_other_rows_null(spark):
     df = from_rows(spark, [(1, "a"), (2, "b"), (3, "c")], "id long, prompt string")
     preds = from_rows(spark, [(1, "A"), (2, "B")], "id long, text string")
@@ -191,11 +208,10 @@ def test_attached_predictions_leave_other_rows_null(spark):
 
 
 def test_payload_log_of_failures(spark):
-    df = from_rows(
-        spark, [(1, "p", "t", None), (2, "q", None, "too long")], "id long, prompt string, text string, error string"
-    )
+    rows = [(1, "p", "t", None), (2, "q", None, "too long"), (3, None, None, None)]
+    df = from_rows(spark, rows, "id long, prompt string, text string, error string")
     log = infer.payload_log(df, "id", "prompt", "text", "error", GenParams(), "m").orderBy("request_id")
-    ok, failed = log.collect()
-    assert (ok.status, failed.status) == (200, 400)
+    ok, failed, unsent = log.collect()
+    assert (ok.status, failed.status, unsent.status, unsent.response) == (200, 400, 204, None)
     assert json.loads(ok.response) == {"predictions": [{"candidates": [{"text": "t"}]}]}
     assert json.loads(failed.response) == {"error": "too long"}

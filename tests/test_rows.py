@@ -79,6 +79,18 @@ def test_hash_split_shares(spark):
     assert abs(sizes["eval"] - 2000) < 200
 
 
+def test_a_tiny_side_is_not_empty(spark):
+    found = splits.hash_split(spark.range(0, 2_000_000, 1, 8), {"train": 1, "eval": 1e-5}, 42, ["id"])
+    assert 3 <= found.where("split = 'eval'").count() <= 60
+
+
+def test_random_split_shares_and_seed(spark):
+    df = spark.range(0, 20_000, 1, 4)
+    first, again = (splits.random_split(df, [0.9, 0.1], seed=5)[1].collect() for _ in range(2))
+    assert abs(len(first) - 2000) < 200 and first == again
+    assert first != splits.random_split(df, [0.9, 0.1], seed=6)[1].collect()
+
+
 def test_random_split_parts_are_disjoint_and_whole(spark):
     parts = splits.random_split(spark.range(1000), [0.9, 0.1])
     together = parts[0].union(parts[1])

@@ -40,7 +40,7 @@ def test_a_judge_plugs_in(spark):
 
 def test_a_toxicity_model_plugs_in(spark):
     def factory():
-        return lambda texts: [None if t is None else float("!" in t) for t in texts]
+        return lambda texts: [float("!" in t) for t in texts]
 
     df = from_rows(spark, [("a!", "a"), ("b", "b"), (None, "c")], "p string, t string")
     score = text_score_udf(factory)
@@ -49,6 +49,64 @@ def test_a_toxicity_model_plugs_in(spark):
     assert ev.toxicity(scored, "toxicity").first().toxicity_ratio == 0.5
 
 
+@pytest.fixture
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_failing_judge_costs_one_row(spark, small_batches):
+    """The judge cannot take nulls, gets none, and fails on one pair."""
+
+    def factory():
+        def grade(preds, truths):
+            if any("bad" in p for p in preds):
+                raise ValueError("cannot grade")
+            return [len(set(p.split()) & set(t.split())) for p, t in zip(preds, truths)]
+
+        return grade
+
+    rows = [("a b", "a"), (None, "a"), ("bad", "a"), ("a", None)] + [("x", "x")] * 10
+    df = from_rows(spark, rows, "p string, t string").coalesce(1)
+    judge = judge_udf(factory, call_size=4, details=True)
+    found = ev.evaluate(df, "t", "p", extra=[ev.Metric("grade", judge, details=True)]).collect()
+    assert [(r.grade, r.grade_error) for r in found[:4]] == [(1, None), (None, None), (None, "cannot grade"), (None, None)]
+    assert all((r.grade, r.grade_error) == (1, None) for r in found[4:])
+    with pytest.raises(Exception, match="cannot grade"):
+        ev.judge_similarity(df, "p", "t", judge_udf(factory, on_error="raise")).collect()
+
+
+def test_every_model_is_called_once_per_row(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def factory():
+        def grade(preds, truths):
+            with open(log, "a") as f:
+                f.write("x" * len(preds))
+            return [len(p) for p in preds]
+
+        return grade
+
+    df = spark.range(0, 40, 1, 2).select(F.concat(F.lit("p"), "id").alias("p"), F.lit("t").alias("t"))
+    metric = ev.Metric("grade", judge_udf(factory))
+    drop_table(spark, "once")
+    scores, summary = ev.evaluate_once(
+        df, "t", "p", "once", ["grade", "token_count"], model_type="text", extra=[metric], token_counter=F.length
+    )
+    document = json.loads(ev.metrics_json(summary).first().metrics)
+    assert document["grade/mean"] == document["token_count/mean"] == 2.75
+    assert scores.count() == 40 and open(log).read() == "x" * 40
+    drop_table(spark, "once")
+
+
+def test_text_defaults_take_a_toxicity_model(spark):
+    score = text_score_udf(lambda: lambda texts: [float("!" in t) for t in texts])
+    df = from_rows(spark, [("a!", "a"), (None, "b")], "p string, t string")
+    scored = ev.evaluate(df, "t", "p", "text", toxicity=score, token_counter=token_count_udf(lambda: len))
+    assert [(r.token_count, r.toxicity) for r in scored.collect()] == [(2, 1.0), (None, None)]
+
+
 def test_a_tokenizer_plugs_in(spark):
     counter = token_count_udf(lambda: len)
     df = from_rows(spark, [("train", "ab c", "d"), ("train", "", None)], f"split string, {PAIR}")
@@ -79,17 +137,16 @@ def test_percentile_of_few_rows(spark, p):
     values = [np.random.default_rng(n).normal(size=n).tolist() for n in sizes]
     rows = list(zip_longest(*values))  # shorter columns end in nulls
     df = from_rows(spark, rows, ", ".join(f"n{n} double" for n in sizes))
-    found = exact_percentiles(df, df.columns, p).collect()
+    found = exact_percentiles(df, df.columns, p)
     wanted = {f"n{n}": np.percentile(of_n, 100 * p) for n, of_n in zip(sizes, values)}
-    assert {r.metric: r.percentile for r in found} == pytest.approx(wanted)
+    assert found == pytest.approx(wanted)
 
 
 def test_percentile_with_infinite_values(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(-inf, inf, None), (1.0, inf, nan), (2.0, None, nan), (inf, None, None), (nan, None, None)]
     df = from_rows(spark, rows, "some double, all double, none double")
-    found = {r.metric: r.percentile for r in exact_percentiles(df, df.columns, 0.5).collect()}
-    assert found == {"some": 1.5, "all": inf}
+    assert exact_percentiles(df, df.columns, 0.5) == {"some": 1.5, "all": inf}
 
 
 def skewed(spark):
@@ -113,9 +170,8 @@ def built_in_percentiles(df, p):
 @pytest.mark.parametrize("accuracy", [10_000, 1000, 50])
 def test_percentile_of_many_rows(spark, accuracy):
     df = skewed(spark)
-    found = exact_percentiles(df, df.columns, 0.9, accuracy=accuracy, bins=64).collect()
-    wanted = built_in_percentiles(df, 0.9)
-    assert {r.metric: r.percentile for r in found} == pytest.approx(wanted, rel=1e-12)
+    found = exact_percentiles(df, df.columns, 0.9, accuracy=accuracy, bins=64)
+    assert found == pytest.approx(built_in_percentiles(df, 0.9), rel=1e-12)
 
 
 def test_a_poor_proposal_still_gives_the_exact_answer(spark, monkeypatch):
@@ -124,8 +180,27 @@ def test_a_poor_proposal_still_gives_the_exact_answer(spark, monkeypatch):
     wanted = built_in_percentiles(df, 0.9)
     honest = F.percentile_approx
     monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: honest(c, [0.2, 0.3], a))
-    found = exact_percentiles(df, df.columns, 0.9).collect()
-    assert {r.metric: r.percentile for r in found} == pytest.approx(wanted)
+    assert exact_percentiles(df, df.columns, 0.9) == pytest.approx(wanted)
+
+
+def test_percentile_where_values_crowd(spark):
+    """Half of the values lie within a billionth of the percentile."""
+    i = F.col("id")
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(i % 2 == 0, i / 1e15 + 5).otherwise(F.rand(1) * 10).alias("crowd"),
+        F.pow(F.lit(2.0), -(i % 900)).alias("powers"),
+        F.when(i % 10 == 0, F.lit(float("-inf"))).when(i % 10 == 1, F.lit(1e308)).otherwise(-1e308 + i).alias("wide"),
+    )
+    for p in (0.5, 0.6, 0.05):
+        assert exact_percentiles(df, df.columns, p) == pytest.approx(built_in_percentiles(df, p), rel=1e-12)
+
+
+def test_no_window_over_values(spark):
+    from pairloom.operators.percentile import _Search, _steps
+
+    plan = _steps(skewed(spark), [_Search("hot", 3, 0.0, 1.0)], 64)._jdf.queryExecution().executedPlan().toString()
+    window = plan.index("Window ")
+    assert "score" not in plan[window : plan.index("\n", window)]
 
 
 def test_summary(spark):
@@ -161,6 +236,14 @@ def test_metrics_json(spark):
     assert list(json.loads(found)) == ["a/p90", "b/mean"]
 
 
+def test_metrics_json_keeps_doubles(spark):
+    values = [1.5e-7, 1e20, None]
+    rows = [(f"m{i}", "mean", v) for i, v in enumerate(values)]
+    metrics = from_rows(spark, rows, "metric string, stat string, value double")
+    found = json.loads(ev.metrics_json(metrics).first().metrics)
+    assert [found.get(f"m{i}/mean") for i in range(3)] == values
+
+
 def test_runs_add_up_in_one_table(spark):
     metrics = from_rows(spark, [("m", "mean", 1.0)], "metric string, stat string, value double")
     drop_table(spark, "run_log")
@@ -207,6 +290,25 @@ def test_validation_shuffles_no_text(spark):
     assert exchanges and not any("prompt#" in line or "response#" in line for line in exchanges)
 
 
+def test_one_frame_is_validated_in_one_scan(spark, tmp_path):
+    rows = [("p", "r", "train"), ("q", "s", "train"), ("p", "r", "eval"), ("x", "y", "test")]
+    from_rows(spark, rows, f"{PAIR}, split string").write.parquet(str(tmp_path / "pairs"))
+    found = handoff.validate_split(spark.read.parquet(str(tmp_path / "pairs")))
+    assert tuple(found.first()) == (2, 1, 0, 0, 1, 1)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_counts_shuffle_no_text(spark):
+    from pairloom.plans import dataset
+
+    for query in (dataset.row_count, dataset.split_counts, dataset.hash_split, dataset.training_profile, dataset.validate_ift):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+        assert exchanges
+        if query is not dataset.validate_ift:  # its pairs come from rows with their texts
+            assert not any(f"{c}#" in line for line in exchanges for c in ("text", "title", "prompt", "response"))
+
+
 def test_profile_and_record(spark):
     df = from_rows(spark, [("train", "a b", "c"), ("train", "d", "e f"), ("eval", "g", "h")], f"split string, {PAIR}")
     found = {r.split: tuple(r)[1:] for r in handoff.training_profile(df, 3).collect()}

@@ -91,11 +91,24 @@ def test_single_file_of_no_rows(spark, tmp_path):
     assert (tmp_path / "none.jsonl").read_text() == ""
 
 
-def test_a_file_too_large_for_one_task_is_refused_whole(spark, tmp_path):
-    df = spark.range(0, 100, 1, 4)
-    with pytest.raises(ValueError, match="write_jsonl"):
-        jsonl.export_single_jsonl(df, str(tmp_path / "big.jsonl"), max_copy_bytes=10)
-    assert not [p for p in tmp_path.iterdir()]
+def test_one_file_of_many_parts(spark, tmp_path):
+    df = spark.range(0, 50_000, 1, 40).select("id", F.repeat(F.lit("x"), 100).alias("response"))
+    jsonl.export_single_jsonl(df, str(tmp_path / "big.jsonl"))
+    assert sorted(r["id"] for r in lines(tmp_path / "big.jsonl")) == list(range(50_000))
+
+
+def test_a_second_call_leaves_the_first_result(spark):
+    """Queries that write do so under names of their own."""
+    from pairloom.plans import generation, scoring, storage
+
+    writing = [
+        storage.scan_table, storage.register_table, storage.save_table, storage.save_splits, storage.jsonl_roundtrip,
+        storage.export_single_jsonl, storage.table_to_jsonl, storage.namespace_ddl, generation.batch_infer,
+        generation.payload_log, scoring.metric_summary, scoring.metrics_json, scoring.run_metrics,
+    ]
+    for query in writing:
+        first, again = (query(spark, "/root/testdata/sf0.001") for _ in range(2))
+        assert first.count() == again.count() > 0
 
 
 def test_joining_files_checks_that_nothing_is_lost(spark, tmp_path):
