@@ -19,7 +19,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     key = start.copy()
     for k in range(1, depth):
         key <<= bits
-        key[: n - k] += start[k:]
+        key[: max(n - k, 0)] += start[k:]
     order = np.argsort(key)
     ahead = np.ones(n + 1, dtype=bool)
     ahead[1:n] = np.diff(key[order]) != 0

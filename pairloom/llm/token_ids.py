@@ -1,8 +1,9 @@
 """Token ids of whole texts from public tokenizer files, with a cache over pieces of text.
 
 Both tokenizers cut a text into pieces first and encode each piece by itself, and both cut
-between a letter and a full stop, a comma or white space. So a text may be encoded piece by
-piece at such places with the same ids, and a piece seen before costs one look-up.
+between a letter and white space or punctuation (an apostrophe apart). So a text may be
+encoded piece by piece at such places with the same ids, and a piece seen before costs one
+look-up.
 """
 
 from __future__ import annotations
@@ -14,17 +15,20 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Pieces held per worker; as many again may wait in the older half of the cache.
-CACHE = 400_000
+CACHE = 600_000
 #: Characters of text cut at a time.
 RUN_CHARS = 1 << 20
 
-#: White space before a word belongs to its piece where the tokenizer keeps spaces.
-WITH_SPACES = r"\s*[^\W\d_]+(?=[.,\s]|$)|\s*\S+|\s+"
-WITHOUT_SPACES = r"[^\W\d_]+(?=[.,\s]|$)|\S+"
+#: A word before white space, the end or ASCII punctuation other than an apostrophe; else a run
+#: without white space. White space before it belongs to a piece where the tokenizer keeps it.
+_WORD = r"[^\W\d_]+(?=[\s!-&(-/:-@\[-`{-~]|$)|"
+WITH_SPACES = rf"\s*{_WORD}\s*\S+|\s+"
+WITHOUT_SPACES = rf"{_WORD}\S+"
 #: Texts with these are encoded whole: marks of special tokens, a letter whose lower case ends
-#: in a combining mark, and control characters that
-#: are white space to Python only.
-_WHOLE = re.compile(r"<\||[\x1c-\x1f\u0130]")
+#: in a combining mark, and control characters that are white space to Python only.
+_WHOLE = re.compile(r"<\||[\x1c-\x1fİ]")
+#: Beyond these letters a text is left as it is, and the tokenizer lower-cases it.
+_LATIN = re.compile(r"[\x00-ɏ]*")
 
 
 class PieceEncoder:
@@ -36,7 +40,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = re.compile(WITH_SPACES if keeps_spaces else WITHOUT_SPACES)
-        #: Lower-casing ASCII here saves look-ups where the tokenizer lower-cases anyway.
+        #: Lower-casing Latin texts here saves look-ups where the tokenizer does so anyway.
         self.lower = lower
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -69,7 +73,7 @@ class PieceEncoder:
                 if _WHOLE.search(text):
                     cut.append(None)
                 else:
-                    cut.append(self.pieces.findall(text.lower() if self.lower and text.isascii() else text))
+                    cut.append(self.pieces.findall(text.lower() if self.lower and _LATIN.fullmatch(text) else text))
             if len(self.new) > CACHE:
                 self.old, self.new = self.new, {}
             self._learn({p for pieces in cut if pieces for p in pieces})
