@@ -17,8 +17,11 @@ from pairloom.llm import (
     substring_dedup,
     topk,
 )
+from pairloom.llm.check_sql import CHECKS
 from pairloom.sources.tables import load_dir
 
+__all__ = ["CHECKS", "QUERIES", "tokenizer"]
+
 
 def tokenizer(name: str) -> str:
     """Path of a public tokenizer file."""
@@ -118,4 +121,3 @@ QUERIES = {
     "op9_token_id_output": op9_token_id_output,
     "op10_quality_classifier": op10_quality_classifier,
 }
-CHECKS: dict[str, str] = {}
