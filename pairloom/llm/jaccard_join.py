@@ -15,7 +15,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,10 @@ WORDS = 4
 PERCENT = 85
 #: Growth of the size bands' bounds, in percent.
 BAND_PERCENT = 140
-#: Blocks beyond the pigeonhole's need. Similar sets agree in one more block than this, so a
-#: set with no more blank blocks than this need not emit its blank ones.
-SPARE = 4
+#: Groups of more classes than this are thinned.
+LARGE = 16
+#: Classes of one group in a tile of sketch comparisons.
+TILE = 512
 #: Keys in one bucket of the key shuffle, on average.
 BUCKET_KEYS = 1 << 20
 #: Sets compared with a hub in one task's run.
@@ -63,6 +64,23 @@ def class_code(values: np.ndarray) -> int:
     return int(mix(np.array([code], dtype=np.uint64)).view(np.int64)[0])
 
 
+def parity_sketch(values: np.ndarray) -> np.ndarray:
+    """Bits, two per shingle or more, each the parity of the shingles that fall on it."""
+    bits = 64
+    while bits < 2 * len(values):
+        bits *= 2
+    place = (mix(values ^ np.uint64(0x5555)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits).astype(np.uint8) & 1, bitorder="little").view(np.uint64)
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The same parities over fewer bits: places that meet add up."""
+    while len(sketch) > words:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
+
+
 def links(a: int, b: int, shared: int, percent: int = PERCENT) -> bool:
     """Whether sets of sizes ``a`` and ``b`` with ``shared`` common shingles are similar."""
     return 100 * shared >= percent * (a + b - shared) and shared > 0
@@ -83,28 +101,39 @@ class Bands:
             low = high + 1
         return out
 
-    def blocks(self, high: int) -> int:
-        return int(self.share * 2 * high) + 1 + SPARE
+    def blocks(self, high: int) -> tuple[int, int]:
+        """Blocks of a band's sketches, and how many of them are beyond the pigeonhole's need.
+
+        Similar sets agree in one block more than these spare ones.
+        """
+        most = int(self.share * 2 * high)
+        spare = 2 + most // 2
+        return most + 1 + spare, spare
 
     def least(self, low: int) -> int:
         """The smallest set similar to one of size ``low``."""
         return -(-low * self.percent // 100)
 
 
-def sketch_keys(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """``(set, key)`` for each block that a set must be found by, in all its bands."""
+def sketch_keys(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(set, key, tag)`` for each block that a set must be found by, in all its bands.
+
+    Blank blocks are left out as long as they are no more than the spare ones: similar sets then
+    still agree in a block that is not blank. The tag is ``band * 65536`` plus the number of keys
+    that the set may yet do without in that band.
+    """
     bands = Bands(percent)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    owner, keys = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    owner, keys, tags = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
     if not len(sizes) or not sizes.max():
-        return owner[0], keys[0]
+        return owner[0], keys[0], tags[0]
     for number, (low, high) in enumerate(bands.bounds(-(-int(sizes.max()) * 100 // percent))):
         if int(bands.share * 2 * high) == 0:
             continue  # only equal sets are similar at these sizes
         inside = np.flatnonzero((sizes >= bands.least(low)) & (sizes <= high))
         if not len(inside):
             continue
-        m = bands.blocks(high)
+        m, spare = bands.blocks(high)
         flat = np.concatenate([sets[i] for i in inside])
         block = (mix(flat ^ np.uint64(number + 1)) % np.uint64(m)).astype(np.int64)
         cell = np.repeat(np.arange(len(inside)) * m, sizes[inside]) + block
@@ -112,17 +141,17 @@ def sketch_keys(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndar
         np.bitwise_xor.at(sketch, cell, flat)
         sketch = sketch.reshape(len(inside), m)
         blank = sketch == 0
-        emit = ~blank | (blank.sum(axis=1, keepdims=True) > SPARE)
+        left = spare - blank.sum(axis=1)
+        row, column = np.nonzero(~blank | (left < 0)[:, None])
         place = np.arange(m, dtype=np.uint64) + np.uint64((number + 1) << 32)
-        value = mix(sketch ^ mix(place)[None, :])
-        row, column = np.nonzero(emit)
         owner.append(inside[row])
-        keys.append(value[row, column])
-    return np.concatenate(owner), np.concatenate(keys)
+        keys.append(mix(sketch ^ mix(place)[None, :])[row, column])
+        tags.append((number << 16) + np.minimum(np.maximum(left, 0), 65535)[row])
+    return np.concatenate(owner), np.concatenate(keys), np.concatenate(tags)
 
 
 def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(doc_id, n, cid)`` of every row: size of its set, class of equal sets."""
+    """``(doc_id, n, cid, sketch)`` of every row: size, class and parity sketch of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
@@ -132,9 +161,11 @@ def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 sets = shingle_sets(texts, words)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 code = np.array([class_code(s) for s in sets], dtype=np.int64)
-                yield pa.record_batch([ids.slice(low, high - low), n, code], ["doc_id", "n", "cid"])
+                sketch = pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary())
+                yield pa.record_batch([ids.slice(low, high - low), n, code, sketch], ["doc_id", "n", "cid", "sketch"])
 
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("cid", T.LongType())])
+    own = [T.StructField("n", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("sketch", T.BinaryType())]
+    schema = T.StructType([docs.schema["doc_id"], *own])
     return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
@@ -148,123 +179,159 @@ def _key_rows(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFr
                 code = np.array([class_code(s) for s in sets], dtype=np.int64)
                 _, first = np.unique(code, return_index=True)
                 sets, code = [sets[i] for i in first], code[first]
-                owner, keys = sketch_keys(sets, percent)
+                owner, keys, tags = sketch_keys(sets, percent)
                 bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(edges))
-                packed_keys = [keys[order[edges[b] : edges[b + 1]]].tobytes() for b in full]
-                packed_codes = [code[owner[order[edges[b] : edges[b + 1]]]].tobytes() for b in full]
-                yield pa.record_batch(
-                    [full, pa.array(packed_keys, pa.binary()), pa.array(packed_codes, pa.binary())],
-                    ["bucket", "keys", "cids"],
-                )
+                parts = [order[edges[b] : edges[b + 1]] for b in full]
+                # Few classes make many keys, so a key carries its class's place in a list.
+                used = [np.unique(owner[p], return_inverse=True) for p in parts]
+                columns = [
+                    [keys[p].tobytes() for p in parts],
+                    [code[u].tobytes() for u, _ in used],
+                    [_small(at.astype(np.uint32)) for _, at in used],
+                    [_small(tags[p].astype(np.uint32)) for p in parts],
+                ]
+                yield pa.record_batch([full, *[pa.array(c, pa.binary()) for c in columns]], ["bucket", *_KEYED])
+
+    return map_batches(docs.select("text"), run, "bucket long, " + ", ".join(f"{c} binary" for c in _KEYED))
+
 
-    return map_batches(docs.select("text"), run, "bucket long, keys binary, cids binary")
+_KEYED = ["keys", "cids", "owners", "tags"]
 
 
-def _meetings(rows: DataFrame, buckets: int) -> DataFrame:
-    """``(meeting, cid)``: classes that share a key; equal groups of classes count once."""
+def _small(values: np.ndarray) -> bytes:
+    """32-bit values as compressed planes of bytes."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), 4).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-    def flush(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch | None:
-        keys = np.frombuffer(b"".join(k for k, _ in held), dtype=np.uint64)
-        cids = np.frombuffer(b"".join(c for _, c in held), dtype=np.int64)
+
+def _large(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    data = pa.decompress(raw[8:], 4 * n, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, n).T).view(np.uint32).ravel()
+
+
+def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """``(meeting, cid, n)``: classes that share ``n`` keys.
+
+    Equal groups of classes are one meeting. Similar classes share at least one key more than
+    either may do without, so each class leaves out that many of its most crowded keys, as the
+    prefix filter of set joins does: by crowd and key, the rarest key that two such classes
+    share stays with both. This frees groups that only a common passage holds together.
+    """
+
+    def flush(held: list[dict]) -> pa.RecordBatch | None:
+        keys = np.concatenate([np.frombuffer(h["keys"], dtype=np.uint64) for h in held])
+        cids = np.concatenate([np.frombuffer(h["cids"], dtype=np.int64)[_large(h["owners"])] for h in held])
+        tags = np.concatenate([_large(h["tags"]) for h in held])
         order = np.lexsort((cids, keys))
-        keys, cids = keys[order], cids[order]
+        keys, cids, tags = keys[order], cids[order], tags[order]
         fresh = np.append(True, (keys[1:] != keys[:-1]) | (cids[1:] != cids[:-1]))
-        keys, cids = keys[fresh], cids[fresh]
+        keys, cids, tags = keys[fresh], cids[fresh], tags[fresh]
         edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         sizes = np.diff(np.append(edges, len(keys)))
         shared = np.repeat(sizes > 1, sizes)
         if not shared.any():
             return None
-        cids, sizes = cids[shared], sizes[sizes > 1]
+        keys, cids, tags, sizes = keys[shared], cids[shared], tags[shared], sizes[sizes > 1]
         begins = np.cumsum(sizes) - sizes
-        # A group's code depends on its members alone, so equal groups get one number.
+        # A small group's code depends on its members alone, so equal groups are one meeting.
         code = mix(np.add.reduceat(mix(cids.view(np.uint64) + np.uint64(7)), begins) + sizes.astype(np.uint64))
-        _, first = np.unique(code, return_index=True)
-        kept = np.zeros(len(sizes), dtype=bool)
-        kept[first] = True
-        at = np.repeat(kept, sizes)
-        return pa.record_batch([np.repeat(code.view(np.int64), sizes)[at], cids[at]], ["meeting", "cid"])
+        code = np.where(sizes > LARGE, keys[begins], code)
+        _, first, count = np.unique(code, return_index=True, return_counts=True)
+        times = np.zeros(len(sizes), dtype=np.int64)
+        times[first] = count
+        at = np.repeat(times > 0, sizes)
+        columns = [np.repeat(code.view(np.int64), sizes), cids, np.repeat(times, sizes), np.repeat(sizes, sizes), tags.astype(np.int64)]
+        return pa.record_batch([c[at] for c in columns], ["meeting", "cid", "n", "crowd", "tag"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            for bucket, keys, cids in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "cids"))):
-                if bucket != now and held:
-                    found = flush(held)
-                    if found is not None:
+            for row in batch.to_pylist():
+                if row["bucket"] != now and held:
+                    if (found := flush(held)) is not None:
                         yield found
                     held = []
-                now = bucket
-                held.append((keys, cids))
+                now = row["bucket"]
+                held.append(row)
         if held and (found := flush(held)) is not None:
             yield found
 
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return map_batches(dealt, run, "meeting long, cid long").distinct()
+    found = keep(map_batches(dealt, run, "meeting long, cid long, n long, crowd long, tag long"), "meetings", "zstd")
+    small = found.where(f"crowd <= {LARGE}").select("meeting", "cid", "n")
+    band, spare = F.shiftright("tag", 16), F.col("tag").bitwiseAND(65535)
+    crowded = Window.partitionBy("cid", "band").orderBy(F.desc("crowd"), "meeting")
+    large = (
+        found.where(f"crowd > {LARGE}")
+        .withColumns({"band": band, "spare": spare})
+        .withColumn("place", F.row_number().over(crowded))
+        .where("place > spare")
+        .select("meeting", "cid", "n")
+    )
+    # The same small group may come from several buckets.
+    small = small.groupBy("meeting", "cid").agg(F.sum("n").alias("n"))
+    return small.union(large), found
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """``(u, v)``: the pairs ``(cid, hub)`` of classes whose sets are similar.
 
-    The text of one document per class goes to the hubs it is compared with, as its set; a hub
-    with many partners is copied to several runs, so none grows with the hub.
+    The text of one document per class goes, compressed, to the hubs it is compared with; it is
+    a third as large as its set. A hub with many partners is copied to several runs, so none
+    grows with the hub.
     """
-    spark = docs.sparkSession
     load = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("load"))
     salts = F.ceil(F.col("load") / SALT_SETS)
     member = pairs.join(load, "hub").select(
-        "cid", F.struct("hub", F.pmod(F.xxhash64("cid"), salts).cast("long").alias("salt"), F.lit(False).alias("own")).alias("to")
+        "cid", "hub", F.pmod(F.xxhash64("cid"), salts).cast("long").alias("salt"), F.lit(False).alias("own")
     )
-    own = load.select(
-        F.col("hub").alias("cid"),
-        F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long"))).alias("salt"),
-    ).select("cid", F.struct(F.col("cid").alias("hub"), "salt", F.lit(True).alias("own")).alias("to"))
-    least = classes.groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
-    # One row per class and target: a class compared with many hubs is not gathered in one row.
-    sends = member.union(own).join(least, "cid")
-    wanted = sends.select("doc_id", "cid").distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))
+    own = load.select(F.col("hub").alias("cid"), "hub", runs.alias("salt"), F.lit(True).alias("own"))
+    sends = member.union(own)
+    wanted = classes.groupBy("cid").agg(F.min("doc_id").alias("doc_id")).join(
+        sends.select("cid").distinct(), "cid", "left_semi"
+    )
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cids = batch.column("cid")
             for low, high, texts in groups(batch):
-                packed = [s.tobytes() for s in shingle_sets(texts, words)]
-                yield pa.record_batch([cids.slice(low, high - low), pa.array(packed, pa.binary())], ["cid", "shingles"])
+                part = batch.slice(low, high - low)
+                # Rows of one doc_id may differ in text: the class says which is meant.
+                code = np.array([class_code(s) for s in shingle_sets(texts, words)], dtype=np.int64)
+                right = code == part.column("cid").to_numpy()
+                cids, texts = part.column("cid").filter(pa.array(right)), [t for t, r in zip(texts, right) if r]
+                small = [len(t).to_bytes(8, "little") + pa.compress(t, codec="zstd", asbytes=True) for t in texts]
+                yield pa.record_batch([cids, pa.array(small, pa.binary())], ["cid", "packed"])
 
-    # Repeated rows of one doc_id may differ in text: the class says which is meant.
     texts = docs.select("doc_id", "text").join(wanted, "doc_id")
-
-    def own_sets(batches):
-        for batch in sets(batches):
-            codes = [class_code(np.frombuffer(s.as_py(), dtype=np.uint64)) for s in batch.column("shingles")]
-            yield batch.filter(pa.array([a == b for a, b in zip(codes, batch.column("cid").to_pylist())]))
-
-    found = map_batches(texts, own_sets, "cid long, shingles binary").dropDuplicates(["cid"])
-    routed = sends.select("cid", "to.*").join(found, "cid")
-    dealt = routed.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
+    found = map_batches(texts, packed, "cid long, packed binary").dropDuplicates(["cid"])
+    dealt = sends.join(found, "cid").repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, hub_set = None, None
         for batch in batches:
+            raw = [p.as_py() for p in batch.column("packed")]
+            columns = [batch.column(c).to_pylist() for c in ("cid", "hub", "salt", "own")]
             u, v = [], []
-            columns = (batch.column(c).to_pylist() for c in ("cid", "hub", "salt", "own", "shingles"))
-            for cid, to, salt, own, raw in zip(*columns):
-                values = np.frombuffer(raw, dtype=np.uint64)
-                if own:
-                    hub, hub_set = (to, salt), values
-                    continue
-                assert hub == (to, salt)
-                place = np.searchsorted(hub_set, values).clip(max=len(hub_set) - 1)
-                shared = int((hub_set[place] == values).sum())
-                if links(len(values), len(hub_set), shared, percent):
-                    u.append(cid)
-                    v.append(to)
+            for at in range(0, len(raw), 64):
+                texts = [pa.decompress(r[8:], int.from_bytes(r[:8], "little"), "zstd", asbytes=True) for r in raw[at : at + 64]]
+                for k, values in enumerate(shingle_sets(texts, words)):
+                    cid, to, salt, own = (c[at + k] for c in columns)
+                    if own:
+                        hub, hub_set = (to, salt), values
+                        continue
+                    assert hub == (to, salt)
+                    place = np.searchsorted(hub_set, values).clip(max=len(hub_set) - 1)
+                    if links(len(values), len(hub_set), int((hub_set[place] == values).sum()), percent):
+                        u.append(cid)
+                        v.append(to)
             yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return map_batches(dealt.select("cid", "hub", "salt", "own", "shingles"), compare, "u long, v long")
+    return map_batches(dealt.select("cid", "hub", "salt", "own", "packed"), compare, "u long, v long")
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -272,9 +339,11 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     ``component_id`` is the smallest ``doc_id`` reachable by links between similar sets, a
     document without words being linked with nothing. Equal sets are one class and are compared
-    once. In each key's group the classes are first compared with the group's smallest one,
-    which settles groups of near copies without forming their pairs; the pairs that are left
-    are those of one group that still lie in different components, and all of them are compared.
+    once. The smallest class of each key's group is its hub, and each class is first compared
+    with the hub that it shares most groups with, which settles groups of near copies without
+    forming their pairs. What is left are the pairs of one group that lie in different
+    components: tiles of their sketches find those whose Hamming distance allows a link, and all
+    of these are compared.
 
     A null text is an empty one. Rows with a null ``doc_id`` link through equal sets alone, and
     keep a null component where no other row has their set. Repeated rows and repeated ids keep a
@@ -285,19 +354,19 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = keep(_classes(docs, words, percent), "classes")
     total = classes.where("n > 0").agg(F.sum("n").alias("n")).first().n or 0
     buckets = max(1, total // BUCKET_KEYS)
-    meetings = keep(_meetings(_key_rows(docs, words, percent, buckets), buckets), "meetings")
+    thinned, found = _meetings(_key_rows(docs, words, percent, buckets), buckets)
+    meetings = keep(thinned, "meetings")
+    remove(spark, found)
     release(spark)
     hubs = meetings.groupBy("meeting").agg(F.min("cid").alias("hub"))
-    first = keep(meetings.join(hubs, "meeting").where("cid != hub").select("cid", "hub").distinct(), "pairs")
+    shared = meetings.join(hubs, "meeting").where("cid != hub").groupBy("cid", "hub").agg(F.sum("n").alias("n"))
+    first = keep(shared.groupBy("cid").agg(F.min_by("hub", F.struct(-F.col("n"), "hub")).alias("hub")), "pairs")
     edges = keep(_verified(docs, classes, first, words, percent), "links")
     release(spark)
     labels = keep(components(edges), "labels")
     open_rows = keep(_open(meetings, labels), "open")
-    a, b = open_rows.alias("a"), open_rows.alias("b")
-    rest = a.join(b, "meeting").where("a.component < b.component").select(
-        F.greatest("a.cid", "b.cid").alias("cid"), F.least("a.cid", "b.cid").alias("hub")
-    ).distinct().join(first, ["cid", "hub"], "left_anti")
-    rest = keep(rest, "pairs")
+    near = _near_pairs(open_rows, classes, percent)
+    rest = keep(near.distinct().join(first, ["cid", "hub"], "left_anti"), "pairs")
     linked = labels
     if not rest.isEmpty():
         more = keep(_verified(docs, classes, rest, words, percent), "links")
@@ -316,6 +385,75 @@ def _open(meetings: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(mixed.where("low != high").select("meeting"), "meeting", "left_semi")
 
 
+def _near_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``(cid, hub)``: pairs of a group in different components whose sketches are close enough.
+
+    A group is dealt to blocks of about ``TILE`` classes, and each pair of blocks is one tile, so
+    no task holds a group; pairs whose sketches differ in more bits than similar sets can differ
+    in shingles are never written. A pair is found in the first of the groups that hold both:
+    each class brings the list of its groups, which are no more than its keys.
+    """
+    blocks = open_rows.groupBy("meeting").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks"))
+    sketches = classes.select("cid", "n", "sketch").dropDuplicates(["cid"])
+    lists = open_rows.groupBy("cid").agg(F.collect_list("meeting").alias("meetings"))
+    block, other = F.col("block"), F.col("other")
+    rows = (
+        open_rows.join(blocks, "meeting")
+        .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .join(sketches, "cid")
+        .join(lists, "cid")
+        .select(
+            "meeting", F.least(block, other).alias("left"), F.greatest(block, other).alias("right"),
+            (block <= other).alias("rows"), (block >= other).alias("columns"), "cid", "component", "n", "sketch", "meetings",
+        )
+    )
+    dealt = rows.repartition("meeting", "left", "right").sortWithinPartitions("meeting", "left", "right")
+    share = Bands(percent).share
+
+    def tile(held: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        width = min(len(h["sketch"]) for h in held) // 8
+        sketch = np.stack([folded(np.frombuffer(h["sketch"], dtype=np.uint64), width) for h in held])
+        cid, component, n = (np.array([h[c] for h in held]) for c in ("cid", "component", "n"))
+        over, under = (np.array([h[c] for h in held]) for c in ("rows", "columns"))
+        meeting, alone = held[0]["meeting"], held[0]["left"] == held[0]["right"]
+        lists = [frozenset(h["meetings"]) for h in held]
+        pairs: list[tuple[int, int]] = []
+        for at in range(0, len(held), 16):
+            part = slice(at, at + 16)
+            apart = np.bitwise_count(sketch[part, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
+            most = (n[part, None] + n[None, :]) * share.numerator // share.denominator
+            fit = (apart <= most) & (component[part, None] != component[None, :])
+            fit &= over[part, None] & under[None, :]
+            if alone:
+                fit &= cid[part, None] > cid[None, :]
+            pairs += [(at + x, y) for x, y in np.argwhere(fit).tolist() if min(lists[at + x] & lists[y]) == meeting]
+        x, y = (cid[[p[k] for p in pairs]] if pairs else np.zeros(0, dtype=np.int64) for k in (0, 1))
+        return np.maximum(x, y), np.minimum(x, y)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            found: list[tuple] = []
+            for row in batch.to_pylist():
+                if held and any(row[c] != held[0][c] for c in ("meeting", "left", "right")):
+                    found.append(tile(held))
+                    held = []
+                held.append(row)
+            yield _pairs(found)
+        if held:
+            yield _pairs([tile(held)])
+
+    names = ["meeting", "left", "right", "rows", "columns", "cid", "component", "n", "sketch", "meetings"]
+    return map_batches(dealt.select(*names), run, "cid long, hub long")
+
+
+def _pairs(found: list[tuple]) -> pa.RecordBatch:
+    none = np.zeros((0, 2), dtype=np.int64)
+    pairs = np.concatenate([none, *[np.stack(f, axis=1) for f in found]])
+    return pa.record_batch([pairs[:, 0], pairs[:, 1]], ["cid", "hub"])
+
+
 def _labelled(classes: DataFrame, linked: DataFrame) -> DataFrame:
     """Each row with the smallest ``doc_id`` of its component of classes."""
     full = classes.where("n > 0")

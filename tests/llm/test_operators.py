@@ -366,8 +366,16 @@ def test_sketch_keys_meet_for_every_similar_pair():
             new = int(rng.integers(0, max(1, n * 15 // 100) + 1))
             b = np.unique(np.concatenate([a[gone:], whole[n : n + new]]))
             if len(b) and jaccard_join.links(len(a), len(b), len(np.intersect1d(a, b))) and (len(a) != len(b) or (a != b).any()):
-                owner, keys = jaccard_join.sketch_keys([a, b])
-                assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist()), (n, gone, new)
+                owner, keys, tags = jaccard_join.sketch_keys([a, b])
+                for band in set((tags >> 16).tolist()):
+                    own = [{*zip(keys[m].tolist(), tags[m].tolist())} for m in ((owner == k) & (tags >> 16 == band) for k in (0, 1))]
+                    if all(own):
+                        spare = max(t & 65535 for o in own for _, t in o)
+                        both = {k for k, _ in own[0]} & {k for k, _ in own[1]}
+                        # The larger set's band is the one that counts.
+                        low, high = jaccard_join.Bands().bounds(5000)[band]
+                        if low <= max(len(a), len(b)) <= high:
+                            assert len(both) > spare, (n, gone, new)
 
 
 def test_representatives_and_empty_tables(documents, spark):
