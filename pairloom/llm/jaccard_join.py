@@ -411,15 +411,30 @@ def _near_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataF
     dealt = rows.repartition("meeting", "left", "right").sortWithinPartitions("meeting", "left", "right")
     share = Bands(percent).share
 
-    def tile(held: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        width = min(len(h["sketch"]) for h in held) // 8
-        sketch = np.stack([folded(np.frombuffer(h["sketch"], dtype=np.uint64), width) for h in held])
-        cid, component, n = (np.array([h[c] for h in held]) for c in ("cid", "component", "n"))
-        over, under = (np.array([h[c] for h in held]) for c in ("rows", "columns"))
-        meeting, alone = held[0]["meeting"], held[0]["left"] == held[0]["right"]
-        lists = [frozenset(h["meetings"]) for h in held]
+    def tile(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """Close pairs of one tile, whose rows are runs of Arrow batches."""
+
+        def whole(name: str) -> np.ndarray:
+            return np.concatenate([b.column(name).to_numpy(zero_copy_only=False)[i:j] for b, i, j in held])
+
+        cid, component, n, over, under = (whole(c) for c in ("cid", "component", "n", "rows", "columns"))
+        raw = [v.as_py() for b, i, j in held for v in b.column("sketch")[i:j]]
+        width = min(map(len, raw)) // 8
+        sketch = np.stack([folded(np.frombuffer(v, dtype=np.uint64), width) for v in raw])
+        batch, at, _ = held[0]
+        meeting = batch.column("meeting")[at].as_py()
+        alone = batch.column("left")[at].as_py() == batch.column("right")[at].as_py()
+        place = [(b, k) for b, i, j in held for k in range(i, j)]
+        known: dict[int, frozenset] = {}
+
+        def groups_of(k: int) -> frozenset:
+            if k not in known:
+                b, row = place[k]
+                known[k] = frozenset(b.column("meetings")[row].values.to_numpy().tolist())
+            return known[k]
+
         pairs: list[tuple[int, int]] = []
-        for at in range(0, len(held), 16):
+        for at in range(0, len(cid), 16):
             part = slice(at, at + 16)
             apart = np.bitwise_count(sketch[part, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
             most = (n[part, None] + n[None, :]) * share.numerator // share.denominator
@@ -427,19 +442,25 @@ def _near_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataF
             fit &= over[part, None] & under[None, :]
             if alone:
                 fit &= cid[part, None] > cid[None, :]
-            pairs += [(at + x, y) for x, y in np.argwhere(fit).tolist() if min(lists[at + x] & lists[y]) == meeting]
+            pairs += [(at + x, y) for x, y in np.argwhere(fit).tolist() if min(groups_of(at + x) & groups_of(y)) == meeting]
         x, y = (cid[[p[k] for p in pairs]] if pairs else np.zeros(0, dtype=np.int64) for k in (0, 1))
         return np.maximum(x, y), np.minimum(x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        held, now = [], None
         for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in ("meeting", "left", "right")]
+            if not batch.num_rows:
+                continue
+            starts = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
             found: list[tuple] = []
-            for row in batch.to_pylist():
-                if held and any(row[c] != held[0][c] for c in ("meeting", "left", "right")):
+            for low, high in zip(starts.tolist(), np.append(starts[1:], batch.num_rows).tolist()):
+                key = tuple(k[low] for k in keys)
+                if held and key != now:
                     found.append(tile(held))
                     held = []
-                held.append(row)
+                now = key
+                held.append((batch, low, high))
             yield _pairs(found)
         if held:
             yield _pairs([tile(held)])
