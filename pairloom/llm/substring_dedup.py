@@ -101,7 +101,11 @@ def _emitted(texts: DataFrame, entries, buckets: int, columns: list[str]) -> Dat
 
 
 def _judged(packed: DataFrame, buckets: int, kind: str, judge, wide: bool) -> DataFrame:
-    """``(doc_id, codes)``: the entries of each bucket that ``judge`` takes, per document."""
+    """``(doc_id, codes)``: the entries that ``judge`` takes, one row per document.
+
+    Buckets of codes hand their entries on in packed rows, one per group of documents, and each
+    group's are then gathered per document.
+    """
 
     def flush(bucket: int, held: list) -> pa.RecordBatch:
         docs, codes, marks = [], [], []
@@ -119,12 +123,13 @@ def _judged(packed: DataFrame, buckets: int, kind: str, judge, wide: bool) -> Da
         doc, code = doc[taken], code[taken].astype(np.uint64)
         if not wide:
             code |= np.uint64(bucket) << np.uint64(32)
-        order = np.argsort(doc, kind="stable")
-        doc, code = doc[order], code[order]
-        first = np.flatnonzero(np.append(True, np.diff(doc) != 0)) if len(doc) else np.zeros(0, dtype=np.int64)
-        offsets = np.append(first, len(doc)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(offsets, pa.array(code.view(np.int64)))
-        return pa.record_batch([pa.array(doc[first]), lists], ["doc_id", "codes"])
+        group = (mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((doc, group))
+        doc, code, group = doc[order], code[order], group[order]
+        edges = np.flatnonzero(np.append(True, np.diff(group) != 0)) if len(group) else np.zeros(0, dtype=np.int64)
+        parts = list(zip(edges.tolist(), np.append(edges[1:], len(group)).tolist()))
+        columns = [pa.array([_squeezed(_steps(doc[a:b])) for a, b in parts], pa.binary()), pa.array([_squeezed(code[a:b]) for a, b in parts], pa.binary())]
+        return pa.record_batch([pa.array(group[edges]), *columns], ["group", "docs", "codes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -138,8 +143,35 @@ def _judged(packed: DataFrame, buckets: int, kind: str, judge, wide: bool) -> Da
         if held:
             yield flush(now, held)
 
+    def gather(held: list[dict]) -> Iterator[pa.RecordBatch]:
+        doc = np.concatenate([np.cumsum(_loosened(h["docs"], "i8")) for h in held])
+        code = np.concatenate([_loosened(h["codes"], "i8") for h in held])
+        order = np.argsort(doc, kind="stable")
+        doc, code = doc[order], code[order]
+        first = np.flatnonzero(np.append(True, np.diff(doc) != 0))
+        ends = np.append(first[1:], len(doc))
+        for at in range(0, len(first), 1000):
+            low, high = int(first[at]), int(ends[min(at + 1000, len(first)) - 1])
+            offsets = np.append(first[at : at + 1000], high) - low
+            lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(code[low:high]))
+            yield pa.record_batch([pa.array(doc[first[at : at + 1000]]), lists], ["doc_id", "codes"])
+
+    def per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["group"] != now and held:
+                    yield from gather(held)
+                    held = []
+                now = row["group"]
+                held.append(row)
+        if held:
+            yield from gather(held)
+
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return map_batches(dealt, run, "doc_id long, codes array<long>")
+    taken = map_batches(dealt, run, "group long, docs binary, codes binary")
+    gathered = taken.repartition(buckets, "group").sortWithinPartitions("group")
+    return map_batches(gathered, per_document, "doc_id long, codes array<long>")
 
 
 def _hit(doc, anchor, edges, sizes):
@@ -229,23 +261,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     summary = keep(_summaries(rows), "words")
     least = summary.where(f"n_words >= {WINDOW} AND doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("least"))
-    texts = keep(rows.join(least.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts", "zstd")
-    release(spark)
+    texts = rows.join(least.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
     total = summary.agg(F.sum("n_words").alias("n")).first().n or 0
     buckets = max(1, total // BUCKET_ENTRIES)
 
     packed = _emitted(texts, _anchors, buckets, [])
     hits = keep(_judged(packed, buckets, "u4", _hit, wide=False), "hits", "zstd")
     release(spark)
-    lists = hits.groupBy("doc_id").agg(F.flatten(F.collect_list("codes")).alias("hits"))
-    near = keep(texts.join(lists, "doc_id"), "near", "zstd")
-    remove(spark, texts, hits)
+    lists = hits.withColumnRenamed("codes", "hits")
+    near = keep(rows.join(lists, "doc_id"), "near", "zstd")
+    remove(spark, hits)
     release(spark)
 
     packed = _emitted(near, _windows, buckets, ["hits"])
     later = keep(_judged(packed, buckets, "u8", _later, wide=True), "later", "zstd")
     release(spark)
-    lists = later.groupBy("doc_id").agg(F.flatten(F.collect_list("codes")).alias("later"))
+    lists = later.withColumnRenamed("codes", "later")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
