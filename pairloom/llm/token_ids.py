@@ -26,7 +26,8 @@ WITH_SPACES = rf"\s*{_WORD}\s*\S+|\s+"
 WITHOUT_SPACES = rf"{_WORD}\S+"
 #: Texts with these are encoded whole: marks of special tokens, a letter whose lower case ends
 #: in a combining mark, and control characters that are white space to Python only.
-_WHOLE = re.compile(r"<\||[\x1c-\x1fİ]")
+_MARK = "<|"
+_WHOLE = re.compile(r"[\x1c-\x1fİ]")
 #: Beyond these letters a text is left as it is, and the tokenizer lower-cases it.
 _LATIN = re.compile(r"[\x00-ɏ]*")
 
@@ -51,7 +52,7 @@ class PieceEncoder:
 
     def _learn(self, pieces: set[str]) -> None:
         missing = []
-        for piece in pieces - self.new.keys():
+        for piece in pieces.difference(self.new):
             ids = self.old.get(piece)
             if ids is None:
                 missing.append(piece)
@@ -70,13 +71,13 @@ class PieceEncoder:
             cut: list[list[str] | None] = []
             for text in texts[at:to]:
                 text = text or ""
-                if _WHOLE.search(text):
+                if _MARK in text or _WHOLE.search(text):
                     cut.append(None)
                 else:
                     cut.append(self.pieces.findall(text.lower() if self.lower and _LATIN.fullmatch(text) else text))
             if len(self.new) > CACHE:
                 self.old, self.new = self.new, {}
-            self._learn({p for pieces in cut if pieces for p in pieces})
+            self._learn(set().union(*filter(None, cut)))
             known = self.new.__getitem__
             for text, pieces in zip(texts[at:to], cut):
                 ids = self._ids([text])[0] if pieces is None else b"".join(map(known, pieces))
