@@ -15,7 +15,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,22 +151,28 @@ def sketch_keys(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndar
 
 
 def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(doc_id, n, cid, sketch)`` of every row: size, class and parity sketch of its set."""
+    """``(doc_id, row_key, n, cid, sketch)`` of every row: its key, and size, class and parity sketch of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("row_key")
             for low, high, texts in groups(batch):
                 sets = shingle_sets(texts, words)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 code = np.array([class_code(s) for s in sets], dtype=np.int64)
                 sketch = pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary())
-                yield pa.record_batch([ids.slice(low, high - low), n, code, sketch], ["doc_id", "n", "cid", "sketch"])
+                columns = [ids.slice(low, high - low), keys.slice(low, high - low), n, code, sketch]
+                yield pa.record_batch(columns, ["doc_id", "row_key", "n", "cid", "sketch"])
 
-    own = [T.StructField("n", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("sketch", T.BinaryType())]
+    own = [*[T.StructField(c, T.LongType()) for c in ("row_key", "n", "cid")], T.StructField("sketch", T.BinaryType())]
     schema = T.StructType([docs.schema["doc_id"], *own])
-    return map_batches(docs.select("doc_id", "text"), run, schema)
+    return map_batches(docs.select("doc_id", "text", _row_key()), run, schema)
+
+
+def _row_key() -> Column:
+    """A stable key of a row, which needs no id: of rows with one key any will do, if of the class meant."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
 
 
 def _key_rows(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
@@ -292,7 +298,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
     runs = F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))
     own = load.select(F.col("hub").alias("cid"), "hub", runs.alias("salt"), F.lit(True).alias("own"))
     sends = member.union(own)
-    wanted = classes.groupBy("cid").agg(F.min("doc_id").alias("doc_id")).join(
+    wanted = classes.groupBy("cid").agg(F.min("row_key").alias("row_key")).join(
         sends.select("cid").distinct(), "cid", "left_semi"
     )
 
@@ -300,14 +306,14 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
         for batch in batches:
             for low, high, texts in groups(batch):
                 part = batch.slice(low, high - low)
-                # Rows of one doc_id may differ in text: the class says which is meant.
+                # Rows of one key may differ in text: the class says which is meant.
                 code = np.array([class_code(s) for s in shingle_sets(texts, words)], dtype=np.int64)
                 right = code == part.column("cid").to_numpy()
                 cids, texts = part.column("cid").filter(pa.array(right)), [t for t, r in zip(texts, right) if r]
                 small = [len(t).to_bytes(8, "little") + pa.compress(t, codec="zstd", asbytes=True) for t in texts]
                 yield pa.record_batch([cids, pa.array(small, pa.binary())], ["cid", "packed"])
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+    texts = docs.select(_row_key(), "text").join(wanted, "row_key")
     found = map_batches(texts, packed, "cid long, packed binary").dropDuplicates(["cid"])
     dealt = sends.join(found, "cid").repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
 
@@ -345,8 +351,8 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     components: tiles of their sketches find those whose Hamming distance allows a link, and all
     of these are compared.
 
-    A null text is an empty one. Rows with a null ``doc_id`` link through equal sets alone, and
-    keep a null component where no other row has their set. Repeated rows and repeated ids keep a
+    A null text is an empty one. Rows with a null ``doc_id`` link as all others do, and keep a
+    null component where no row of it has an id. Repeated rows and repeated ids keep a
     row each and are linked only if their sets are. Other columns are ignored; an empty table
     gives an empty result.
     """

@@ -356,6 +356,32 @@ def test_near_copies_that_link_only_through_others(documents, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
 
 
+def test_near_copies_without_id_link_as_hub_member_and_bridge(documents):
+    """Ids below zero stand for rows without one."""
+    rng = np.random.default_rng(0)
+    rows, at = [], 0
+    for _ in range(6):
+        words = prose(rng, 100).split()
+        texts = []
+        for step in range(3):  # neighbours are similar, the ends are not
+            texts.append(" ".join(words))
+            words[10 + 30 * step] = f"w{step}"
+            words[20 + 30 * step] = f"v{step}"
+        for missing in ([1], [0], [0, 1, 2]):
+            mark = f" m{at}" * 60
+            rows += [(-(at + k) if k in missing else at + k, t + mark) for k, t in enumerate(texts, 1)]
+            at += 10
+    truth = brute_components([(abs(i), t) for i, t in rows])
+    groups_of = defaultdict(list)
+    for i, t in rows:
+        groups_of[truth[abs(i)][1]].append(i)
+    label = {i: min((j for j in g if j > 0), default=None) for g in groups_of.values() for i in g}
+    found = jaccard_join.similar_components(documents([(i if i > 0 else None, t) for i, t in rows])).collect()
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in found)
+    assert got == sorted((max(i, 0), truth[abs(i)][0], label[i] or 0) for i, _ in rows)
+    assert len(groups_of) < len(rows)
+
+
 def test_sketch_keys_meet_for_every_similar_pair():
     rng = np.random.default_rng(8)
     for n in [*range(6, 60), 150, 700]:
