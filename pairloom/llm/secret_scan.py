@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,11 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
-_SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_="
+#: Padding ends a run, so that the value of NAME=value is a run of its own.
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,6}" % LEAST)
+#: What may join a value to names before and after it, by the alphabets that the value may have.
+_JOINTS = [re.compile(r) for r in ("[^_-]+", "[^+/]+", "[^+/_-]+")]
+_SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
 _HINT = re.compile(r"(?i:passw|secret|token|api)", re.ASCII)
 
 
@@ -127,12 +130,32 @@ def symbol_counts(texts: list[bytes | None]) -> np.ndarray:
     return out
 
 
-def candidates(text: str, shares: np.ndarray) -> Iterator[tuple[int, int, float]]:
-    """``(start, end, p)`` of the runs that the battery takes for random."""
+def pieces(run: str) -> list[tuple[int, int]]:
+    """Spans of ``LEAST`` symbols or more: the whole run, and what lies between its joints."""
+    spans = {(0, len(run))} | {m.span() for joint in _JOINTS for m in joint.finditer(run)}
+    return sorted((s, e) for s, e in spans if len(run[s:e].rstrip("=")) >= LEAST)
+
+
+def judged(run: str, shares: np.ndarray, taken: Iterable[tuple[int, int]] = ()) -> list[tuple[int, int, float]]:
+    """``(start, end, p)`` of the least likely of the run's random pieces clear of each other and of ``taken``.
+
+    p is multiplied by the number of pieces that were tried.
+    """
+    spans = pieces(run)
+    random = [(p, s - e, s, e) for s, e in spans if (p := battery(run[s:e].encode(), shares)) is not None]
+    out: list[tuple[int, int, float]] = []
+    for p, _, start, end in sorted(random):
+        if all(e <= start or s >= end for s, e in [*taken, *((s, e) for s, e, _ in out)]):
+            out.append((start, end, min(1.0, p * len(spans))))
+    return out
+
+
+def candidates(text: str, shares: np.ndarray, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, float]]:
+    """``(start, end, p)`` of the pieces of runs, clear of ``taken``, that the battery takes for random."""
     for m in _RUN.finditer(text):
-        p = battery(m[0].encode(), shares)
-        if p is not None:
-            yield m.start(), m.end(), p
+        at = m.start()
+        for start, end, p in judged(m[0], shares, [(s - at, e - at) for s, e in taken if s < m.end() and e > at]):
+            yield at + start, at + end, p
 
 
 def _bin(p: float) -> int:
@@ -159,7 +182,8 @@ def corpus_shares(docs: DataFrame) -> np.ndarray:
 def threshold(docs: DataFrame, shares: np.ndarray, level: float = FALSE_DISCOVERIES) -> int:
     """The least bin of p that the step-up rule accepts over all runs of all texts.
 
-    Every run of ``LEAST`` or more symbols is a test, those the battery rejects with p = 1.
+    Every run of ``LEAST`` or more symbols is a test, those the battery rejects with p = 1; a run
+    with several random pieces is as many tests.
     Runs are counted in bins of log p, so the driver sees no more than ``BINS`` numbers.
     """
 
@@ -168,8 +192,8 @@ def threshold(docs: DataFrame, shares: np.ndarray, level: float = FALSE_DISCOVER
         for batch in batches:
             for value in batch.column("text"):
                 for m in _RUN.finditer(value.as_py() or ""):
-                    p = battery(m[0].encode(), shares)
-                    total[0 if p is None else _bin(p)] += 1
+                    for p in [p for _, _, p in judged(m[0], shares)] or [1.0]:
+                        total[_bin(p)] += 1
         seen = np.flatnonzero(total)
         yield pa.record_batch([seen, total[seen]], ["bin", "n"])
 
@@ -190,9 +214,8 @@ _ARROW_SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", p
 def spans_of(text: str, shares: np.ndarray, least: int) -> list[dict]:
     """All spans of one text: the base ones, and random runs clear of them."""
     found = base_spans(text)
-    base = list(found)
-    for start, end, p in candidates(text, shares):
-        if _bin(p) >= least and all(e <= start or s >= end for s, _, e in base):
+    for start, end, p in candidates(text, shares, [(s, e) for s, _, e in found]):
+        if _bin(p) >= least:
             found.append((start, 3, end))
     return [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(found)]
 
@@ -200,8 +223,8 @@ def spans_of(text: str, shares: np.ndarray, least: int) -> list[dict]:
 def find_secrets(docs: DataFrame, carry=None) -> DataFrame:
     """``(row, spans)``: secrets in every whole text, in code points, by start, then kind.
 
-    Base kinds follow their patterns. Kind ``random`` adds runs of 20 or more symbols that a
-    battery of tests takes for random output in their encoding and that survive the step-up
+    Base kinds follow their patterns. Kind ``random`` adds runs of 20 or more symbols, or
+    pieces of them between ``/``, ``+``, ``-`` or ``_``, that a battery of tests takes for random output in their encoding and that survive the step-up
     rule over the whole corpus, where a run's p-value is the chance of ordinary text of its
     length looking so. Symbol shares and the rule use all texts; only 256 counts and the bins
     reach the driver. Three passes over the texts, no shuffle of them.
