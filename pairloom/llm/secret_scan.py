@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,10 +56,40 @@ def _codes(alphabet: bytes) -> np.ndarray:
 
 _HEX_LOWER, _HEX_UPPER = _codes(b"0123456789abcdef"), _codes(b"0123456789ABCDEF")
 _BASE32 = _codes(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-_BASE64 = _codes(_SYMBOLS[:64])
-_BASE64[ord("-")], _BASE64[ord("_")] = 62, 63
+_BASE64, _BASE64_URL = _codes(_SYMBOLS[:64]), _codes(_SYMBOLS[:62] + b"-_")
 #: Candidate encodings from the narrowest on: table of codes, alphabet size.
-ENCODINGS = ((_HEX_LOWER, 16), (_HEX_UPPER, 16), (_BASE32, 32), (_BASE64, 64))
+ENCODINGS = ((_HEX_LOWER, 16), (_HEX_UPPER, 16), (_BASE32, 32), (_BASE64, 64), (_BASE64_URL, 64))
+#: Lower case, capitals, digits and joints, and the chance that one follows another in names, numbers and paths.
+_KINDS_OF = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"+/-_"]
+_KIND = np.zeros(256, dtype=np.int64)
+for _number, _symbols in enumerate(_KINDS_OF):
+    _KIND[np.frombuffer(_symbols, dtype=np.uint8)] = _number
+_FOLLOWS = np.log([[0.85, 0.05, 0.05, 0.05], [0.3, 0.6, 0.05, 0.05], [0.1, 0.1, 0.7, 0.1], [0.4, 0.3, 0.2, 0.1]])
+
+
+class TextModel:
+    """Chances of ordinary text by the corpus's shares of symbols.
+
+    Text is either symbols with these shares, or words, capitals, numbers and joints in turn,
+    whose letters have their shares in either case; the likelier of the two counts.
+    """
+
+    def __init__(self, shares: np.ndarray):
+        letters = shares[np.frombuffer(_KINDS_OF[0], dtype=np.uint8)] + shares[np.frombuffer(_KINDS_OF[1], dtype=np.uint8)]
+        inside = np.ones(256)
+        for symbols, weights in zip(_KINDS_OF, (letters, letters, np.ones(10), np.ones(4))):
+            inside[np.frombuffer(symbols, dtype=np.uint8)] = (weights + 1e-9) / (weights + 1e-9).sum()
+        self.single, self.inside = np.log(np.maximum(shares, 1e-12)), np.log(inside)
+
+    def log_chance(self, body: np.ndarray) -> float:
+        kinds = _KIND[body]
+        in_turn = math.log(1 / 4) + _FOLLOWS[kinds[:-1], kinds[1:]].sum() + self.inside[body].sum()
+        return float(max(self.single[body].sum(), in_turn))
+
+
+@lru_cache(maxsize=4)
+def _model_of(shares: bytes) -> TextModel:
+    return TextModel(np.frombuffer(shares))
 
 
 def _upper_tail(z: float) -> float:
@@ -82,8 +113,10 @@ def battery(run: bytes, shares: np.ndarray) -> float | None:
     The encoding is the narrowest alphabet that holds the run (a run of digits alone has none
     and is a number). Uniformity over eight classes of the alphabet, runs above and below its
     middle, and correlation of neighbours are tested; a rejection by any means that the run is
-    not random. Else the result is the chance that text whose symbols have the corpus's
-    ``shares`` stays in that alphabet and gets a chi-squared as low at this length.
+    not random. Else the result bounds the chance that text of this length is so much more
+    likely as random output than as text (``TextModel`` of ``shares``): a likelihood ratio of
+    ``r`` or more has at most the chance ``1 / r`` in text, whatever the length. The ratio is divided by the number of
+    encodings, as one of them is chosen.
     """
     body = np.frombuffer(run.rstrip(b"="), dtype=np.uint8)
     n = len(body)
@@ -95,6 +128,9 @@ def battery(run: bytes, shares: np.ndarray) -> float | None:
             break
     else:
         return None
+    text_like = _model_of(shares.tobytes()).log_chance(body) + n * math.log(size) + math.log(len(ENCODINGS))
+    if text_like >= 0:
+        return None
     counts = np.bincount(_classes(codes, size), minlength=8)
     chi = float(((counts - n / 8) ** 2).sum() * 8 / n)
     if _chi_tail(chi, 7) < REJECT:
@@ -112,12 +148,7 @@ def battery(run: bytes, shares: np.ndarray) -> float | None:
     serial = float((centred[1:] * centred[:-1]).sum() / (centred**2).sum())
     if 2 * _upper_tail(abs(serial) * math.sqrt(n)) < REJECT:
         return None
-    inside = np.flatnonzero(table >= 0)
-    mass = float(shares[inside].sum())
-    own = np.bincount(_classes(table[inside], size), weights=shares[inside], minlength=8) / max(mass, 1e-300)
-    shift = n * float((8 * (own - 1 / 8) ** 2).sum())
-    text_like = _upper_tail(-(chi - 7 - shift) / math.sqrt(14 + 4 * shift))
-    return min(1.0, max(mass, 1e-300) ** n * text_like)
+    return math.exp(text_like)
 
 
 def symbol_counts(texts: list[bytes | None]) -> np.ndarray:
@@ -225,7 +256,7 @@ def find_secrets(docs: DataFrame, carry=None) -> DataFrame:
 
     Base kinds follow their patterns. Kind ``random`` adds runs of 20 or more symbols, or
     pieces of them between ``/``, ``+``, ``-`` or ``_``, that a battery of tests takes for random output in their encoding and that survive the step-up
-    rule over the whole corpus, where a run's p-value is the chance of ordinary text of its
+    rule over the whole corpus, where a run's p-value bounds the chance of ordinary text of its
     length looking so. Symbol shares and the rule use all texts; only 256 counts and the bins
     reach the driver. Three passes over the texts, no shuffle of them.
 
