@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def jaccard_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones."""
-    return jaccard_join.keep_representatives(docs)
+    """One document of each group of similar ones: four fifths of their five-word shingles or more."""
+    return jaccard_join.keep_representatives(docs, words=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

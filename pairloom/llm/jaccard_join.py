@@ -495,11 +495,11 @@ def _labelled(classes: DataFrame, linked: DataFrame) -> DataFrame:
     return with_words.union(alone)
 
 
-def keep_representatives(docs: DataFrame) -> DataFrame:
+def keep_representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of similar ones: that with the smallest id.
 
     Rows without words or without an id stay, and so do all rows that share the smallest id.
     """
-    found = keep(similar_components(docs), "components")
+    found = keep(similar_components(docs, words, percent), "components")
     kept = found.where("n_shingles = 0 OR doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from pairloom.llm import (
     chat_format,
     decontamination,
@@ -447,6 +448,13 @@ def test_representatives_and_empty_tables(documents, spark):
     assert jaccard_join.keep_representatives(documents([])).count() == 0
 
 
+def test_the_pipeline_takes_five_words_and_four_fifths(documents, spark):
+    words = [f"w{i}" for i in range(100)]
+    docs = documents([(1, " ".join(words)), (2, " ".join([*words, *(f"x{i}" for i in range(20))])), (3, " ".join([*words, *(f"y{i}" for i in range(30))]))])
+    kept = corpus_pipeline.jaccard_near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_components_of_a_hot_hub_and_a_chain(spark):
     edges = [(0, i) for i in range(1, 3000)] + [(i, i + 1) for i in range(5000, 5200)] + [(7, 7), (0, 1), (1, 0)]
     found = components(spark.createDataFrame(edges, "u long, v long")).collect()
