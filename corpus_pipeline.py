@@ -35,8 +35,8 @@ def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def curve_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2048 tokens."""
-    return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
+    """Pieces of the documents in sequences of 2048 tokens, with their ids."""
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), with_ids=True)
 
 
 STAGES = [

@@ -120,6 +120,12 @@ def test_packing_of_nothing_and_of_copies(documents, spark):
     assert sum(r.length for r in found if r.doc_id is None) == 3
 
 
+def test_the_pipeline_ends_in_ids(documents, spark):
+    found = corpus_pipeline.curve_packing(spark, documents([(1, "some text"), (2, None)]), "").collect()
+    assert {r.doc_id for r in found} == {1, 2}
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in found)
+
+
 # top-k
 
 
