@@ -142,10 +142,112 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM docs LEFT JOIN kept USING (doc_id)
 """
 
+AUDIT = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w
+  FROM documents
+),
+firsts AS (SELECT text, min(doc_id) AS first FROM docs GROUP BY text),
+flags AS (
+  SELECT doc_id, part,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+     regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first, false)] AS f
+  FROM docs JOIN firsts USING (text)
+),
+marked AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM flags LEFT JOIN (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+  ) USING (doc_id)
+  GROUP BY part, f
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (
+  SELECT filter_order, step, ascii(filter_order[step]) - 64 AS own,
+    [ascii(c) - 64 FOR c IN string_split(filter_order[1:step - 1], '') IF c <> ''] AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+),
+cells AS (
+  SELECT part, filter_order, step, own, n, n_good, n_toxic, f[own] AS fails,
+    len([k FOR k IN earlier IF f[k]]) > 0 AS gone, len([k FOR k IN f IF k]) AS k
+  FROM steps, marked
+),
+report AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails AND k = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM cells GROUP BY ALL
+)
+SELECT * EXCLUDE (own, step), step::INTEGER AS step,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM report
+"""
+
+#: The remainder of the usual CRC-32 (fixed polynomial), bit by bit over decimal digits.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ascii(d)::BIGINT FOR d IN string_split({}::VARCHAR, '')]),
+  lambda crc, d: list_reduce(list_prepend(xor(crc, d), range(8)),
+    lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT c, c - c % 20 AS base, {_CRC32.format('c')} % 4 AS h, list({{'r': r, 't': t}} ORDER BY place) AS own
+  FROM turns GROUP BY c
+),
+rebuilt AS (
+  SELECT a.c, list_concat(coalesce(b.own[1:a.h], []), a.own[a.h + 1:]) AS w
+  FROM convs a LEFT JOIN convs b ON a.base = b.c
+),
+members AS (
+  SELECT c, d, w[1:d] AS p, len(w) AS n FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM rebuilt)
+),
+nodes AS MATERIALIZED (
+  SELECT d, p, min(c) AS rep, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(p[d].t, '{_SPACED}')) ELSE 0 END AS n_words
+  FROM members GROUP BY d, p
+),
+named AS MATERIALIZED (
+  SELECT n.*, above.rep AS parent
+  FROM nodes n LEFT JOIN nodes above ON n.d > 0 AND above.d = n.d - 1 AND above.p = n.p[1:n.d - 1]
+),
+children AS (SELECT parent AS rep, d - 1 AS d, count(*) AS n_children FROM named WHERE d > 0 GROUP BY ALL),
+counted AS MATERIALIZED (
+  SELECT named.*, coalesce(n_children, 0) AS n_children FROM named LEFT JOIN children USING (rep, d)
+),
+paths AS (SELECT m.d AS at, n.rep AS top, n.d AS top_d, m.rep, m.d FROM counted m JOIN counted n
+  ON n.d <= m.d AND n.p = m.p[1:n.d]),
+totals AS (
+  SELECT top AS rep, top_d AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * n_words) AS saved
+  FROM paths JOIN counted USING (rep, d) GROUP BY ALL
+)
+SELECT rep AS conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves,
+  saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM counted JOIN totals USING (rep, d)
+"""
+
 CHECKS = {
     "op1_chat_formatting": CHATS,
     "op3_exact_top_k": TOP_K,
     "op5_benchmark_decontamination": HITS,
     "op7_jaccard_join": JACCARD,
     "op8_substring_dedup": REPEATS,
+    "op11_filter_audit": AUDIT,
+    "op12_prefix_trie": TRIE,
 }

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from pairloom.llm import (
     chat_format,
     decontamination,
+    filter_audit,
     grammar_store,
     jaccard_join,
     license_scan,
     packing,
+    prefix_trie,
     pu_quality,
     secret_scan,
+    sentencepiece_codec,
     substring_dedup,
     topk,
 )
@@ -109,6 +112,26 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (load_dir(spark, sf_dir, f"{t}.parquet") for t in ("documents", "labels"))
+    return filter_audit.audit(docs, labels)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(load_dir(spark, sf_dir, "conversations.parquet"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_dir(spark, sf_dir, "documents.parquet").select("doc_id", "text")
+    coded = sentencepiece_codec.round_trip(docs, tokenizer("piece_bpe_32k.model"), ["doc_id"])
+    return coded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_packing": op2_packing,
@@ -120,4 +143,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_id_output": op9_token_id_output,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_sentencepiece": op13_sentencepiece,
 }
