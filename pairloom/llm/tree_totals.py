@@ -4,40 +4,38 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.scratch import keep, remove
-
-
-def _sums(values: list[str]) -> list[Column]:
-    return [F.sum(v).alias(v) for v in values]
+from pairloom.llm.scratch import keep
 
 
 def _follow(chain: DataFrame, values: list[str]) -> DataFrame:
     """Each node of ``chain (node, end, parent, values)`` with the end of its whole chain.
 
-    ``end`` is the node that comes next, ``values`` are the sums up to before it. Every round
-    joins the chain to itself twice, so that a step is four times as long after it; a chain of
-    n nodes takes log4(n) rounds.
+    ``end`` is the node that comes next, ``values`` are the sums up to before it. Three jumps a
+    round, each as long as those of the round before reached, make steps four times as long. A
+    node whose end lies in no chain is done and takes part as a goal alone, so a round costs
+    what still moves; a chain of n nodes takes log4(n) rounds.
     """
-
-    def jump(rows: DataFrame) -> DataFrame:
-        ahead = rows.select(
+    names = ["node", "end", "parent", *values]
+    done, moving = [], chain.select(*names)
+    while True:
+        ahead = reduce(DataFrame.unionByName, [*done, moving]).select(
             F.col("node").alias("end"), F.col("end").alias("next"), *[F.col(v).alias(f"next_{v}") for v in values]
         )
-        return rows.drop("moved").join(ahead, "end", "left").select(
-            "node", F.coalesce("next", "end").alias("end"), "parent",
-            *[(F.col(v) + F.coalesce(F.col(f"next_{v}"), F.lit(0).cast("long"))).alias(v) for v in values],
-            F.col("next").isNotNull().alias("moved"),
-        )
-
-    while True:
-        # Lineage ends with each round: every row is written once it has moved.
-        done = keep(jump(jump(chain)), "chain")
-        if done.where("moved").isEmpty():
-            return done.drop("moved")
-        chain = done
+        rows = moving
+        for _ in range(3):
+            rows = rows.join(ahead, "end", "left").select(
+                "node", F.coalesce("next", "end").alias("end"), "parent",
+                *[(F.col(v) + F.coalesce(F.col(f"next_{v}"), F.lit(0).cast("long"))).alias(v) for v in values],
+                F.col("next").isNotNull().alias("moved"),
+            )
+        rows = keep(rows, "chain")
+        done.append(rows.where("NOT moved").select(*names))
+        moving = rows.where("moved").select(*names)
+        if moving.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
