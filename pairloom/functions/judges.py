@@ -7,14 +7,17 @@ called once per task and hands its model Arrow batches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from typing import Literal
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pairloom.functions.model_calls import OnError, call_model
-from pairloom.functions.readability import distinct_tokens
+from pairloom.functions.model_calls import OnError, Retry, call_model
+from pairloom.functions.readability import WHITE, distinct_tokens
 
 
 def _grade(shared: Column, total: Column) -> Column:
@@ -35,6 +38,30 @@ def correctness(pred: Column, truth: Column) -> Column:
     return _grade(F.array_size(F.array_intersect(p, t)), F.array_size(t))
 
 
+def _shared_tokens(of_both: bool):
+    """The built-in judges as models outside Spark, to show how such ones plug in."""
+
+    def tokens(text: str) -> set[str]:
+        return {t for t in re.split(WHITE, text.lower()) if t}
+
+    def judge(preds: list[str], truths: list[str]) -> list[int | None]:
+        grades = []
+        for p, t in zip(map(tokens, preds), map(tokens, truths)):
+            total = len(p | t) if of_both else len(t)
+            grades.append(1 + 4 * len(p & t) // total if total else None)
+        return grades
+
+    return judge
+
+
+def similarity_model():
+    return _shared_tokens(True)
+
+
+def correctness_model():
+    return _shared_tokens(False)
+
+
 def token_count_udf(
     factory: Callable[[], Callable[[str], int]],
 ) -> Callable[[Column], Column]:
@@ -87,9 +114,53 @@ def judge_udf(
     return _column(judge.asNondeterministic(), details)
 
 
+_DTYPES = {"int": "Int32", "bigint": "Int64", "double": "Float64"}
+
+
+@dataclass(frozen=True)
+class PluggedMetric:
+    """A score by a plugged-in model: of both texts, or of the prediction alone.
+
+    ``factory`` is called once per task; its model takes lists of texts and gives as many
+    values. ``details`` adds the reasons of failures as ``<name>_error``.
+    """
+
+    name: str
+    factory: Callable[[], Callable[..., Sequence]]
+    of_pair: bool = True
+    kind: Literal["int", "bigint", "double"] = "int"
+    details: bool = False
+    on_error: OnError = "null"
+    call_size: int = 64
+    retry: Retry = Retry()
+
+
+def plugged_scores(metrics: Sequence[PluggedMetric]) -> Callable[[Column, Column], Column]:
+    """All of ``metrics`` by one function of (prediction, target), in one pass over the texts.
+
+    Gives a struct with ``v0, e0, v1, e1, ...``: value and error of each metric, in order. However
+    many models there are, texts go to Python once; a failure costs its own metric alone.
+    """
+    fields = ", ".join(f"v{i} {m.kind}, e{i} string" for i, m in enumerate(metrics))
+
+    @F.pandas_udf(fields)
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        models = [m.factory() for m in metrics]
+        for pred, truth in batches:
+            pairs, columns = [pred.tolist(), truth.tolist()], {}
+            for i, (m, model) in enumerate(zip(metrics, models)):
+                inputs = pairs if m.of_pair else pairs[:1]
+                found = call_model(model, inputs, m.on_error, m.call_size, m.retry)
+                parts = _answers(found, _DTYPES[m.kind])
+                columns |= {f"v{i}": parts["value"], f"e{i}": parts["error"]}
+            yield pd.DataFrame(columns)
+
+    return score.asNondeterministic()
+
+
 def _answers(found: list[tuple], dtype: str) -> pd.DataFrame:
-    values = pd.Series([value for value, _ in found], dtype=dtype)
-    return pd.DataFrame({"value": values, "error": pd.Series([e for _, e in found], dtype=object)})
+    values = pd.Series([value for value, *_ in found], dtype=dtype)
+    return pd.DataFrame({"value": values, "error": pd.Series([e for _, e, _ in found], dtype=object)})
 
 
 def _column(udf: Callable[..., Column], details: bool) -> Callable[..., Column]:

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WHITE = r"[ \n\t\r]+"
+WHITE_CHARACTERS = " \n\t\r"
+WHITE = f"[{WHITE_CHARACTERS}]+"
 SENTENCE_END = r"[.!?]+"
 NOT_VOWELS = r"[^aeiouyAEIOUY]+"
 

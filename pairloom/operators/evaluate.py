@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.judges import correctness, similarity
+from pairloom.functions.judges import PluggedMetric, correctness, plugged_scores, similarity
 from pairloom.functions.readability import (
+    WHITE_CHARACTERS,
     ari_grade,
     fk_grade,
     sentence_count,
@@ -17,7 +20,7 @@ from pairloom.functions.readability import (
     tokens,
 )
 from pairloom.operators.percentile import exact_percentiles, first_look, usable
-from pairloom.sources.tables import save_table
+from pairloom.sources.tables import replace_partitions, save_table
 
 
 @dataclass(frozen=True)
@@ -52,7 +55,7 @@ def text_metrics(
     counted = df.select("*", tokens(text).alias("_tokens")).select(
         *df.columns,
         F.array_size("_tokens").cast("bigint").alias("_words"),
-        F.length(F.translate(text, " \n\t\r", "")).alias("_characters"),
+        F.length(reduce(lambda c, w: F.replace(c, F.lit(w), F.lit("")), WHITE_CHARACTERS, text)).alias("_characters"),
         sentence_count(text).alias("_sentences"),
         syllable_count(text).alias("_syllables"),
     )
@@ -99,9 +102,9 @@ def evaluate(
     targets: str,
     predictions: str,
     model_type: str | None = None,
-    extra: Sequence[Metric] = (),
-    token_counter: Callable[[Column], Column] | None = None,
-    toxicity: str | Callable[[Column], Column] | None = None,
+    extra: Sequence[Metric | PluggedMetric] = (),
+    token_counter: Callable[[Column], Column] | PluggedMetric | None = None,
+    toxicity: str | Callable[[Column], Column] | PluggedMetric | None = None,
 ) -> DataFrame:
     """Add one column per metric: the defaults of ``model_type``, if any, and ``extra``.
 
@@ -109,21 +112,39 @@ def evaluate(
     grades, and toxicity where it can be had: a column of given scores, or a model's function
     of the text. Rows without a prediction have null scores. A metric with ``details`` adds
     its errors beside its scores, as ``<name>_error``.
+
+    Models that come as a ``PluggedMetric``, tokenizer and toxicity included, share one pass:
+    each text goes to Python once for all of them.
     """
     metrics = list(extra)
     if model_type is not None:
-        df = MODEL_TYPES[model_type](df, predictions, token_counter)
+        counts_tokens = isinstance(token_counter, PluggedMetric)
+        df = MODEL_TYPES[model_type](df, predictions, None if counts_tokens else token_counter)
+        if counts_tokens:
+            metrics.append(replace(token_counter, name="token_count", of_pair=False, kind="bigint"))
         if isinstance(toxicity, str):
             metrics.insert(0, given_score("toxicity", toxicity))
+        elif isinstance(toxicity, PluggedMetric):
+            metrics.insert(0, replace(toxicity, name="toxicity", of_pair=False, kind="double"))
         elif toxicity:
             metrics.insert(0, Metric("toxicity", lambda pred, target: toxicity(pred)))
     pred, target = F.col(predictions), F.col(targets)
-    scored = df.select("*", *[m.score(pred, target).alias(m.name) for m in metrics])
+    plugged = [m for m in metrics if isinstance(m, PluggedMetric)]
+    own = [m.score(pred, target).alias(m.name) for m in metrics if m not in plugged]
+    if plugged:
+        own.append(plugged_scores(plugged)(pred, target).alias("_plugged"))
+    scored = df.select("*", *own)
+    found: dict[str, Column] = {}
     for m in metrics:
+        if m in plugged:
+            value, error = (F.col("_plugged")[f"{part}{plugged.index(m)}"] for part in "ve")
+        else:
+            value = F.col(m.name)["value"] if m.details else F.col(m.name)
+            error = F.col(m.name)["error"] if m.details else None
+        found[m.name] = value
         if m.details:
-            parts = {m.name: F.col(m.name)["value"], f"{m.name}_error": F.col(m.name)["error"]}
-            scored = scored.withColumns(parts)
-    return scored
+            found[f"{m.name}_error"] = error
+    return scored.withColumns(found).drop("_plugged")
 
 
 def evaluate_once(
@@ -181,7 +202,16 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
     return metrics.agg(document.alias("metrics"))
 
 
-def log_metrics(metrics: DataFrame, run_id: str, table: str) -> None:
-    """Add the metrics to a table under a run id; several evaluations may share a run."""
-    rows = metrics.select(F.lit(run_id).alias("run_id"), "metric", "stat", "value")
-    rows.coalesce(1).write.mode("append").saveAsTable(table)
+def log_metrics(metrics: DataFrame, run_id: str, table: str, evaluation: str | None = None) -> DataFrame:
+    """Put the metrics into a table under a run id; several evaluations may share a run.
+
+    The table is partitioned by run and evaluation, and a repeated call replaces what stands for
+    both: one set of rows however often a step is tried again. An evaluation without a name
+    goes by the metrics it has. Returns the table.
+    """
+    if evaluation is None:
+        evaluation = "+".join(sorted(r.metric for r in metrics.select("metric").distinct().collect()))
+        if len(evaluation) > 100:  # names a folder
+            evaluation = hashlib.md5(evaluation.encode()).hexdigest()
+    rows = metrics.select("metric", "stat", "value", F.lit(run_id).alias("run_id"), F.lit(evaluation).alias("evaluation"))
+    return replace_partitions(rows.coalesce(1), table, ["run_id", "evaluation"])

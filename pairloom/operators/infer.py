@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.model_calls import OnError, call_model
+from pairloom.functions.model_calls import OnError, Retry, call_model
 from pairloom.functions.payload import GenParams, request_payload, response_payload
+from pairloom.sources.tables import replace_partitions
 
 Scorer = Callable[[list[str]], list[str]]
 ScorerFactory = Callable[[GenParams], Scorer]
@@ -50,20 +51,23 @@ def make_batch_udf(
     params: GenParams,
     on_error: OnError = "null",
     call_size: int = 64,
+    retry: Retry = Retry(),
+    by_length: bool = True,
 ) -> Callable[[Column], Column]:
-    """A column function giving ``struct<text, error>`` for each prompt.
+    """A column function giving ``struct<text, error, attempts>`` for each prompt.
 
-    Calls, nulls and errors follow :func:`pairloom.functions.model_calls.call_model`. The
-    function is marked nondeterministic so that the optimizer neither repeats nor moves the
-    calls.
+    Calls, nulls, retries and errors follow :func:`pairloom.functions.model_calls.call_model`;
+    the prompts of an Arrow batch go into calls by their length. The function is marked
+    nondeterministic so that the optimizer neither repeats nor moves the calls.
     """
 
-    @F.pandas_udf("text string, error string")
+    @F.pandas_udf("text string, error string, attempts int")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = factory(params)
         for batch in batches:
-            out = call_model(scorer, [batch.tolist()], on_error, call_size)
-            yield pd.DataFrame(out, columns=["text", "error"], dtype=object)
+            out = call_model(scorer, [batch.tolist()], on_error, call_size, retry, by_length)
+            frame = pd.DataFrame(out, columns=["text", "error", "attempts"], dtype=object)
+            yield frame.astype({"attempts": "int32"})
 
     return score.asNondeterministic()
 
@@ -78,20 +82,29 @@ def batch_infer(
     on_error: OnError = "null",
     call_size: int = 64,
     tasks: int | None = None,
+    retry: Retry = Retry(),
+    by_length: bool = True,
+    attempts_col: str | None = None,
 ) -> DataFrame:
     """Add the generated text, and with ``error_col`` the reason where there is none.
 
+    ``retry`` says how calls that a service refuses for now are tried again; with
+    ``attempts_col`` each row tells how many calls it was part of (0: a null prompt).
+
     A slow model wants more tasks than a scan of a few files gives: ``tasks`` spreads the
     rows evenly over that many first. Save the result (``save_table``) before using it twice:
-    every action on an unsaved result calls the model again.
+    every action on an unsaved result calls the model again. A run that takes long or costs
+    much can go through :func:`pairloom.operators.resume.infer_resumable`.
     """
     if tasks is not None:
         df = df.repartition(tasks)
-    udf = make_batch_udf(factory, params, on_error, call_size)
+    udf = make_batch_udf(factory, params, on_error, call_size, retry, by_length)
     scored = df.withColumn("_scored", udf(F.col(prompt_col)))
     outputs = {out_col: F.col("_scored.text")}
     if error_col:
         outputs[error_col] = F.col("_scored.error")
+    if attempts_col:
+        outputs[attempts_col] = F.col("_scored.attempts")
     return scored.withColumns(outputs).drop("_scored")
 
 
@@ -107,6 +120,11 @@ def attach_predictions(df: DataFrame, preds: DataFrame, key: str) -> DataFrame:
     return df.join(one, key, "left")
 
 
+def store_payload_log(log: DataFrame, run_id: str, table: str) -> DataFrame:
+    """Put the log of one run into a table, in place of what stands there for the same run."""
+    return replace_partitions(log.withColumn("run_id", F.lit(run_id)), table, ["run_id"])
+
+
 def payload_log(
     df: DataFrame,
     request_id: str,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.hashing import stable_hash
-from pairloom.functions.model_calls import OnError, call_model
+from pairloom.functions.model_calls import OnError, Retry, call_model
 from pairloom.functions.payload import GenParams, request_payload, response_payload, response_texts
 from pairloom.operators.infer import ScorerFactory
 
@@ -85,11 +85,13 @@ def infer_batches(
     out_col: str = "answer",
     error_col: str = "error",
     on_error: OnError = "null",
+    retry: Retry = Retry(),
 ) -> DataFrame:
     """Send each packed request as one call of the model; add its answer document and error.
 
     ``params`` are those of the requests. A call answers all prompts of its request or none: a
-    failure costs that request alone, whose answer is null and whose ``error`` says why. A null
+    failure costs that request alone, after what ``retry`` allows; its answer is null and its
+    ``error`` says why. A null
     prompt in a request fails it. Requests are scored in Arrow batches, the model is loaded
     once per task, and nothing is shuffled.
     """
@@ -102,8 +104,8 @@ def infer_batches(
             return [_whole(scorer, list(prompts)) for prompts in requests]
 
         for requests in groups:
-            out = call_model(one, [requests.tolist()], on_error, call_size=1)
-            texts, errors = [list(c) for c in zip(*out)] if out else ([], [])
+            out = call_model(one, [requests.tolist()], on_error, call_size=1, retry=retry)
+            texts, errors, _ = [list(c) for c in zip(*out)] if out else ([], [], [])
             yield pd.DataFrame({"texts": pd.Series(texts, dtype=object), "error": pd.Series(errors, dtype=object)})
 
     scored = batches.withColumn("_scored", score.asNondeterministic()(F.col(prompts_col)))

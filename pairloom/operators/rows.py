@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions.hashing import digest
 from pairloom.functions.predicates import filled
 from pairloom.functions.text import before_delimiter
 
@@ -60,6 +61,21 @@ def dedup(df: DataFrame, keys: list[str], order_by: str | None = None) -> DataFr
     return kept.select(*df.columns)
 
 
+def dedup_rows(df: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+    """One row per key, nulls equal: the one with the smallest ``row_id``, which no two rows share.
+
+    For wide rows: keys are grouped as 32-byte digests with numbers beside them, so the
+    aggregation is hash-based, copies combine on the map side, and no text is in it. Then the
+    kept rows are picked by a semi-join on ``row_id``, which Spark turns into a filter where
+    they are few, and deals anew where one task would get too many. Reads ``df`` twice, so it
+    must give the same rows each time. A null ``row_id`` loses against any other; a key that has
+    only rows without id is left out.
+    """
+    codes = [digest(F.coalesce(F.concat(F.lit("v"), F.col(f"`{k}`").cast("string")), F.lit("n"))).alias(f"k{i}") for i, k in enumerate(keys)]
+    kept = df.groupBy(*codes).agg(F.min(row_id).alias(row_id)).select(row_id)
+    return df.join(kept, row_id, "left_semi").select(*df.columns)
+
+
 def head_k(df: DataFrame, k: int, order_by: str | list[str]) -> DataFrame:
     """The first ``k`` rows in the given order: a top-k, never a full sort."""
     return df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)).limit(k)

@@ -8,18 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.hashing import stable_hash
+from pairloom.operators.exact_split import exact_split
+from pairloom.sources.tables import save_table
 
 #: Slots of the hash: 15 hex digits.
 RESOLUTION = 1 << 60
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
-    """Spark's own random split: sides depend on the layout, and every partition is sorted.
+    """One frame per weight, with exactly its share of the rows.
 
-    Each side runs ``df`` again, so it must give the same rows every time; save it first
-    if it holds arbitrary choices. :func:`hash_split` has none of these limits.
+    Sides are those of :func:`pairloom.operators.exact_split.exact_split` over all columns: the
+    same rows for any layout, without a sort. Each side runs ``df`` again, so it must give the
+    same rows every time; save it first if it is costly or holds arbitrary choices.
     """
-    return df.randomSplit(weights, seed)
+    names = [str(i) for i in range(len(weights))]
+    placed = exact_split(df, dict(zip(names, weights)), seed, out_col="_side")
+    return [placed.where(F.col("_side") == name).drop("_side") for name in names]
 
 
 def hash_split(
@@ -51,5 +56,4 @@ def save_splits(df: DataFrame, table: str, split_col: str = "split") -> DataFram
     A filter on the split then reads its side's files only, and what came before the
     split runs once, not once per side.
     """
-    df.write.mode("overwrite").partitionBy(split_col).saveAsTable(table)
-    return df.sparkSession.table(table)
+    return save_table(df, table, partition_by=[split_col])

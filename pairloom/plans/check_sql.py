@@ -267,6 +267,8 @@ DATASET_CHECKS = {
           (SELECT count(*) FROM blogs) - (SELECT count(*) FROM filtered) AS rows_dropped,
           (SELECT count(*) FROM filtered) AS rows_kept""",
     "dedup_exact": f"WITH {BLOGS} SELECT doc_id, text, title FROM deduped",
+    "dedup_whole_rows": """SELECT * FROM documents
+        WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)""",
     "ift_pairs_blog": f"WITH {IFT} SELECT prompt, response FROM ift",
     "documented_functions": f"""WITH {CODE}
         SELECT doc_id, element_type, args, doc_string, source, fn_def FROM documented""",
@@ -286,6 +288,11 @@ DATASET_CHECKS = {
         UNION ALL SELECT 'title', count(title) FROM blogs""",
     "split_counts": f"WITH {IFT} SELECT split, count(*) AS n_rows FROM ift GROUP BY split",
     "random_split": f"WITH {IFT} SELECT row_key, prompt, response FROM ift",
+    "exact_split": f"""WITH {BLOGS}, slots AS (
+          SELECT doc_id AS row_key, ('0x' || substr(md5('42|' || doc_id), 1, 15))::BIGINT AS slot FROM deduped)
+        SELECT row_key, CASE WHEN row_number() OVER (ORDER BY slot) <= round_even(0.9 * count(*) OVER (), 0)
+            THEN 'train' ELSE 'eval' END AS split
+        FROM slots""",
     "hash_split": f"WITH {IFT} SELECT row_key, split FROM ift",
     "clean_text": r"""
         SELECT doc_id, replace(replace(replace(
@@ -321,6 +328,22 @@ STORAGE_CHECKS = {
     "save_table": f"WITH {IFT} SELECT row_key, prompt, response, split FROM ift",
     "save_splits": f"""WITH {IFT}
         SELECT row_key, prompt, response, split FROM ift""",
+    "replace_table": """SELECT doc_id, lang, length(text)::BIGINT AS n_characters
+        FROM documents WHERE lang <> 'fr'""",
+    "jsonl_checked": f"WITH {IFT}" + """, lines AS (
+          SELECT *, CASE WHEN row_key % 7 = 0 THEN 'not one object' WHEN row_key % 11 = 0 THEN 'not one object'
+              WHEN row_key % 13 = 0 THEN 'wrong type' WHEN row_key % 17 = 0 THEN 'no prompt'
+              WHEN row_key % 19 = 0 THEN 'not one object' END AS reason,
+            '{"row_key":' || row_key AS start
+          FROM ift)
+        SELECT CASE WHEN reason IS NULL THEN row_key END AS row_key, CASE WHEN reason IS NULL THEN prompt END AS prompt,
+          CASE WHEN reason IS NULL THEN response END AS response, reason,
+          CASE WHEN reason IS NULL THEN NULL WHEN row_key % 7 = 0 THEN start || ',"prompt":"cut'
+            WHEN row_key % 11 = 0 THEN start || ',"prompt":"p"}{"prompt":"q"}'
+            WHEN row_key % 13 = 0 THEN '{"row_key":"n' || row_key || '","prompt":"p"}'
+            WHEN row_key % 17 = 0 THEN start || ',"prompt":null}'
+            ELSE '[' || row_key || ']' END AS line
+        FROM lines""",
     "jsonl_roundtrip": f"""WITH {IFT}
         SELECT prompt, CASE WHEN row_key % 5 <> 0 THEN response END AS response FROM ift""",
     "export_single_jsonl": f"WITH {IFT} SELECT prompt, response FROM ift WHERE split = 'train'",
@@ -353,6 +376,10 @@ GENERATION_CHECKS = {
           CASE WHEN bool_or(contains(text, '[broken]')) THEN 'prompt holds [broken]' END AS error
         FROM numbered GROUP BY bucket, n // 8""",
     "batch_infer": f"WITH {LLM_OUT} SELECT row_key, prompt, response, llm_response FROM llm_out",
+    "resumed_infer": f"""WITH {IFT}
+        SELECT row_key, array_to_string(string_split(prompt, ' ')[1:100], ' ') AS llm_response,
+          CASE WHEN row_key % 2 = 0 THEN 1 ELSE 2 END::INTEGER AS run
+        FROM ift""",
     "infer_errors": f"WITH {IFT} SELECT row_key, {REFUSED} FROM ift",
     "infer_one": f"""WITH {IFT}
         SELECT row_key, prompt,
@@ -389,6 +416,7 @@ SCORING_CHECKS = {
         FROM documents LEFT JOIN labels USING (doc_id)""",
     "judge_similarity": f"WITH {JUDGED} SELECT row_key, answer_similarity FROM judged",
     "judge_correctness": f"WITH {JUDGED} SELECT row_key, answer_correctness FROM judged",
+    "evaluate_plugged": f"WITH {SCORES} SELECT row_key, answer_similarity, answer_correctness FROM scores",
     "evaluate_rows": f"WITH {SCORES} SELECT {ROUNDED} FROM scores",
     "metric_summary": f"WITH {SUMMARY} SELECT * FROM summary",
     "partial_summary": f"WITH {PARTLY_OUT + _JUDGED + _SCORES + _SUMMARY} SELECT * FROM summary",

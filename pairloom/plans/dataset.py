@@ -14,6 +14,7 @@ from pairloom.functions.text import (
     clean_text,
 )
 from pairloom.operators import counts, handoff, rows, splits
+from pairloom.operators.exact_split import exact_split as exact
 from pairloom.plans import views
 from pairloom.sources.tables import load_dir
 
@@ -32,6 +33,11 @@ def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.deduped_blogs(spark, sf_dir)
 
 
+def dedup_whole_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which no two have the same text, with all their columns."""
+    return rows.dedup_rows(views.documents(spark, sf_dir), ["text"], "doc_id")
+
+
 def ift_pairs_blog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title pairs: filter, deduplicate, fill the template."""
     pairs = add_prompt(views.deduped_blogs(spark, sf_dir), TITLE_TEMPLATE, "text")
@@ -84,6 +90,12 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.unionByName(evaluation)
 
 
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly nine tenths and one tenth of the rows, by the hash of their keys."""
+    keys = views.blog_keys(spark, sf_dir).select("row_key")
+    return exact(keys, views.WEIGHTS, views.SEED, ["row_key"])
+
+
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.blog_keys(spark, sf_dir).select("row_key", "split")
 
@@ -129,6 +141,7 @@ QUERIES = {
     "filter_null_or_empty": filter_null_or_empty,
     "filter_report": filter_report,
     "dedup_exact": dedup_exact,
+    "dedup_whole_rows": dedup_whole_rows,
     "ift_pairs_blog": ift_pairs_blog,
     "documented_functions": documented_functions,
     "ift_pairs_code": ift_pairs_code,
@@ -139,6 +152,7 @@ QUERIES = {
     "column_counts": column_counts,
     "split_counts": split_counts,
     "random_split": random_split,
+    "exact_split": exact_split,
     "hash_split": hash_split,
     "clean_text": clean_text_query,
     "html_article": html_article,

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import payload
-from pairloom.operators import infer, requests, rows
+from pairloom.operators import infer, requests, resume, rows
 from pairloom.plans import views
 from pairloom.plans.storage import fresh, saved
-from pairloom.sources.tables import load_dir, save_table
+from pairloom.sources.tables import load_dir
 
 BATCH_SIZE = 8
 ROWS_PER_BUCKET = 64
@@ -77,6 +77,20 @@ def _partly_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer.batch_infer(pairs, "prompt", scorer, views.PARAMS, error_col="error")
 
 
+def resumed_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inference in two runs over one store: the first sees every other row, the second all.
+
+    ``run`` tells which run asked for a row: the second calls the model for the rest alone.
+    """
+    _, folder = fresh(spark, sf_dir, "answers")
+    pairs = views.ift(spark, sf_dir).select("row_key", "prompt")
+    for rows_seen in (pairs.where(F.col("row_key") % 2 == 0), pairs):
+        answers = resume.infer_resumable(
+            rows_seen, "prompt", ["row_key"], infer.lead_scorer(), folder, views.PARAMS, run_col="run"
+        )
+    return answers.select("row_key", "llm_response", "run")
+
+
 def infer_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _partly_broken(spark, sf_dir).select("row_key", "llm_response", "error")
 
@@ -90,7 +104,9 @@ def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = infer.payload_log(
         _partly_broken(spark, sf_dir), "row_key", "prompt", "llm_response", "error", views.PARAMS, "lead"
     )
-    return save_table(log, fresh(spark, sf_dir, "payload_log")[0], mode="append")
+    table, _ = fresh(spark, sf_dir, "payload_log")
+    infer.store_payload_log(log.limit(3), "run-1", table)  # a first try that was cut short
+    return infer.store_payload_log(log, "run-1", table).drop("run_id")
 
 
 def attach_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +127,7 @@ QUERIES = {
     "infer_batches": infer_batches,
     "unbatch_responses": unbatch_responses,
     "batch_infer": batch_infer,
+    "resumed_infer": resumed_infer,
     "infer_errors": infer_errors,
     "infer_one": infer_one,
     "payload_log": payload_log,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.functions.judges import PluggedMetric, correctness_model, similarity_model
 from pairloom.operators import evaluate as ev
 from pairloom.operators.rows import to_eval_frame
 from pairloom.plans import views
@@ -69,6 +70,13 @@ def evaluate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_scores(eval_frame(spark, sf_dir), sf_dir))
 
 
+def evaluate_plugged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two judges outside Spark over the evaluation side, in one pass."""
+    judges = [PluggedMetric("answer_similarity", similarity_model), PluggedMetric("answer_correctness", correctness_model)]
+    scored = ev.evaluate(eval_frame(spark, sf_dir), "ground_truth", "llm_response", extra=judges)
+    return scored.select("row_key", "answer_similarity", "answer_correctness")
+
+
 def _summary(frame: DataFrame, sf_dir: str) -> DataFrame:
     """The summary of stored scores; the scores are dropped, as the summary is complete."""
     spark = frame.sparkSession
@@ -94,15 +102,17 @@ def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two evaluations under one run: the text defaults, then the judges alone."""
+    """Two evaluations under one run, the text defaults and the judges alone; the first one is
+    logged again, as after a retry, and stands there once."""
     table, _ = fresh(spark, sf_dir, "run_metrics")
     held, _ = fresh(spark, sf_dir, "scores")
     scores = save_table(_scores(eval_frame(spark, sf_dir), sf_dir), held)
     text = ev.aggregate_scores(scores, TEXT_SCORES, thresholds=THRESHOLDS)
-    ev.log_metrics(text, RUN_ID, table)
-    ev.log_metrics(ev.aggregate_scores(scores, JUDGE_SCORES), RUN_ID, table)
+    ev.log_metrics(text, RUN_ID, table, "text")
+    ev.log_metrics(ev.aggregate_scores(scores, JUDGE_SCORES), RUN_ID, table, "judges")
+    logged = ev.log_metrics(text, RUN_ID, table, "text")
     drop_table(spark, held)
-    return spark.table(table).withColumn("value", _round(F.col("value")))
+    return logged.select("run_id", "metric", "stat", _round(F.col("value")).alias("value"))
 
 
 QUERIES = {
@@ -112,6 +122,7 @@ QUERIES = {
     "judge_similarity": judge_similarity,
     "judge_correctness": judge_correctness,
     "evaluate_rows": evaluate_rows,
+    "evaluate_plugged": evaluate_plugged,
     "metric_summary": metric_summary,
     "partial_summary": partial_summary,
     "metrics_json": metrics_json,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pairloom.operators import splits
 from pairloom.plans import views
@@ -72,6 +74,42 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.read_jsonl(spark, folder)
 
 
+def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table after a write that fails, and then replaced twice from reads of itself."""
+    name, _ = fresh(spark, sf_dir, "documents")
+    docs = tables.save_table(views.documents(spark, sf_dir).select("doc_id", "text", "lang"), name)
+    largest = docs.agg(F.max("doc_id")).first()[0]
+    broken = F.when(F.col("doc_id") == largest, F.raise_error(F.lit("lost"))).otherwise(F.col("text"))
+    try:
+        tables.save_table(docs.withColumn("text", broken), name)
+    except PySparkException:
+        pass  # the rows of the first write still stand
+    same = tables.save_table(tables.load_table(spark, name).where("lang <> 'fr'"), name)
+    return tables.save_table(same.withColumn("n_characters", F.length("text").cast("bigint")).drop("text"), name)
+
+
+def jsonl_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which some are broken by rules on the row's key, read back and told apart."""
+    _, folder = fresh(spark, sf_dir, "lines")
+    key, start = F.col("row_key").cast("string"), F.concat(F.lit('{"row_key":'), F.col("row_key").cast("string"))
+    whole = F.to_json(F.struct("row_key", "prompt", "response"))
+    line = (
+        F.when(F.col("row_key") % 7 == 0, F.concat(start, F.lit(',"prompt":"cut')))
+        .when(F.col("row_key") % 11 == 0, F.concat(start, F.lit(',"prompt":"p"}{"prompt":"q"}')))
+        .when(F.col("row_key") % 13 == 0, F.concat(F.lit('{"row_key":"n'), key, F.lit('","prompt":"p"}')))
+        .when(F.col("row_key") % 17 == 0, F.concat(start, F.lit(',"prompt":null}')))
+        .when(F.col("row_key") % 19 == 0, F.concat(F.lit("["), key, F.lit("]")))
+        .otherwise(whole)
+    )
+    views.ift(spark, sf_dir).select(line.alias("value")).write.text(folder)
+    schema = StructType([StructField("row_key", LongType()), *jsonl.PAIR_SCHEMA.fields])
+    kept, rejected = jsonl.read_jsonl_checked(spark, folder, schema, required=["prompt"])
+    none = F.lit(None).cast("string")
+    return kept.select("row_key", "prompt", "response", none.alias("line"), none.alias("reason")).unionByName(
+        rejected.select(F.lit(None).cast("bigint").alias("row_key"), none.alias("prompt"), none.alias("response"), "line", "reason")
+    )
+
+
 def export_single_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, folder = fresh(spark, sf_dir, "export")
     path = f"{folder}/train.jsonl"
@@ -139,7 +177,9 @@ QUERIES = {
     "register_table": register_table,
     "save_table": save_table,
     "save_splits": save_splits,
+    "replace_table": replace_table,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "jsonl_checked": jsonl_checked,
     "export_single_jsonl": export_single_jsonl,
     "table_to_jsonl": table_to_jsonl,
     "from_rows": from_rows,

@@ -5,8 +5,11 @@ from __future__ import annotations
 import uuid
 
 from py4j.java_gateway import JavaObject
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from pairloom.operators.rows import head_k
 from pairloom.sources.tables import load_table
@@ -25,10 +28,48 @@ def write_jsonl(df: DataFrame, directory: str) -> None:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType = PAIR_SCHEMA) -> DataFrame:
-    """Read JSON Lines with a fixed schema, so no pass over the data to infer one."""
+    """Read JSON Lines with a fixed schema, so no pass over the data to infer one.
+
+    Broken lines read as nulls; :func:`read_jsonl_checked` tells them apart.
+    """
     return spark.read.schema(schema).json(path)
 
 
+def read_jsonl_checked(
+    spark: SparkSession, path: str, schema: StructType = PAIR_SCHEMA, required: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """``(kept, rejected)``: the rows of good lines, and ``(file, line, reason)`` of all others.
+
+    Every line of the files is in one of the two frames. Reasons are ``blank``; ``not one object``
+    for lines that are cut off, hold something else than one JSON object, or go on after it;
+    ``wrong type`` where a value does not fit its field; and ``no <field>`` where one of the
+    ``required`` fields is missing or null. Fields beyond the schema are left out. Both frames
+    read the files when used; nothing is shuffled or held.
+    """
+    names = [f.name for f in schema]
+    corrupt = "_corrupt"
+    while corrupt in names:
+        corrupt += "_"
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    # In an array of its own, a line parses as one element only if it is one whole object: the
+    # parser stops after a first object, whatever follows it on the line.
+    only = F.from_json(F.concat(F.lit("["), "line", F.lit("]")), ArrayType(StructType([])))
+    strict = StructType([*schema.fields, StructField(corrupt, StringType())])
+    row = F.from_json("line", strict, {"columnNameOfCorruptRecord": corrupt})
+    object_like = F.rlike("line", F.lit(r"^\s*\{"))
+    parsed = lines.select("*", row.alias("row"), (object_like & (F.coalesce(F.size(only), F.lit(0)) == 1)).alias("whole"))
+    reason = (
+        F.when(F.rlike("line", F.lit(r"^\s*$")), "blank")
+        .when(~F.col("whole"), "not one object")
+        .when(F.col("row").isNull() | F.col(f"row.`{corrupt}`").isNotNull(), "wrong type")
+    )
+    for name in required:
+        reason = reason.when(F.col(f"row.`{name}`").isNull(), f"no {name}")
+    judged = parsed.select("*", reason.alias("reason"))
+    kept = judged.where("reason IS NULL").select(*[F.col(f"row.`{n}`").alias(n) for n in names])
+    return kept, judged.where("reason IS NOT NULL").select("file", "line", "reason")
+
+
 def export_single_jsonl(df: DataFrame, path: str) -> None:
     """Publish ``df`` as exactly one JSON Lines file at ``path``.
 
