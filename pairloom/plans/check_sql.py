@@ -300,6 +300,7 @@ DATASET_CHECKS = {
             chr(92) || '''', ''''), ' ,', ','), ' .', '.') AS cleaned
         FROM documents""",
     "html_article": HTML,
+    "html_article_nested": HTML,
     "html_article_parsed": HTML,
     "validate_ift": f"""WITH {IFT},
         sides AS (SELECT prompt, response,

@@ -112,6 +112,13 @@ def html_article(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_article(pages, "html", parse=False).drop("html")
 
 
+def html_article_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose headings are put into containers of their own, inside the page's container."""
+    inner = F.replace("html", F.lit("<h1>"), F.lit('<article class="head"><h1>'))
+    pages = load_dir(spark, sf_dir, "pages.parquet").withColumn("html", F.replace(inner, F.lit("</h1>"), F.lit("</h1></article>")))
+    return extract_article(pages, "html", parse=False, nested=True).drop("html")
+
+
 def html_article_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load_dir(spark, sf_dir, "pages.parquet")
     return extract_article(pages, "html").drop("html")
@@ -156,6 +163,7 @@ QUERIES = {
     "hash_split": hash_split,
     "clean_text": clean_text_query,
     "html_article": html_article,
+    "html_article_nested": html_article_nested,
     "html_article_parsed": html_article_parsed,
     "validate_ift": validate_ift,
     "training_profile": training_profile,
