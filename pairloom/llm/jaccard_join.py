@@ -31,7 +31,7 @@ BAND_PERCENT = 140
 #: Groups of more classes than this are thinned.
 LARGE = 16
 #: Classes of one group in a tile of sketch comparisons.
-TILE = 512
+TILE = 2048
 #: Keys in one bucket of the key shuffle, on average.
 BUCKET_KEYS = 1 << 20
 #: Sets compared with a hub in one task's run.
@@ -75,9 +75,9 @@ def parity_sketch(values: np.ndarray) -> np.ndarray:
 
 def folded(sketch: np.ndarray, words: int) -> np.ndarray:
     """The same parities over fewer bits: places that meet add up."""
-    while len(sketch) > words:
-        half = len(sketch) // 2
-        sketch = sketch[:half] ^ sketch[half:]
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
     return sketch
 
 
@@ -283,24 +283,12 @@ def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     return small.union(large), found
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(u, v)``: the pairs ``(cid, hub)`` of classes whose sets are similar.
+def _packed_texts(docs: DataFrame, classes: DataFrame, cids: DataFrame, words: int) -> DataFrame:
+    """``(cid, packed)``: the compressed text of one document for each class in ``cids``.
 
-    The text of one document per class goes, compressed, to the hubs it is compared with; it is
-    a third as large as its set. A hub with many partners is copied to several runs, so none
-    grows with the hub.
+    A compressed text is a third as large as its set.
     """
-    load = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("load"))
-    salts = F.ceil(F.col("load") / SALT_SETS)
-    member = pairs.join(load, "hub").select(
-        "cid", "hub", F.pmod(F.xxhash64("cid"), salts).cast("long").alias("salt"), F.lit(False).alias("own")
-    )
-    runs = F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))
-    own = load.select(F.col("hub").alias("cid"), "hub", runs.alias("salt"), F.lit(True).alias("own"))
-    sends = member.union(own)
-    wanted = classes.groupBy("cid").agg(F.min("row_key").alias("row_key")).join(
-        sends.select("cid").distinct(), "cid", "left_semi"
-    )
+    wanted = classes.groupBy("cid").agg(F.min("row_key").alias("row_key")).join(cids, "cid", "left_semi")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,8 +302,24 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
                 yield pa.record_batch([cids, pa.array(small, pa.binary())], ["cid", "packed"])
 
     texts = docs.select(_row_key(), "text").join(wanted, "row_key")
-    found = map_batches(texts, packed, "cid long, packed binary").dropDuplicates(["cid"])
-    dealt = sends.join(found, "cid").repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
+    return map_batches(texts, packed, "cid long, packed binary").dropDuplicates(["cid"])
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``(u, v)``: the pairs ``(cid, hub)`` of classes whose sets are similar.
+
+    ``texts`` go to the hubs they are compared with. A hub with many partners is copied to
+    several runs, so none grows with the hub.
+    """
+    load = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("load"))
+    salts = F.ceil(F.col("load") / SALT_SETS)
+    member = pairs.join(load, "hub").select(
+        "cid", "hub", F.pmod(F.xxhash64("cid"), salts).cast("long").alias("salt"), F.lit(False).alias("own")
+    )
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))
+    own = load.select(F.col("hub").alias("cid"), "hub", runs.alias("salt"), F.lit(True).alias("own"))
+    sends = member.union(own)
+    dealt = sends.join(texts, "cid").repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, hub_set = None, None
@@ -348,8 +352,10 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     once. The smallest class of each key's group is its hub, and each class is first compared
     with the hub that it shares most groups with, which settles groups of near copies without
     forming their pairs. What is left are the pairs of one group that lie in different
-    components: tiles of their sketches find those whose Hamming distance allows a link, and all
-    of these are compared.
+    components. Tiles of their sketches find those whose Hamming distance allows a link, and
+    each class is compared with the nearest one, then, in what is still apart, with the nearest
+    4, 16 and so on until no pair is left that could be a link. So links join components after
+    a few comparisons a class, and no link between components is missed.
 
     A null text is an empty one. Rows with a null ``doc_id`` link as all others do, and keep a
     null component where no row of it has an id. Repeated rows and repeated ids keep a
@@ -367,19 +373,44 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     hubs = meetings.groupBy("meeting").agg(F.min("cid").alias("hub"))
     shared = meetings.join(hubs, "meeting").where("cid != hub").groupBy("cid", "hub").agg(F.sum("n").alias("n"))
     first = keep(shared.groupBy("cid").agg(F.min_by("hub", F.struct(-F.col("n"), "hub")).alias("hub")), "pairs")
-    edges = keep(_verified(docs, classes, first, words, percent), "links")
+    texts = keep(_packed_texts(docs, classes, meetings.select("cid").distinct(), words), "texts")
+    edges = keep(_verified(texts, first, words, percent), "links")
     release(spark)
     labels = keep(components(edges), "labels")
-    open_rows = keep(_open(meetings, labels), "open")
-    near = _near_pairs(open_rows, classes, percent)
-    rest = keep(near.distinct().join(first, ["cid", "hub"], "left_anti"), "pairs")
-    linked = labels
-    if not rest.isEmpty():
-        more = keep(_verified(docs, classes, rest, words, percent), "links")
+    tried, nearest, rows = first, 1, meetings
+    while True:
+        open_rows = keep(_open(rows, labels), "open")
+        near = keep(_nearest(open_rows, classes, percent, nearest), "near")
+        pairs = near.where("other IS NOT NULL").select(
+            F.greatest("cid", "other").alias("cid"), F.least("cid", "other").alias("hub")
+        ).distinct()
+        rest = keep(pairs.join(tried, ["cid", "hub"], "left_anti"), "pairs")
+        if not rest.isEmpty():
+            more = keep(_verified(texts, rest, words, percent), "links")
+            labels = keep(_joined(labels, more), "labels")
+            tried = tried.union(rest)
+        # A pair that is not tried yet is beyond the nearest ones of both its classes.
+        rows = open_rows.join(keep(near.where("left").select("cid"), "left"), "cid", "left_semi")
         release(spark)
-        linked = keep(components(edges.union(more)), "labels")
-    remove(spark, meetings, first, open_rows, rest)
-    return _labelled(classes, linked)
+        if rows.isEmpty():
+            break
+        rows = keep(rows.select("meeting", "cid"), "rows")
+        remove(spark, open_rows, near)
+        nearest *= 4
+    remove(spark, meetings, texts)
+    return _labelled(classes, labels)
+
+
+def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` after ``edges (u, v)`` join components: only these are gone through again."""
+    of = labels.select(F.col("node").alias("u"), F.col("component").alias("cu"))
+    to = labels.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    ends = edges.join(of, "u", "left").join(to, "v", "left")
+    found = components(ends.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+    found = keep(found.withColumnRenamed("component", "better"), "joined")
+    old = labels.join(found.withColumnRenamed("node", "component"), "component", "left")
+    new = found.join(labels.select("node"), "node", "left_anti")
+    return old.select("node", F.coalesce("better", "component").alias("component")).union(new.select("node", "better"))
 
 
 def _open(meetings: DataFrame, labels: DataFrame) -> DataFrame:
@@ -391,66 +422,69 @@ def _open(meetings: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(mixed.where("low != high").select("meeting"), "meeting", "left_semi")
 
 
-def _near_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``(cid, hub)``: pairs of a group in different components whose sketches are close enough.
+def _nearest(open_rows: DataFrame, classes: DataFrame, percent: int, most: int) -> DataFrame:
+    """``(cid, other, left)``: each class with those of other components that are nearest to it.
 
-    A group is dealt to blocks of about ``TILE`` classes, and each pair of blocks is one tile, so
-    no task holds a group; pairs whose sketches differ in more bits than similar sets can differ
-    in shingles are never written. A pair is found in the first of the groups that hold both:
-    each class brings the list of its groups, which are no more than its keys.
+    Classes of one group are compared by their sizes and sketches: pairs whose sketches differ in
+    more bits than similar sets can differ in shingles are none. Of the rest, a class has its ``most``
+    nearest ones, and ``left`` is true in a row (``other`` null) where it has more. So what is
+    written grows with the classes and not with the pairs of a group. A group is dealt to blocks
+    of about ``TILE`` classes, and each pair of blocks is one tile, so no task holds a group.
     """
     blocks = open_rows.groupBy("meeting").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks"))
     sketches = classes.select("cid", "n", "sketch").dropDuplicates(["cid"])
-    lists = open_rows.groupBy("cid").agg(F.collect_list("meeting").alias("meetings"))
     block, other = F.col("block"), F.col("other")
     rows = (
         open_rows.join(blocks, "meeting")
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .join(sketches, "cid")
-        .join(lists, "cid")
         .select(
             "meeting", F.least(block, other).alias("left"), F.greatest(block, other).alias("right"),
-            (block <= other).alias("rows"), (block >= other).alias("columns"), "cid", "component", "n", "sketch", "meetings",
+            (block <= other).alias("rows"), (block >= other).alias("columns"), "cid", "component", "n", "sketch",
         )
     )
-    dealt = rows.repartition("meeting", "left", "right").sortWithinPartitions("meeting", "left", "right")
+    order = ["meeting", "left", "right", "cid"]
+    dealt = rows.repartition("meeting", "left", "right").sortWithinPartitions(*order)
     share = Bands(percent).share
 
-    def tile(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        """Close pairs of one tile, whose rows are runs of Arrow batches."""
+    def tile(held: list[tuple]) -> np.ndarray:
+        """``(cid, other, apart)`` of one tile, whose rows are runs of Arrow batches.
+
+        A class with more than ``most`` near ones has one row beyond them.
+        """
 
         def whole(name: str) -> np.ndarray:
             return np.concatenate([b.column(name).to_numpy(zero_copy_only=False)[i:j] for b, i, j in held])
 
         cid, component, n, over, under = (whole(c) for c in ("cid", "component", "n", "rows", "columns"))
         raw = [v.as_py() for b, i, j in held for v in b.column("sketch")[i:j]]
-        width = min(map(len, raw)) // 8
-        sketch = np.stack([folded(np.frombuffer(v, dtype=np.uint64), width) for v in raw])
-        batch, at, _ = held[0]
-        meeting = batch.column("meeting")[at].as_py()
-        alone = batch.column("left")[at].as_py() == batch.column("right")[at].as_py()
-        place = [(b, k) for b, i, j in held for k in range(i, j)]
-        known: dict[int, frozenset] = {}
-
-        def groups_of(k: int) -> frozenset:
-            if k not in known:
-                b, row = place[k]
-                known[k] = frozenset(b.column("meetings")[row].values.to_numpy().tolist())
-            return known[k]
-
-        pairs: list[tuple[int, int]] = []
-        for at in range(0, len(cid), 16):
-            part = slice(at, at + 16)
-            apart = np.bitwise_count(sketch[part, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
-            most = (n[part, None] + n[None, :]) * share.numerator // share.denominator
-            fit = (apart <= most) & (component[part, None] != component[None, :])
-            fit &= over[part, None] & under[None, :]
-            if alone:
-                fit &= cid[part, None] > cid[None, :]
-            pairs += [(at + x, y) for x, y in np.argwhere(fit).tolist() if min(groups_of(at + x) & groups_of(y)) == meeting]
-        x, y = (cid[[p[k] for p in pairs]] if pairs else np.zeros(0, dtype=np.int64) for k in (0, 1))
-        return np.maximum(x, y), np.minimum(x, y)
+        width = np.fromiter((len(v) // 8 for v in raw), dtype=np.int64, count=len(raw))
+        members = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
+        sketches = {w: np.stack([np.frombuffer(raw[i], dtype=np.uint64) for i in at]) for w, at in members.items()}
+        found = []
+        for w, rows in members.items():
+            # Widths are powers of two: more than the sizes' ratio, doubled, lies beyond the limit.
+            fitting = [v for v in members if percent * max(v, w) <= 200 * min(v, w)]
+            for at in range(0, len(rows), 16):
+                part, fits, aparts, others = rows[at : at + 16], [], [], []
+                for v in fitting:
+                    columns, least = members[v], min(v, w)
+                    own, its = folded(sketches[w][at : at + 16], least), folded(sketches[v], least)
+                    apart = np.bitwise_count(own[:, None, :] ^ its[None, :, :]).sum(axis=2, dtype=np.int64)
+                    a, b = n[part][:, None], n[columns][None, :]
+                    fit = (apart <= (a + b) * share.numerator // share.denominator) & (component[part][:, None] != component[columns][None, :])
+                    fit &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+                    fit &= (over[part][:, None] & under[columns][None, :]) | (under[part][:, None] & over[columns][None, :])
+                    fits.append(fit)
+                    aparts.append(apart)
+                    others.append(cid[columns])
+                fit, apart, other = np.concatenate(fits, axis=1), np.concatenate(aparts, axis=1), np.concatenate(others)
+                for k in np.flatnonzero(fit.any(axis=1)).tolist():
+                    near = np.flatnonzero(fit[k])
+                    near = near[np.lexsort((other[near], apart[k, near]))][: most + 1]
+                    found.append(np.stack([np.full(len(near), cid[part[k]]), other[near], apart[k, near]], axis=1))
+        return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
@@ -459,7 +493,7 @@ def _near_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataF
             if not batch.num_rows:
                 continue
             starts = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
-            found: list[tuple] = []
+            found: list[np.ndarray] = []
             for low, high in zip(starts.tolist(), np.append(starts[1:], batch.num_rows).tolist()):
                 key = tuple(k[low] for k in keys)
                 if held and key != now:
@@ -467,18 +501,30 @@ def _near_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataF
                     held = []
                 now = key
                 held.append((batch, low, high))
-            yield _pairs(found)
+            yield _distances(found, most)
         if held:
-            yield _pairs([tile(held)])
+            yield _distances([tile(held)], most)
 
-    names = ["meeting", "left", "right", "rows", "columns", "cid", "component", "n", "sketch", "meetings"]
-    return map_batches(dealt.select(*names), run, "cid long, hub long")
-
-
-def _pairs(found: list[tuple]) -> pa.RecordBatch:
-    none = np.zeros((0, 2), dtype=np.int64)
-    pairs = np.concatenate([none, *[np.stack(f, axis=1) for f in found]])
-    return pa.record_batch([pairs[:, 0], pairs[:, 1]], ["cid", "hub"])
+    found = map_batches(
+        dealt.select("meeting", "left", "right", "rows", "columns", "cid", "component", "n", "sketch"), run,
+        "cid long, other long, apart long",
+    )
+    # The same pair comes from every group that holds both.
+    once = found.groupBy("cid", "other").agg(F.min("apart").alias("apart"))
+    place = F.row_number().over(Window.partitionBy("cid").orderBy("apart", "other"))
+    ranked = once.withColumn("place", place).where(F.col("place") <= most + 1)
+    beyond = F.col("place") > most
+    return ranked.select("cid", F.when(~beyond, F.col("other")).alias("other"), beyond.alias("left"))
+
+
+def _distances(found: list[np.ndarray], most: int) -> pa.RecordBatch:
+    """Distinct pairs of some tiles, no class with more than ``most`` and one beyond them."""
+    rows = np.unique(np.concatenate([np.zeros((0, 3), dtype=np.int64), *found]), axis=0)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 2], rows[:, 0]))]
+    starts = np.flatnonzero(np.diff(rows[:, 0], prepend=rows[0, 0] - 1)) if len(rows) else np.zeros(0, dtype=np.int64)
+    place = np.arange(len(rows)) - np.repeat(starts, np.diff(np.append(starts, len(rows))))
+    rows = rows[place <= most]
+    return pa.record_batch([rows[:, k] for k in range(3)], ["cid", "other", "apart"])
 
 
 def _labelled(classes: DataFrame, linked: DataFrame) -> DataFrame:
