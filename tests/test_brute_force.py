@@ -74,6 +74,17 @@ def test_page_readers_agree(spark):
         assert r.n == r.p, r.a
 
 
+def test_nested_page_readers_agree(spark):
+    """Random pages whose containers lie in each other, balanced or not."""
+    rng = random.Random(9)
+    bits = ["<article>", "</article>", '<article class="x">', "</article >", "<p>", "</p>", "<!-- </article> -->", "word", " , ", "é", "&amp;"]
+    pages = ["<body>out" + "".join(rng.choices(bits, k=rng.randrange(30))) + "</body>" for _ in range(2000)]
+    df = from_rows(spark, [(p,) for p in pages], "a string")
+    df = df.select("a", html.nested_text(F.col("a")).alias("n"), html.parsed_text(F.col("a")).alias("p"))
+    for r in df.collect():
+        assert r.n == r.p, r.a
+
+
 def test_udfs_need_no_package_on_the_workers(tmp_path):
     """What a UDF refers to travels with it: it loads and runs where pairloom is not installed."""
     score = infer.make_batch_udf(infer.lead_scorer(), GenParams(max_tokens=2)).func

@@ -59,13 +59,13 @@ def test_clean_text(spark):
 
 
 @pytest.mark.parametrize("name", list(PAGES))
-@pytest.mark.parametrize("form", [html.pattern_text, html.parsed_text])
+@pytest.mark.parametrize("form", [html.pattern_text, html.nested_text, html.parsed_text])
 def test_article_text(spark, form, name):
     page, wanted = PAGES[name]
     assert value(spark, form(F.col("a")), page) == wanted
 
 
-@pytest.mark.parametrize("form", [html.pattern_text, html.parsed_text])
+@pytest.mark.parametrize("form", [html.pattern_text, html.nested_text, html.parsed_text])
 def test_container_by_class(spark, form):
     page = '<div class="menu">n</div><div id="d" class="x rich-text y">a<p>b</p></div>'
     assert value(spark, form(F.col("a"), "div", "rich-text"), page) == "a b"
@@ -79,6 +79,30 @@ def test_nested_containers_and_broken_markup_are_parsed(spark):
     assert value(spark, html.parsed_text(F.col("a")), None) is None
 
 
+NESTED = {
+    "inside": ('<div class="t">a<div>b</div><p>c</p></div>d', "a b c"),
+    "deep": ('x<div class="n">n</div><div id=1 class="s t">a<div><div class="t">b</div>c</div>d</div>e<div class="t">f</div>', "a b c d"),
+    "left open": ('<div class="t">a<div>b</div><p>c', "a b c"),
+    "closed too often": ("</div></div><div class='t'>a</div></div>b", "a"),
+    "hidden tags": ('<div class="t">a<!-- </div> --><script>"</div>"</script><style></div></style>b</div>c', "a b"),
+    "empty": ('<div class="t"></div>a', ""),
+    "none": ("<div>a</div>", ""),
+    "self-closed": ('<div class="t">a<div/>b</div>c', "a b"),
+    "bare class": ("<div class=t>a<div>b</div></div>c", "a b"),
+}
+
+
+@pytest.mark.parametrize("name", list(NESTED))
+@pytest.mark.parametrize("form", [html.nested_text, html.parsed_text])
+def test_containers_inside_containers(spark, form, name):
+    page, wanted = NESTED[name]
+    assert value(spark, form(F.col("a"), "div", "t"), page) == wanted
+
+
+def test_nested_text_of_null(spark):
+    assert value(spark, html.nested_text(F.col("a")), None) is None
+
+
 def test_counts(spark):
     sample = " One two.\n\tThree!? Yé aeiou "
     a = F.col("a")
@@ -107,6 +131,7 @@ def test_grades_of_empty_text(spark):
         dataset.extract_docstring,
         dataset.clean_text_query,
         dataset.html_article,
+        dataset.html_article_nested,
         scoring.text_metrics,
     ],
 )
