@@ -333,11 +333,11 @@ def test_redaction_keeps_the_rest(spark):
 # n-gram Jaccard join
 
 
-def brute_components(rows):
+def brute_components(rows, n=4, percent=85):
     sets = {}
     for i, t in rows:
         w = SPACED.findall((t or "").translate(LOWER))
-        sets[i] = {tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+        sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
     label = {i: i for i in sets}
 
     def root(i):
@@ -348,7 +348,7 @@ def brute_components(rows):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 label[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), root(i)) for i in ids}
