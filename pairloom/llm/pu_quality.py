@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -10,18 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.arrow_rows import add_columns
+from pairloom.llm.arrow_rows import add_columns, map_batches
+from pairloom.llm.scratch import keep, remove
 from pairloom.llm.text_words import SPACED, mix, words_of
 
-#: Bounds of the training sample; scoring, and the class prior, cover all rows.
-POSITIVES, UNLABELLED = 8_000, 16_000
 #: Score from which a document counts as good.
 CUT = 0.7
 #: Words per window in which repetition is measured.
 WINDOW = 64
 #: Characters of evidence that a share needs to count fully.
 DAMPING = 40
-STEPS, RATE, DECAY = 600, 0.05, 1e-3
+#: Weight of the squared weights in the risk, and of the squared bias.
+DECAY = 0.1
+#: Rounds of the fit at most, the change of weights that ends it, and the length of a step at most.
+ROUNDS, STILL, REACH = 40, 1e-4, 2.0
 
 #: Bytes whose shares are features.
 _GROUPS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", bytes(range(128, 256)), b"0123456789",
@@ -79,32 +83,62 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
+def moments(x: np.ndarray, trusted: np.ndarray) -> np.ndarray:
+    """Number, sums and sums of squares of the rows."""
+    return np.concatenate([[len(x)], x.sum(axis=0), (x**2).sum(axis=0)])
+
+
+def standard(sums: np.ndarray) -> Model:
+    """A model without weights yet, from the ``moments`` of all rows."""
+    first, second = np.split(sums[1:] / sums[0], 2)
+    spread = np.sqrt(np.maximum(second - first**2, 0)) + 1e-3
+    # Rounded, so that sums taken in another order give the same model.
+    return Model(first.round(7), spread.round(7), np.zeros(3 * len(first)), 0.0)
+
+
+def risk_sums(model: Model, x: np.ndarray, trusted: np.ndarray) -> np.ndarray:
+    """What one round of the fit needs of some rows; sums of several groups of rows add up.
+
+    Of all rows: number, loss as negatives, its slope and its curvature. Of the trusted rows:
+    number, loss as negatives, its slope, and the sum of the rows.
+    """
+    w = np.append(model.weights, model.bias)
+    out = []
+    for some in (x, x[trusted]):
+        z = np.concatenate([model.wide(some), np.ones((len(some), 1))], axis=1)
+        f = z @ w
+        up = 1 / (1 + np.exp(-np.clip(f, -40, 40)))
+        out += [[len(some), np.logaddexp(0, f).sum()], up @ z]
+        out.append(z.sum(axis=0) if some is not x else ((z * (up * (1 - up))[:, None]).T @ z).ravel())
+    return np.concatenate(out)
+
+
+def fit(model: Model, total, prior: float) -> Model:
     """Minimise ``prior * E+[l(f)] + max(0, Eu[l(-f)] - prior * E+[l(-f)])``, ``l`` logistic.
 
-    Where the estimate of the negative risk turns negative, a step goes up in that part alone,
-    so that the scorer does not fit the positives at its cost.
+    ``total(model)`` gives the ``risk_sums`` over all rows, so a round reads all of them. A round
+    is one Newton step: as ``l(f) - l(-f) = -f``, the risk is convex while the estimate of the
+    negative risk is not negative. Where it is, the step goes up in that part alone, so that the
+    scorer does not fit the positives at its cost; each change of sign halves the steps.
     """
-    model = Model(unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3, np.zeros(0), 0.0)
-    p, u = model.wide(positive), model.wide(unlabelled)
-    weights, bias = np.zeros(p.shape[1]), float(np.log(prior / (1 - prior)))
-    first, second = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1)
-    for step in range(1, STEPS + 1):
-        fp, fu = p @ weights + bias, u @ weights + bias
-        up_p, up_u = 1 / (1 + np.exp(-fp)), 1 / (1 + np.exp(-fu))
-        negative = float(np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean())
-        # Slopes of the losses: l(f) by p - 1, l(-f) by p.
-        on_negative_u, on_negative_p = up_u / len(u), -prior * up_p / len(p)
-        if negative >= 0:
-            slope_p, slope_u = prior * (up_p - 1) / len(p) + on_negative_p, on_negative_u
-        else:
-            slope_p, slope_u = -on_negative_p, -on_negative_u
-        gradient = np.append(slope_p @ p + slope_u @ u + DECAY * weights, slope_p.sum() + slope_u.sum())
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        move = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        weights, bias = weights - move[:-1], bias - float(move[-1])
-    return Model(model.mean, model.scale, weights, bias)
+    d = len(model.weights) + 1
+    w = np.append(model.weights, np.log(prior / (1 - prior)))
+    length, sign = 1.0, True
+    for _ in range(ROUNDS):
+        sums = total(Model(model.mean, model.scale, w[:-1], float(w[-1])))
+        (n, loss_u), slope_u, bend, (m, loss_p), slope_p, rows_p = np.split(sums, np.cumsum([2, d, d * d, 2, d]))
+        slope_u, slope_p, mean_p = slope_u / n, slope_p / m, rows_p / m
+        bend = bend.reshape(d, d) / n + DECAY * np.eye(d)
+        whole = loss_u / n - prior * loss_p / m >= 0
+        slope = slope_u - prior * mean_p + DECAY * w if whole else prior * slope_p - slope_u
+        length, sign = (length if whole == sign else length / 2), whole
+        move = length * np.linalg.solve(bend, slope)
+        move *= min(1.0, REACH / max(1e-12, 2 * float(np.sqrt(move @ bend @ move))))
+        w = w - move
+        if np.abs(move).max() < STILL:
+            break
+    w = w.round(4)
+    return Model(model.mean, model.scale, w[:-1], float(w[-1]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -115,35 +149,48 @@ def held_out(doc_id: Column) -> Column:
 _VECTOR = [("vector", T.ArrayType(T.DoubleType()), pa.list_(pa.float64()))]
 
 
-def _vectors(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of the documents with some ids, at most ``POSITIVES + UNLABELLED`` of them."""
-    some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-    rows = add_columns(some, lambda texts: [list(features(texts))], _VECTOR, ["doc_id"])
-    # In order of the ids and the values, so that sums do not depend on the layout.
-    found = sorted((r.doc_id, r.vector) for r in rows.select("row.doc_id", "vector").collect())
-    return np.array([v for _, v in found])
+def _total(rows: DataFrame, measure) -> np.ndarray:
+    """The sum of ``measure(vectors, trusted)`` over all rows of ``(vector, trusted)``.
+
+    Each task adds up its own rows; its sums are added by Spark, place by place.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("vector").flatten().to_numpy().reshape(batch.num_rows, -1)
+                own = measure(x, batch.column("trusted").to_numpy(zero_copy_only=False))
+                sums = own if sums is None else sums + own
+        if sums is not None:
+            yield pa.record_batch([np.arange(len(sums), dtype=np.int32), sums], ["place", "value"])
+
+    sums = map_batches(rows, run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
+    return np.array([r.value for r in sums.orderBy("place").collect()])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from trusted positives and unlabelled documents; None without positives.
 
-    Positives are documents labelled 1 (and never 0) outside the held-out rows. The class prior
-    is the share of such documents among all the labelled ones. Of each side the documents with
-    the smallest hashes of their ids are taken, up to the bounds above; only their features
-    reach the driver.
+    Positives are all rows of documents labelled 1 (and never 0) outside the held-out ones, and
+    all rows count as unlabelled, held-out ones too, since no label of theirs is read. The class
+    prior is the share of good ones among the rows labelled outside the held-out ones, so copies
+    weigh in it as they do in the risk; it is taken for 0.01 at least and 0.99 at most, as the
+    risk is not defined at 0 or 1. Features are computed once and written; a round of the fit
+    reads them and sends one row per sum to the driver, about 3,200 whatever the number of documents.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    total = known.agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("good")).first()
-    if not total.good:
-        return None
-    prior = min(0.99, max(0.01, total.good / total.n))
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    trusted = known.where("quality = 1").orderBy(*order).limit(POSITIVES).select("doc_id")
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    web = ids.orderBy(*order).limit(UNLABELLED).distinct()
-    positive, unlabelled = _vectors(docs, trusted), _vectors(docs, web)
-    return fit(positive, unlabelled, prior) if len(positive) and len(unlabelled) else None
+    vectors = add_columns(docs, lambda texts: [list(features(texts))], _VECTOR, ["doc_id"])
+    rows = keep(vectors.select("row.doc_id", "vector").join(known, "doc_id", "left").drop("doc_id"), "quality-features")
+    share = rows.agg(F.count("quality").alias("n"), F.sum("quality").alias("good")).first()
+    model = None
+    if share.good:
+        prior = min(0.99, max(0.01, share.good / share.n))
+        seen = rows.select("vector", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("trusted"))
+        model = fit(standard(_total(seen, moments)), lambda at: _total(seen, partial(risk_sums, at)), prior)
+    remove(docs.sparkSession, rows)
+    return model
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, carry=None) -> DataFrame:
@@ -151,7 +198,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, carry=None) -> DataFrame:
 
     Texts alone are scored. A null text scores like an empty one; repeated rows score alike;
     other columns ride along in ``row``. Without any trusted positive there is nothing to learn
-    and every score is 1. Nothing is shuffled but ids of the samples.
+    and every score is 1. No text is shuffled; features move once where the labels are too many
+    for a broadcast join by Spark's own measure.
     """
     model = train(docs, labels)
 

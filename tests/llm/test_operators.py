@@ -563,3 +563,73 @@ def test_scores_see_texts_alone_and_odd_rows(spark, documents, mixed):
     none = labels.limit(0)
     assert {r.score for r in pu_quality.score_quality(documents(mixed, 1), none).select("score").collect()} == {1.0}
     assert pu_quality.keep_good(documents([]), labels).count() == 0
+
+
+def _plain_risk(model, weights, x, trusted, prior):
+    """(risk of positives, estimated risk of negatives), row by row."""
+    def loss(row, sign):
+        return float(np.logaddexp(0, -sign * (model.wide(row[None])[0] @ weights[:-1] + weights[-1])))
+
+    good = [x[k] for k in np.flatnonzero(trusted)]
+    positive = prior * sum(loss(r, 1) for r in good) / len(good)
+    return positive, sum(loss(r, -1) for r in x) / len(x) - prior * sum(loss(r, -1) for r in good) / len(good)
+
+
+def test_sums_give_the_risk_and_its_slope():
+    rng = np.random.default_rng(3)
+    x, trusted, prior = rng.normal(size=(60, 4)), rng.random(60) < 0.4, 0.6
+    model = pu_quality.standard(sum(pu_quality.moments(x[k : k + 7], trusted[k : k + 7]) for k in range(0, 60, 7)))
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0) + 1e-3)
+    w = rng.normal(size=13) / 3
+    at = pu_quality.Model(model.mean, model.scale, w[:-1], float(w[-1]))
+    sums = sum(pu_quality.risk_sums(at, x[k : k + 7], trusted[k : k + 7]) for k in range(0, 60, 7))
+    (n, loss_u), slope_u, bend, (m, loss_p), slope_p, rows_p = np.split(sums, np.cumsum([2, 13, 169, 2, 13]))
+    positive, negative = _plain_risk(model, w, x, trusted, prior)
+    assert (n, m) == (60, trusted.sum()) and np.isclose(loss_u / n - prior * loss_p / m, negative)
+    for k in range(13):
+        step = np.eye(13)[k] * 1e-5
+        over, under = (_plain_risk(model, w + s, x, trusted, prior) for s in (step, -step))
+        assert np.isclose((over[1] - under[1]) / 2e-5, slope_u[k] / n - prior * slope_p[k] / m, atol=1e-6)
+        assert np.isclose((over[0] - under[0]) / 2e-5, prior * (slope_p[k] - rows_p[k]) / m, atol=1e-6)
+    assert np.linalg.eigvalsh(bend.reshape(13, 13)).min() >= -1e-9
+
+
+def test_fit_takes_every_row_in_any_layout(spark, documents):
+    rng = np.random.default_rng(5)
+    rows = [(i, prose(rng, 30) if i % 4 else "|$ " * int(rng.integers(5, 40))) for i in range(120)]
+    rows += [(8, "|$ 77 " * 9)] * 60 + [(None, "## 5"), (None, None)]  # one id with a third of all rows
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    known = {i for i in range(120) if zlib.crc32(str(i).encode()) % 4 != 2}
+    prior = sum(i in known and i % 4 > 0 for i, _ in rows) / sum(i in known for i, _ in rows)
+    x = np.concatenate([pu_quality.features([t.encode() if t is not None else None]) for _, t in rows])
+    trusted = np.array([i in known and i % 4 > 0 for i, _ in rows])
+    plain = pu_quality.standard(pu_quality.moments(x, trusted))
+    plain = pu_quality.fit(plain, lambda at: pu_quality.risk_sums(at, x, trusted), prior)
+    for parts in (1, 5):
+        model = pu_quality.train(documents(rows).repartition(parts), labels)
+        assert np.array_equal(model.mean, plain.mean) and np.allclose(model.weights, plain.weights, atol=2e-4)
+    right = [(plain.score(x[k : k + 1])[0] >= pu_quality.CUT) == (i % 4 > 0) for k, (i, _) in enumerate(rows[:120])]
+    assert np.mean(right) > 0.95
+
+
+def test_fit_reaches_the_least_risk():
+    rng = np.random.default_rng(8)
+    good = rng.random(400) < 0.7
+    x = rng.normal(size=(400, 4)) + np.where(good, 0.8, -0.8)[:, None]
+    trusted, prior = good & (rng.random(400) < 0.5), 0.7
+    model = pu_quality.standard(pu_quality.moments(x, trusted))
+    found = pu_quality.fit(model, lambda at: pu_quality.risk_sums(at, x, trusted), prior)
+    z = np.concatenate([model.wide(x), np.ones((400, 1))], axis=1)
+
+    def risk(w):
+        f = z @ w
+        p, n = np.logaddexp(0, -f), np.logaddexp(0, f)
+        return prior * p[trusted].mean() + max(0, n.mean() - prior * n[trusted].mean()) + pu_quality.DECAY / 2 * w @ w
+
+    w = np.zeros(13)
+    least = risk(w)
+    for step in range(4000):  # plain descent by differences
+        slope = np.array([(risk(w + s) - risk(w - s)) / 2e-5 for s in np.eye(13) * 1e-5])
+        w = w - slope / (10 + step / 10)
+        least = min(least, risk(w))
+    assert risk(np.append(found.weights, found.bias)) < least + 0.01
