@@ -1,64 +1,158 @@
-"""Token ids of whole texts from public tokenizer files, with a cache over pieces of text.
+"""Token ids of whole texts from public tokenizer files.
 
-Both tokenizers cut a text into pieces first and encode each piece by itself, and both cut
-between a letter and white space or punctuation (an apostrophe apart). So a text may be
-encoded piece by piece at such places with the same ids, and a piece seen before costs one
-look-up.
+The ids are those of the tokenizers library. Its byte-pair merges run here in tiktoken, from
+ranks read out of the same file, wherever both must agree; other texts and files go to the
+library itself. Ids come as little-endian unsigned 32-bit bytes.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 
-#: Pieces held per worker; as many again may wait in the older half of the cache.
-CACHE = 600_000
+#: Pieces and characters held per worker; as many again may wait in the older half of the cache.
+CACHE, CACHE_CHARS = 600_000, 1 << 24
 #: Characters of text cut at a time.
 RUN_CHARS = 1 << 20
 
 #: A word before white space, the end or ASCII punctuation other than an apostrophe; else a run
-#: without white space. White space before it belongs to a piece where the tokenizer keeps it.
-_WORD = r"[^\W\d_]+(?=[\s!-&(-/:-@\[-`{-~]|$)|"
-WITH_SPACES = rf"\s*{_WORD}\s*\S+|\s+"
-WITHOUT_SPACES = rf"{_WORD}\S+"
-#: Texts with these are encoded whole: marks of special tokens, a letter whose lower case ends
-#: in a combining mark, and control characters that are white space to Python only.
+#: without white space.
+PIECES = re.compile(r"[^\W\d_]+(?=[\s!-&(-/:-@\[-`{-~]|$)|\S+")
+#: Texts with these are left to the library: marks of special tokens, a letter whose lower case
+#: ends in a combining mark, control characters that are white space to Python only, and (for
+#: words) letters that the library composes or takes apart, as a mark may then end a word.
 _MARK = "<|"
 _WHOLE = re.compile(r"[\x1c-\x1fİ]")
+#: White space beyond what tiktoken's search for its end can step back over.
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
 #: Beyond these letters a text is left as it is, and the tokenizer lower-cases it.
 _LATIN = re.compile(r"[\x00-ɏ]*")
 
-
-class PieceEncoder:
-    """Ids as little-endian unsigned 32-bit bytes."""
-
-    def __init__(self, path: str, keeps_spaces: bool, lower: bool):
+# The pieces that the byte-level format merges by themselves, and its word end.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_END = "</w>"
+
+
+def _bytes_shown() -> dict[str, int]:
+    """The byte for each character of a byte-level vocabulary: its own, or one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = sorted(set(range(0x100)) - set(shown))
+    return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
+
+
+def ranks_of(made: dict) -> dict[bytes, int] | None:
+    """Bytes of each token of a tokenizer file with its id, a word end being a space.
+
+    None unless the ids also give the order of the merges, single symbols first, and no two
+    tokens have the same bytes.
+    """
+    model, added = made["model"], {t["content"] for t in made["added_tokens"]}
+    vocab = {t: i for t, i in model["vocab"].items() if t not in added}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    merged = [vocab[a + b] for a, b in pairs]
+    single = set(vocab.values()).difference(merged)
+    in_order = all(a < b for a, b in zip([max(single, default=-1), *merged], merged))
+    shown = _bytes_shown()
+    suffix = model["end_of_word_suffix"]
+    ranks = {}
+    for token, i in vocab.items():
+        ends = bool(suffix) and token.endswith(suffix)
+        symbols = token[: -len(suffix)] if ends else token
+        if not all(s in shown for s in symbols):
+            return None
+        ranks[bytes(shown[s] for s in symbols) + b" " * ends] = i
+    return ranks if in_order and len(ranks) == len(vocab) else None
+
+
+class _Library:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = re.compile(WITH_SPACES if keeps_spaces else WITHOUT_SPACES)
-        #: Lower-casing Latin texts here saves look-ups where the tokenizer does so anyway.
-        self.lower = lower
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            self.made = json.load(file)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _merges(self, pattern: str):
+        """tiktoken's merges over the file's ranks, or None where these cannot be read so."""
+        import tiktoken
+
+        ranks = ranks_of(self.made)
+        return ranks and tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+class ByteEncoder(_Library):
+    """Byte-level merges of whole texts; nothing is held between texts."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        cut = self.made["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        plain = plain and not self.made["normalizer"] and not self.made["model"]["end_of_word_suffix"]
+        self.merges = self._merges(BYTE_LEVEL) if plain else None
+
+    def encode(self, texts: list[str | None], end: bytes) -> Iterator[bytes]:
+        """The ids of each text (null: none), with ``end`` after them."""
+        for text in texts:
+            text = text or ""
+            long_space = len(text) >= LONG_SPACE and _LONG_SPACE.search(text)
+            if self.merges is None or _MARK in text or long_space:
+                yield self._ids([text])[0] + end
+            else:
+                yield self.merges.encode_to_numpy(text).astype("<u4").tobytes() + end
+
+
+class WordEncoder(_Library):
+    """Lower-cased words with word ends, and a cache over pieces of text.
+
+    The tokenizer cuts a text into pieces, encodes each by itself, and cuts between a letter
+    and white space or punctuation (an apostrophe apart). So a text may be encoded piece by
+    piece at such places with the same ids, and a piece seen before costs one look-up. New
+    pieces of the letters a to z are merged together; their ids part after each word end.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        vocab = self.made["model"]["vocab"]
+        plain = self.made["model"]["end_of_word_suffix"] == WORD_END
+        self.merges = self._merges("[^ ]+ ") if plain else None
+        self.is_end = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.is_end[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.chars = 0
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        ids = self.merges.encode_to_numpy(" ".join(words) + " ").astype("<u4")
+        ends = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def _learn(self, pieces: set[str]) -> None:
-        missing = []
+        words, others = [], []
         for piece in pieces.difference(self.new):
+            self.chars += len(piece)
             ids = self.old.get(piece)
-            if ids is None:
-                missing.append(piece)
-            else:
+            if ids is not None:
                 self.new[piece] = ids
-        self.new.update(zip(missing, self._ids(missing)))
+            elif self.merges and piece.isascii() and piece.isalpha() and piece.islower():
+                words.append(piece)
+            else:
+                others.append(piece)
+        if words:
+            self.new.update(zip(words, self._words(words), strict=True))
+        self.new.update(zip(others, self._ids(others)))
 
     def encode(self, texts: list[str | None], end: bytes) -> Iterator[bytes]:
         """The ids of each text (null: none), with ``end`` after them."""
@@ -71,12 +165,13 @@ class PieceEncoder:
             cut: list[list[str] | None] = []
             for text in texts[at:to]:
                 text = text or ""
-                if _MARK in text or _WHOLE.search(text):
+                if _MARK in text or _WHOLE.search(text) or not is_normalized("NFC", text):
                     cut.append(None)
                 else:
-                    cut.append(self.pieces.findall(text.lower() if self.lower and _LATIN.fullmatch(text) else text))
-            if len(self.new) > CACHE:
-                self.old, self.new = self.new, {}
+                    # Lower-casing Latin texts here saves look-ups.
+                    cut.append(PIECES.findall(text.lower() if _LATIN.fullmatch(text) else text))
+            if len(self.new) > CACHE or self.chars > CACHE_CHARS:
+                self.old, self.new, self.chars = self.new, {}, 0
             self._learn(set().union(*filter(None, cut)))
             known = self.new.__getitem__
             for text, pieces in zip(texts[at:to], cut):
@@ -85,20 +180,12 @@ class PieceEncoder:
             at = to
 
 
-_loaded: dict[tuple, PieceEncoder] = {}
-
-
-def encoder(path: str, keeps_spaces: bool, lower: bool) -> PieceEncoder:
+@lru_cache(maxsize=None)
+def byte_bpe(path: str) -> ByteEncoder:
     """One encoder per worker process and file."""
-    key = (path, keeps_spaces, lower)
-    if key not in _loaded:
-        _loaded[key] = PieceEncoder(*key)
-    return _loaded[key]
-
-
-def byte_bpe(path: str) -> PieceEncoder:
-    return encoder(path, True, False)
+    return ByteEncoder(path)
 
 
-def word_bpe(path: str) -> PieceEncoder:
-    return encoder(path, False, True)
+@lru_cache(maxsize=None)
+def word_bpe(path: str) -> WordEncoder:
+    return WordEncoder(path)

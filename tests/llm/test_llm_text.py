@@ -68,11 +68,56 @@ def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_ids, "CACHE", 3)
     monkeypatch.setattr(token_ids, "RUN_CHARS", 10)
     path = public_tokenizers.path("word_bpe_49k.json")
-    small = token_ids.PieceEncoder(path, False, True)
+    small = token_ids.WordEncoder(path)
     held = ["one two three four", "five six", "one two", "seven eight nine"] * 3
     assert list(small.encode(held, b"")) == list(token_ids.word_bpe(path).encode(held, b""))
 
 
+@pytest.mark.parametrize("name, make", [("byte_bpe_50k.json", token_ids.byte_bpe), ("word_bpe_49k.json", token_ids.word_bpe)])
+def test_ids_of_every_code_point_and_token(name, make):
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    ranges = [(0, 0x3400), (0xA000, 0xAC00), (0xF900, 0x13000), (0x1D000, 0x1FB00)]
+    points = [chr(c) for low, high in ranges for c in range(low, high)]
+    held = ["".join(f"a{c}b 1{c}2 {c}.{c}, {c} {c}{c}x  {c} \n" for c in points[k : k + 64]) for k in range(0, len(points), 64)]
+    held += [plain.decode([i]) for i in range(plain.get_vocab_size())]
+    held += [f"x {t} {t}{t} 's{t}" for t in held[-plain.get_vocab_size() :]]
+    wanted = [e.ids for e in plain.encode_batch(held, add_special_tokens=False)]
+    assert make(path).merges is not None
+    for text, ids, own in zip(held, make(path).encode(held, b""), wanted):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == own, text
+
+
+@pytest.mark.parametrize("make, name", [(token_ids.byte_bpe, "byte_bpe_50k.json"), (token_ids.word_bpe, "word_bpe_49k.json")])
+def test_ids_of_very_long_runs(make, name):
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    letters = "".join(random.Random(3).choices("abcdefghij", k=300_000))
+    held = [" " * 1_000_000 + "x", "a" + "\n" * 1_000_000, letters, "!" * 300_000, "\t " * 60_000 + "end"]
+    for text, ids in zip(held, make(path).encode(held, b"")):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_files_whose_ids_do_not_order_the_merges_go_to_the_library(tmp_path):
+    """Two ids exchanged: ranks cannot be read from the file, the ids still are its own."""
+    import json
+
+    made = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
+    vocab = made["model"]["vocab"]
+    (a, i), (b, j) = [(t, k) for t, k in vocab.items() if k in (400, 900)]
+    vocab[a], vocab[b] = j, i
+    path = str(tmp_path / "exchanged.json")
+    json.dump(made, open(path, "w", encoding="utf-8"))
+    encode = token_ids.ByteEncoder(path)
+    assert encode.merges is None
+    plain = Tokenizer.from_file(path)
+    for text, ids in zip(PROSE, encode.encode(PROSE, b"")):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+PROSE = ["the quick brown fox said: don't, 12.5 times!", "", "Ünï cödé  and   spaces\n\n"]
+
+
 @settings(deadline=None, max_examples=60)
 @given(st.lists(st.lists(st.integers(1, 4), max_size=30), min_size=1, max_size=8), st.lists(st.lists(st.integers(1, 5), min_size=1, max_size=4), min_size=1, max_size=20))
 def test_fm_index_finds_every_occurrence(docs, phrases):
