@@ -18,8 +18,8 @@ from pairloom.llm.token_ids import word_bpe
 END = 1
 #: Ids per shard; a shard holds whole documents, so one may be longer by its last document.
 SHARD_IDS = 1 << 20
-#: Rounds of replacement, rules per round, and how often a pair must occur to get one.
-ROUNDS, RULES, LEAST = 4, 8192, 6
+#: A rule holds three numbers and saves one wherever its pair stands, so it pays from here on.
+LEAST = 4
 
 _SHARD = (
     "part long, shard long, n_ids long, doc_ids array<long>, doc_lengths binary, "
@@ -31,59 +31,72 @@ _NAMES = ["part", "shard", "n_ids", "doc_ids", "doc_lengths", "terminals", "roun
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(terminals, first rule of each round, rules, expansion lengths, sequence)``.
 
-    Each round counts the neighbouring pairs, gives a new symbol to each of the most frequent,
-    and replaces them from left to right. Pairs across documents (``ends`` marks last ids) are
-    left alone, so every document begins at a symbol.
+    Each round counts neighbouring pairs, gives a new symbol to each that occurs ``LEAST`` times
+    or more, and replaces them from left to right, until no pair pays. After the first round
+    only pairs with a symbol of the last one can have become frequent, so no others are
+    counted again. Pairs across documents (``ends`` marks last ids) are left alone, so every
+    document begins at a symbol.
     """
     sequence, ends = ids.astype(np.int64), ends.copy()
     terminals = int(sequence.max(initial=0)) + 1
     total, rounds, rules = terminals, [], [np.zeros((0, 2), dtype=np.int64)]
-    for _ in range(ROUNDS):
-        if len(sequence) < 2:
+    at = np.flatnonzero(~ends[:-1])
+    while len(at):
+        pair = (sequence[at] << 32) | sequence[at + 1]
+        chosen = _frequent(pair)
+        if not len(chosen):
             break
-        pair = (sequence[:-1] << 32) | sequence[1:]
-        inside = ~ends[:-1]
-        ordered = np.sort(pair[inside])
-        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, dtype=np.int64)
-        count = np.diff(np.append(first, len(ordered)))
-        often = np.flatnonzero(count >= LEAST)
-        if not len(often):
-            break
-        often = often[np.argsort(-count[often], kind="stable")[:RULES]]
-        chosen = np.sort(ordered[first[often]])
-        # Slots of a small table find a pair's rule; of pairs in one slot, one gets a rule.
-        slot = _slot(chosen)
-        table = np.full(1 << 20, -1, dtype=np.int64)
-        table[slot] = np.arange(len(chosen))
-        rule = table[_slot(pair)]
-        hit = inside & (rule >= 0)
+        # Slots of a table find a pair's rule; of pairs in one slot, one gets a rule, and all
+        # others there are counted again.
+        bits = min(20, len(chosen).bit_length() + 5)
+        table = np.full(1 << bits, -1, dtype=np.int32)
+        table[_slot(chosen, bits)] = np.arange(len(chosen), dtype=np.int32)
+        rule = table[_slot(pair, bits)]
+        hit = rule >= 0
         hit[hit] = chosen[rule[hit]] == pair[hit]
+        place = at[hit]
+        begins = np.zeros(len(sequence), dtype=bool)
+        begins[at[(rule >= 0) & ~hit]] = True
         # Of overlapping hits every other one counts, from the left.
-        at = np.flatnonzero(hit)
-        if not len(at):
-            break
-        opens = np.append(True, np.diff(at) != 1)
-        begin = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - begin) % 2 == 0]
-        sequence[at] = total + rule[at]
-        ends[at] = ends[at + 1]
+        opens = np.append(True, np.diff(place) != 1)
+        start = np.maximum.accumulate(np.where(opens, np.arange(len(place)), 0))
+        used = (np.arange(len(place)) - start) % 2 == 0
+        place = place[used]
+        sequence[place] = total + rule[hit][used]
+        ends[place] = ends[place + 1]
+        fresh = np.zeros(len(sequence), dtype=bool)
+        fresh[place] = True
         left = np.ones(len(sequence), dtype=bool)
-        left[at + 1] = False
-        sequence, ends = sequence[left], ends[left]
+        left[place + 1] = False
+        sequence, ends, fresh, begins = sequence[left], ends[left], fresh[left], begins[left]
+        begins |= fresh
+        begins[:-1] |= fresh[1:]
+        at = np.flatnonzero(begins[:-1] & ~ends[:-1])
         rounds.append(total)
         rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
         total += len(chosen)
     rules = np.concatenate(rules)
     lengths = np.ones(total, dtype=np.int64)
-    for k, begin in enumerate(rounds):
-        to = rounds[k + 1] if k + 1 < len(rounds) else total
-        own = rules[begin - terminals : to - terminals]
-        lengths[begin:to] = lengths[own[:, 0]] + lengths[own[:, 1]]
+    for begin, own in _by_round(terminals, rounds, rules):
+        lengths[begin : begin + len(own)] = lengths[own].sum(axis=1)
     return terminals, np.array(rounds, dtype=np.int64), rules, lengths[terminals:], sequence
 
 
-def _slot(pair: np.ndarray) -> np.ndarray:
-    return ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+def _frequent(pair: np.ndarray) -> np.ndarray:
+    """The distinct pairs that occur ``LEAST`` times or more, ascending."""
+    ordered = np.sort(pair)
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    return ordered[first[np.diff(np.append(first, len(ordered))) >= LEAST]]
+
+
+def _slot(pair: np.ndarray, bits: int) -> np.ndarray:
+    return ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _by_round(terminals: int, rounds, rules: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The first symbol and the rules of each round."""
+    for begin, to in zip(rounds, [*rounds[1:], terminals + len(rules)]):
+        yield int(begin), rules[begin - terminals : to - terminals]
 
 
 def expand(terminals: int, rounds: np.ndarray, rules: np.ndarray, sequence: np.ndarray) -> np.ndarray:
@@ -99,12 +112,38 @@ def expand(terminals: int, rounds: np.ndarray, rules: np.ndarray, sequence: np.n
     return sequence
 
 
+def expand_all(terminals: int, rounds: np.ndarray, rules: np.ndarray, lengths: np.ndarray, sequence: np.ndarray) -> np.ndarray:
+    """The ids of a whole sequence, from a table of what every symbol stands for.
+
+    ``lengths`` are those of the rules. As each rule's pair occurred several times in the shard,
+    the table is a few times as long as the shard's ids at most, however deep the rules go.
+    """
+    lengths = np.concatenate([np.ones(terminals, dtype=np.int64), lengths])
+    starts = np.cumsum(lengths) - lengths
+    table = np.empty(int(lengths.sum()), dtype=np.int64)
+    table[:terminals] = np.arange(terminals)
+
+    def spelled(symbols: np.ndarray) -> np.ndarray:
+        size = lengths[symbols]
+        shift = starts[symbols] - (np.cumsum(size) - size)
+        return table[np.arange(int(size.sum())) + np.repeat(shift, size)]
+
+    for begin, own in _by_round(terminals, rounds, rules):
+        ids = spelled(own.ravel())
+        table[starts[begin] : starts[begin] + len(ids)] = ids
+    return spelled(sequence)
+
+
+def _grammar(shard: dict) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``compress`` returned, from a shard's row."""
+    rules, lengths, sequence = (np.frombuffer(shard[c], dtype="<i4").astype(np.int64) for c in ("rules", "lengths", "sequence"))
+    return shard["terminals"], np.frombuffer(shard["rounds"], dtype="<i8"), rules.reshape(-1, 2), lengths, sequence
+
+
 def read_range(shard: dict, start: int, n: int) -> np.ndarray:
     """Ids ``start`` to ``start + n`` of a shard, expanding only the symbols that hold them."""
-    terminals = shard["terminals"]
-    rounds, sequence = np.frombuffer(shard["rounds"], dtype="<i8"), np.frombuffer(shard["sequence"], dtype="<i4").astype(np.int64)
-    rules = np.frombuffer(shard["rules"], dtype="<i4").reshape(-1, 2).astype(np.int64)
-    lengths = np.concatenate([np.ones(terminals, dtype=np.int64), np.frombuffer(shard["lengths"], dtype="<i4")])
+    terminals, rounds, rules, lengths, sequence = _grammar(shard)
+    lengths = np.concatenate([np.ones(terminals, dtype=np.int64), lengths])
     begins = np.cumsum(lengths[sequence]) - lengths[sequence]
     n = max(0, min(n, shard["n_ids"] - start))
     if not n:
@@ -182,7 +221,7 @@ def read_documents(spark, path: str) -> DataFrame:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
                 lengths = np.frombuffer(row["doc_lengths"], dtype="<i8")
-                raw = read_range(row, 0, row["n_ids"]).astype("<u4").tobytes()
+                raw = expand_all(*_grammar(row)).astype("<u4").tobytes()
                 ends = np.cumsum(lengths)
                 crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
                 columns = [np.full(len(ends), row["part"]), np.full(len(ends), row["shard"]), pa.array(row["doc_ids"], pa.int64()), ends - lengths, lengths, np.array(crc, dtype=np.int64)]
