@@ -12,18 +12,16 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
 
-#: Pieces and characters held per worker; as many again may wait in the older half of the cache.
+#: Runs and characters held per worker; as many again may wait in the older half of the cache.
 CACHE, CACHE_CHARS = 600_000, 1 << 24
 #: Characters of text cut at a time.
 RUN_CHARS = 1 << 20
 
-#: A word before white space, the end or ASCII punctuation other than an apostrophe; else a run
-#: without white space.
-PIECES = re.compile(r"[^\W\d_]+(?=[\s!-&(-/:-@\[-`{-~]|$)|\S+")
 #: Texts with these are left to the library: marks of special tokens, a letter whose lower case
 #: ends in a combining mark, control characters that are white space to Python only, and (for
 #: words) letters that the library composes or takes apart, as a mark may then end a word.
@@ -38,6 +36,11 @@ _LATIN = re.compile(r"[\x00-ɏ]*")
 # The pieces that the byte-level format merges by themselves, and its word end.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_END = "</w>"
+WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-zÀ-ÖØ-öø-ɏ0-9]+"
+
+#: Runs that hold nothing but ASCII and Latin letters, for which the pattern above is that of the file.
+_PLAIN = re.compile(r"[!-@\[-~À-ÖØ-öø-ɏ]+")
+_WORDS = re.compile(WORD_LEVEL)
 
 
 def _bytes_shown() -> dict[str, int]:
@@ -114,12 +117,11 @@ class ByteEncoder(_Library):
 
 
 class WordEncoder(_Library):
-    """Lower-cased words with word ends, and a cache over pieces of text.
+    """Lower-cased words with word ends, and a cache over runs without white space.
 
-    The tokenizer cuts a text into pieces, encodes each by itself, and cuts between a letter
-    and white space or punctuation (an apostrophe apart). So a text may be encoded piece by
-    piece at such places with the same ids, and a piece seen before costs one look-up. New
-    pieces of the letters a to z are merged together; their ids part after each word end.
+    White space is dropped and each run is encoded by itself, so a run seen before costs one
+    look-up. New runs of plain letters, digits and marks are cut into words and merged in one
+    go; each word's ids stop at its word end.
     """
 
     def __init__(self, path: str):
@@ -133,25 +135,27 @@ class WordEncoder(_Library):
         self.old: dict[str, bytes] = {}
         self.chars = 0
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        ids = self.merges.encode_to_numpy(" ".join(words) + " ").astype("<u4")
-        ends = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()
+    def _plain(self, runs: list[str]) -> list[bytes]:
+        cut = [_WORDS.findall(run) for run in runs]
+        ids = self.merges.encode_to_numpy(" ".join(chain.from_iterable(cut)) + " ").astype("<u4")
+        last = np.cumsum(np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))) - 1
+        ends = (4 * (np.flatnonzero(self.is_end[ids])[last] + 1)).tolist()
         raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        words, others = [], []
-        for piece in pieces.difference(self.new):
-            self.chars += len(piece)
-            ids = self.old.get(piece)
+    def _learn(self, runs: set[str]) -> None:
+        plain, others = [], []
+        for run in runs.difference(self.new):
+            self.chars += len(run)
+            ids = self.old.get(run)
             if ids is not None:
-                self.new[piece] = ids
-            elif self.merges and piece.isascii() and piece.isalpha() and piece.islower():
-                words.append(piece)
+                self.new[run] = ids
+            elif self.merges and _PLAIN.fullmatch(run) and run == run.lower():
+                plain.append(run)
             else:
-                others.append(piece)
-        if words:
-            self.new.update(zip(words, self._words(words), strict=True))
+                others.append(run)
+        if plain:
+            self.new.update(zip(plain, self._plain(plain)))
         self.new.update(zip(others, self._ids(others)))
 
     def encode(self, texts: list[str | None], end: bytes) -> Iterator[bytes]:
@@ -169,13 +173,13 @@ class WordEncoder(_Library):
                     cut.append(None)
                 else:
                     # Lower-casing Latin texts here saves look-ups.
-                    cut.append(PIECES.findall(text.lower() if _LATIN.fullmatch(text) else text))
+                    cut.append((text.lower() if _LATIN.fullmatch(text) else text).split())
             if len(self.new) > CACHE or self.chars > CACHE_CHARS:
                 self.old, self.new, self.chars = self.new, {}, 0
             self._learn(set().union(*filter(None, cut)))
             known = self.new.__getitem__
-            for text, pieces in zip(texts[at:to], cut):
-                ids = self._ids([text])[0] if pieces is None else b"".join(map(known, pieces))
+            for text, runs in zip(texts[at:to], cut):
+                ids = self._ids([text])[0] if runs is None else b"".join(map(known, runs))
                 yield ids + end
             at = to
 

@@ -155,6 +155,7 @@ def test_grammar_round_trip_and_random_access(docs):
         return
     terminals, rounds, rules, lengths, sequence = grammar_store.compress(ids, ends)
     assert grammar_store.expand(terminals, rounds, rules, sequence).tolist() == ids.tolist()
+    assert grammar_store.expand_all(terminals, rounds, rules, lengths, sequence).tolist() == ids.tolist()
     shard = {
         "terminals": terminals, "n_ids": len(ids), "rounds": rounds.astype("<i8").tobytes(),
         "rules": rules.astype("<i4").tobytes(), "lengths": lengths.astype("<i4").tobytes(),
@@ -173,6 +174,21 @@ def test_grammar_shrinks_repetition_and_keeps_documents_apart():
     assert lengths[sequence[0] - terminals] == 4
 
 
+def test_grammar_goes_on_until_no_pair_pays():
+    """Copies shrink to a symbol each, however long they are; what is left holds no frequent pair."""
+    rng = np.random.default_rng(2)
+    ids = np.append(np.tile(rng.integers(2, 40_000, 1000), 200), rng.integers(2, 300, 20_000)).astype("<u4")
+    ends = np.arange(1, len(ids) + 1) % 1000 == 0
+    terminals, rounds, rules, lengths, sequence = grammar_store.compress(ids, ends)
+    assert len(set(sequence[:200].tolist())) == 1 and lengths.max() == 1000
+    last = np.flatnonzero(np.cumsum(np.append(1, lengths)[np.maximum(sequence - terminals + 1, 0)]) % 1000 == 0)
+    inside = np.setdiff1d(np.arange(len(sequence) - 1), last)
+    pairs = np.unique(np.stack([sequence[inside], sequence[inside + 1]]), axis=1, return_counts=True)[1]
+    # A pair of one symbol may overlap itself and count more often than it can be replaced.
+    assert pairs.max() < grammar_store.LEAST
+    assert grammar_store.expand_all(terminals, rounds, rules, lengths, sequence).tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3)])
 def test_hilbert_keys_visit_neighbours(dimensions, bits):
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions), axis=-1).reshape(-1, dimensions)
