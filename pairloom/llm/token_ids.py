@@ -12,7 +12,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -36,11 +35,11 @@ _LATIN = re.compile(r"[\x00-ɏ]*")
 # The pieces that the byte-level format merges by themselves, and its word end.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_END = "</w>"
-WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-zÀ-ÖØ-öø-ɏ0-9]+"
+WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-zÀ-ÖØ-öø-ɏ0-9\n]+"
 
-#: Runs that hold nothing but ASCII and Latin letters, for which the pattern above is that of the file.
-_PLAIN = re.compile(r"[!-@\[-~À-ÖØ-öø-ɏ]+")
-_WORDS = re.compile(WORD_LEVEL)
+#: The pattern above is that of the file for runs without these; one run per line.
+_ODD = re.compile(r"[^!-@\[-~À-ÖØ-öø-ɏ\n]")
+_WORDS = re.compile(WORD_LEVEL + r"|\n")
 
 
 def _bytes_shown() -> dict[str, int]:
@@ -126,36 +125,37 @@ class WordEncoder(_Library):
 
     def __init__(self, path: str):
         super().__init__(path)
-        vocab = self.made["model"]["vocab"]
         plain = self.made["model"]["end_of_word_suffix"] == WORD_END
         self.merges = self._merges("[^ ]+ ") if plain else None
-        self.is_end = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.is_end[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+        #: A line's end between runs is merged with its word end, as no other word is.
+        self.line = self.merges and self.merges.encode_single_token(b"\n ")
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.chars = 0
 
     def _plain(self, runs: list[str]) -> list[bytes]:
-        cut = [_WORDS.findall(run) for run in runs]
-        ids = self.merges.encode_to_numpy(" ".join(chain.from_iterable(cut)) + " ").astype("<u4")
-        last = np.cumsum(np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))) - 1
-        ends = (4 * (np.flatnonzero(self.is_end[ids])[last] + 1)).tolist()
+        words = " ".join(_WORDS.findall("\n".join(runs)))
+        ids = self.merges.encode_to_numpy(words + " \n ").astype("<u4")
+        breaks = 4 * np.flatnonzero(ids == self.line)
         raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+        return [raw[a:b] for a, b in zip([0, *(breaks + 4).tolist()], breaks.tolist())]
 
     def _learn(self, runs: set[str]) -> None:
-        plain, others = [], []
-        for run in runs.difference(self.new):
-            self.chars += len(run)
-            ids = self.old.get(run)
-            if ids is not None:
-                self.new[run] = ids
-            elif self.merges and _PLAIN.fullmatch(run) and run == run.lower():
-                plain.append(run)
-            else:
-                others.append(run)
+        runs = runs.difference(self.new)
+        if self.old:
+            known = {run: self.old[run] for run in runs.intersection(self.old)}
+            self.new.update(known)
+            runs = runs.difference(known)
+        plain, others = list(runs), []
+        lines = "\n".join(plain)
+        self.chars += len(lines)
+        if self.merges is None:
+            plain, others = [], plain
+        elif _ODD.search(lines) or lines != lines.lower():
+            others = [run for run in plain if _ODD.search(run) or run != run.lower()]
+            plain = list(runs.difference(others))
         if plain:
-            self.new.update(zip(plain, self._plain(plain)))
+            self.new.update(zip(plain, self._plain(plain), strict=True))
         self.new.update(zip(others, self._ids(others)))
 
     def encode(self, texts: list[str | None], end: bytes) -> Iterator[bytes]:
