@@ -159,7 +159,9 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
 
     One row per shard: its documents and their lengths, the grammar's rules with the length
     each expands to, and the compressed sequence. Each document ends with id 1; a null text is
-    that id alone. Repeated and null ids are kept (null first), ties ordered by text. Texts are
+    that id alone. Repeated and null ids are kept (null first), ties ordered by text. Ids are
+    cast to long: a text that is no number fails the job (with ANSI mode off it becomes null).
+    An empty table gives no shards; other columns are ignored. Texts are
     range-partitioned by id and encoded after that; a task holds one shard.
     """
 
