@@ -18,8 +18,9 @@ from pairloom.llm.token_ids import word_bpe
 END = 1
 #: Ids per shard; a shard holds whole documents, so one may be longer by its last document.
 SHARD_IDS = 1 << 20
-#: A rule holds three numbers and saves one wherever its pair stands, so it pays from here on.
-LEAST = 4
+#: A rule holds three numbers and saves one wherever its pair is replaced. Neighbouring rules take
+#: some of these places, so a pair is taken to pay from here on.
+LEAST = 6
 
 _SHARD = (
     "part long, shard long, n_ids long, doc_ids array<long>, doc_lengths binary, "
