@@ -32,6 +32,8 @@ BAND_PERCENT = 140
 LARGE = 16
 #: Classes of one group in a tile of sketch comparisons.
 TILE = 2048
+#: Groups, the largest first, by which a class's pairs are told to have met before.
+EARLIER = 8
 #: Keys in one bucket of the key shuffle, on average.
 BUCKET_KEYS = 1 << 20
 #: Sets compared with a hub in one task's run.
@@ -222,10 +224,11 @@ def _large(raw: bytes) -> np.ndarray:
 def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """``(meeting, cid, n)``: classes that share ``n`` keys.
 
-    Equal groups of classes are one meeting. Similar classes share at least one key more than
-    either may do without, so each class leaves out that many of its most crowded keys, as the
-    prefix filter of set joins does: by crowd and key, the rarest key that two such classes
-    share stays with both. This frees groups that only a common passage holds together.
+    Equal groups of classes are one meeting. Similar classes share at least one key of a band more
+    than either may do without, so each class leaves out that many of its most crowded keys, as
+    the prefix filter of set joins does: by crowd and group, the rarest key that two such classes
+    share stays with both. This frees groups that only a common passage holds together, and
+    classes that share too few keys with all others meet none of them.
     """
 
     def flush(held: list[dict]) -> pa.RecordBatch | None:
@@ -246,7 +249,8 @@ def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
         # A small group's code depends on its members alone, so equal groups are one meeting.
         code = mix(np.add.reduceat(mix(cids.view(np.uint64) + np.uint64(7)), begins) + sizes.astype(np.uint64))
         code = np.where(sizes > LARGE, keys[begins], code)
-        _, first, count = np.unique(code, return_index=True, return_counts=True)
+        own = mix(code ^ mix((tags[begins] >> 16).astype(np.uint64)))  # counted for each band
+        _, first, count = np.unique(own, return_index=True, return_counts=True)
         times = np.zeros(len(sizes), dtype=np.int64)
         times[first] = count
         at = np.repeat(times > 0, sizes)
@@ -268,19 +272,11 @@ def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
 
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     found = keep(map_batches(dealt, run, "meeting long, cid long, n long, crowd long, tag long"), "meetings", "zstd")
-    small = found.where(f"crowd <= {LARGE}").select("meeting", "cid", "n")
     band, spare = F.shiftright("tag", 16), F.col("tag").bitwiseAND(65535)
+    # A small group may come from several buckets: the sum to a group holds all keys of it.
     crowded = Window.partitionBy("cid", "band").orderBy(F.desc("crowd"), "meeting")
-    large = (
-        found.where(f"crowd > {LARGE}")
-        .withColumns({"band": band, "spare": spare})
-        .withColumn("place", F.row_number().over(crowded))
-        .where("place > spare")
-        .select("meeting", "cid", "n")
-    )
-    # The same small group may come from several buckets.
-    small = small.groupBy("meeting", "cid").agg(F.sum("n").alias("n"))
-    return small.union(large), found
+    held = found.withColumn("band", band).withColumn("keys", F.sum("n").over(crowded)).where(F.col("keys") > spare)
+    return held.groupBy("meeting", "cid").agg(F.sum("n").alias("n")), found
 
 
 def _packed_texts(docs: DataFrame, classes: DataFrame, cids: DataFrame, words: int) -> DataFrame:
@@ -414,12 +410,14 @@ def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _open(meetings: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(meeting, cid, component)`` of groups whose classes are not all in one component."""
+    """``(meeting, cid, component, crowd)`` of groups whose classes are not all in one component."""
     rows = meetings.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
         "meeting", "cid", F.coalesce("component", "cid").alias("component")
     )
-    mixed = rows.groupBy("meeting").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return rows.join(mixed.where("low != high").select("meeting"), "meeting", "left_semi")
+    mixed = rows.groupBy("meeting").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("crowd")
+    )
+    return rows.join(mixed.where("low != high").select("meeting", "crowd"), "meeting")
 
 
 def _nearest(open_rows: DataFrame, classes: DataFrame, percent: int, most: int) -> DataFrame:
@@ -428,20 +426,42 @@ def _nearest(open_rows: DataFrame, classes: DataFrame, percent: int, most: int)
     Classes of one group are compared by their sizes and sketches: pairs whose sketches differ in
     more bits than similar sets can differ in shingles are none. Of the rest, a class has its ``most``
     nearest ones, and ``left`` is true in a row (``other`` null) where it has more. So what is
-    written grows with the classes and not with the pairs of a group. A group is dealt to blocks
-    of about ``TILE`` classes, and each pair of blocks is one tile, so no task holds a group.
+    written grows with the classes and not with the pairs of a group.
+    """
+    # The same pair may come from several groups.
+    once = _tile_pairs(open_rows, classes, percent, most).groupBy("cid", "other").agg(F.min("apart").alias("apart"))
+    place = F.row_number().over(Window.partitionBy("cid").orderBy("apart", "other"))
+    ranked = once.withColumn("place", place).where(F.col("place") <= most + 1)
+    beyond = F.col("place") > most
+    return ranked.select("cid", F.when(~beyond, F.col("other")).alias("other"), beyond.alias("left"))
+
+
+def _tile_pairs(open_rows: DataFrame, classes: DataFrame, percent: int, most: int) -> DataFrame:
+    """``(cid, other, apart)``: the ``most`` nearest classes and one more, of each class in a tile.
+
+    A group is dealt to blocks of about ``TILE`` classes, and each pair of blocks is one tile, so
+    no task holds a group.
+
+    Near copies meet in many groups. Each class knows its ``EARLIER`` largest ones, and a pair with
+    one of these in common that is larger than the group at hand is left to that one.
     """
-    blocks = open_rows.groupBy("meeting").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks"))
     sketches = classes.select("cid", "n", "sketch").dropDuplicates(["cid"])
     block, other = F.col("block"), F.col("other")
+    rank = F.struct((-F.col("crowd")).alias("size"), "meeting")
+    largest = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("crowd"), "meeting"))
+    firsts = open_rows.withColumn("place", largest).where(F.col("place") <= EARLIER)
+    firsts = firsts.groupBy("cid").agg(F.collect_list(rank).alias("firsts"))
+    before = F.filter("firsts", lambda x: x < F.struct((-F.col("crowd")).alias("size"), "meeting"))
     rows = (
-        open_rows.join(blocks, "meeting")
+        open_rows.join(firsts, "cid")
+        .withColumn("before", F.transform(before, lambda x: x["meeting"]))
+        .withColumn("blocks", F.ceil(F.col("crowd") / TILE))
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .join(sketches, "cid")
         .select(
             "meeting", F.least(block, other).alias("left"), F.greatest(block, other).alias("right"),
-            (block <= other).alias("rows"), (block >= other).alias("columns"), "cid", "component", "n", "sketch",
+            (block <= other).alias("rows"), (block >= other).alias("columns"), "cid", "component", "n", "sketch", "before",
         )
     )
     order = ["meeting", "left", "right", "cid"]
@@ -458,6 +478,7 @@ def _nearest(open_rows: DataFrame, classes: DataFrame, percent: int, most: int)
             return np.concatenate([b.column(name).to_numpy(zero_copy_only=False)[i:j] for b, i, j in held])
 
         cid, component, n, over, under = (whole(c) for c in ("cid", "component", "n", "rows", "columns"))
+        before = _padded(pa.concat_arrays([b.column("before").slice(i, j - i) for b, i, j in held]))
         raw = [v.as_py() for b, i, j in held for v in b.column("sketch")[i:j]]
         width = np.fromiter((len(v) // 8 for v in raw), dtype=np.int64, count=len(raw))
         members = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
@@ -476,6 +497,9 @@ def _nearest(open_rows: DataFrame, classes: DataFrame, percent: int, most: int)
                     fit = (apart <= (a + b) * share.numerator // share.denominator) & (component[part][:, None] != component[columns][None, :])
                     fit &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
                     fit &= (over[part][:, None] & under[columns][None, :]) | (under[part][:, None] & over[columns][None, :])
+                    row, column = np.nonzero(fit)
+                    mine, its = before[part[row]][:, :, None], before[columns[column]][:, None, :]
+                    fit[row, column] = ~((mine == its) & (mine >= 0)).any(axis=(1, 2))
                     fits.append(fit)
                     aparts.append(apart)
                     others.append(cid[columns])
@@ -505,16 +529,19 @@ def _nearest(open_rows: DataFrame, classes: DataFrame, percent: int, most: int)
         if held:
             yield _distances([tile(held)], most)
 
-    found = map_batches(
-        dealt.select("meeting", "left", "right", "rows", "columns", "cid", "component", "n", "sketch"), run,
+    return map_batches(
+        dealt.select("meeting", "left", "right", "rows", "columns", "cid", "component", "n", "sketch", "before"), run,
         "cid long, other long, apart long",
     )
-    # The same pair comes from every group that holds both.
-    once = found.groupBy("cid", "other").agg(F.min("apart").alias("apart"))
-    place = F.row_number().over(Window.partitionBy("cid").orderBy("apart", "other"))
-    ranked = once.withColumn("place", place).where(F.col("place") <= most + 1)
-    beyond = F.col("place") > most
-    return ranked.select("cid", F.when(~beyond, F.col("other")).alias("other"), beyond.alias("left"))
+
+
+def _padded(lists: pa.ListArray) -> np.ndarray:
+    """Lists of up to ``EARLIER`` values as rows of one array: a small number for each value, -1 beyond the end."""
+    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.full((len(lists), EARLIER), -1, dtype=np.int32)
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(np.arange(len(lists)), size), place] = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+    return out
 
 
 def _distances(found: list[np.ndarray], most: int) -> pa.RecordBatch:

@@ -424,6 +424,33 @@ def test_near_copies_without_id_link_as_hub_member_and_bridge(documents):
     assert len(groups_of) < len(rows)
 
 
+def test_a_common_passage_makes_no_meeting(documents):
+    """Texts that share a tenth of their words have fewer common keys than similar ones must have."""
+    rng = np.random.default_rng(4)
+    passage = [f"p{i}" for i in range(20)]
+    rows = [(i, " ".join([*passage, *(f"w{i}x{k}" for k in rng.integers(0, 10**6, 180))])) for i in range(12)]
+    copy = [(90 + k, " ".join([*passage, *(f"c{j}" for j in range(180)), *["end"] * k])) for k in (1, 2)]
+    met, _ = jaccard_join._meetings(jaccard_join._key_rows(documents(rows + copy), 5, 80, 1), 1)
+    assert met.select("cid").distinct().count() == 2
+
+
+def test_a_pair_of_many_groups_comes_from_one(spark):
+    """Ten near copies that meet in thirty groups, of which some hold a few others each."""
+    rng = np.random.default_rng(5)
+    words = rng.integers(1, 2**62, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate([words[k:], rng.integers(1, 2**62, k).astype(np.uint64)])) for k in range(16)]
+    classes = spark.createDataFrame(
+        [(i, len(s), bytearray(jaccard_join.parity_sketch(s).tobytes())) for i, s in enumerate(sets)], "cid long, n long, sketch binary"
+    )
+    groups = [[*range(10), *(10 + k % 6 for k in range(m % 4))] for m in range(30)]
+    rows = [(m, i) for m, g in enumerate(groups) for i in sorted(set(g))]
+    open_rows = jaccard_join._open(spark.createDataFrame(rows, "meeting long, cid long"), spark.createDataFrame([], "node long, component long"))
+    pairs = [(r.cid, r.other) for r in jaccard_join._tile_pairs(open_rows, classes, 80, 20).collect()]
+    assert len(pairs) == len(set(pairs))
+    met = {(a, b) for g in groups for a in g for b in g if a != b}
+    assert set(pairs) == met
+
+
 def test_sketch_keys_meet_for_every_similar_pair():
     rng = np.random.default_rng(8)
     for n in [*range(6, 60), 150, 700]:
