@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from py4j.java_gateway import JavaObject
@@ -18,6 +19,9 @@ PAIR_SCHEMA = StructType(
     [StructField("prompt", StringType()), StructField("response", StringType())]
 )
 
+#: Bytes that one task copies at a time into a file that many tasks fill.
+PIECE_BYTES = 64 << 20
+
 
 def write_jsonl(df: DataFrame, directory: str) -> None:
     """Write one JSON object per line, in parallel, replacing ``directory``.
@@ -75,9 +79,10 @@ def export_single_jsonl(df: DataFrame, path: str) -> None:
 
     All executors write part files to a scratch folder beside ``path``. Where the file
     system can join files (HDFS), the parts become one file by a metadata change and
-    no row moves again. Elsewhere one task streams the finished parts, line by line and
-    whatever their size, into one file; :func:`write_jsonl` is the parallel form. The file
-    appears under its name only when complete.
+    no row moves again. On a mounted file system (``file:``), which all executors must see, many
+    tasks copy pieces of the parts to their places in one file. Elsewhere one task streams the
+    finished parts, line by line and whatever their size, into one file; :func:`write_jsonl` is
+    the parallel form. The file appears under its name only when complete.
     """
     spark = df.sparkSession
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -92,13 +97,15 @@ def export_single_jsonl(df: DataFrame, path: str) -> None:
         if len(parts) > 1:
             # A raw local file system claims the capability but drops the first file.
             joins = fs.hasPathCapability(scratch, "fs.capability.paths.concat")
-            if joins and fs.getScheme() != "file":
+            if fs.getScheme() == "file":
+                parts = _copy_pieces(spark, fs, scratch, parts)
+            elif joins:
                 parts = _join_files(spark, fs, parts)
             else:
                 parts = _copy_to_one(spark, fs, scratch)
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file in {scratch}, found {len(parts)}")
-        _replace(spark, conf, parts[0], target)
+        _replace(spark, fs, conf, parts[0], target)
     finally:
         fs.delete(scratch, True)
 
@@ -140,6 +147,47 @@ def _join_files(spark: SparkSession, fs: JavaObject, parts: list[JavaObject]) ->
     return parts[:1]
 
 
+def _pieces(sizes: list[int]) -> list[tuple[int, int, int, int]]:
+    """``(part, from, to, length)``: runs of at most ``PIECE_BYTES``, the parts one after another."""
+    out, base = [], 0
+    for part, size in enumerate(sizes):
+        out += [(part, at, base + at, min(PIECE_BYTES, size - at)) for at in range(0, size, PIECE_BYTES)]
+        base += size
+    return out
+
+
+def _copy_pieces(spark: SparkSession, fs: JavaObject, scratch: JavaObject, parts: list[JavaObject]) -> list[JavaObject]:
+    """The parts joined in one file, whose pieces are written by a task each.
+
+    A task that is run again writes the same bytes to the same place. A task that does not see
+    the parts fails, and so does the export if the file is not as long as all parts together.
+    """
+    merged = spark._jvm.org.apache.hadoop.fs.Path(scratch, "_one")
+    target = merged.toUri().getPath()
+    names = [part.toUri().getPath() for part in parts]
+    sizes = [fs.getFileStatus(part).getLen() for part in parts]
+    jobs = [(names[part], *rest) for part, *rest in _pieces(sizes)]
+
+    def copy(job: tuple[str, int, int, int]) -> int:
+        name, at, to, left = job
+        written = 0
+        with open(name, "rb") as source, open(os.open(target, os.O_WRONLY | os.O_CREAT, 0o644), "wb") as out:
+            source.seek(at)
+            out.seek(to)
+            while left and (data := source.read(min(left, 1 << 20))):
+                out.write(data)
+                left -= len(data)
+                written += len(data)
+            out.flush()
+            os.fsync(out.fileno())
+        return written
+
+    written = spark.sparkContext.parallelize(jobs, len(jobs)).map(copy).sum()
+    if written != sum(sizes) or fs.getFileStatus(merged).getLen() != written:
+        raise RuntimeError(f"joining {len(parts)} part files lost data")
+    return [merged]
+
+
 def _copy_to_one(spark: SparkSession, fs: JavaObject, scratch: JavaObject) -> list[JavaObject]:
     merged = f"{scratch}/_one"
     lines = spark.read.option("lineSep", "\n").text(str(scratch))
@@ -147,7 +195,10 @@ def _copy_to_one(spark: SparkSession, fs: JavaObject, scratch: JavaObject) -> li
     return _part_files(fs, spark._jvm.org.apache.hadoop.fs.Path(merged))
 
 
-def _replace(spark: SparkSession, conf: JavaObject, source: JavaObject, target: JavaObject) -> None:
+def _replace(spark: SparkSession, fs: JavaObject, conf: JavaObject, source: JavaObject, target: JavaObject) -> None:
+    if fs.getScheme() == "file":
+        # The sums of a file that is replaced do not go with it when the new one has none.
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.crc"), False)
     rename = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename")
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE

@@ -97,6 +97,23 @@ def test_one_file_of_many_parts(spark, tmp_path):
     assert sorted(r["id"] for r in lines(tmp_path / "big.jsonl")) == list(range(50_000))
 
 
+def test_one_file_is_filled_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No task copies more than a piece, and a file that is replaced leaves no sums of its own."""
+
+    def one_task(*_):
+        raise AssertionError("one task copies everything")
+
+    monkeypatch.setattr(jsonl, "_copy_to_one", one_task)
+    monkeypatch.setattr(jsonl, "PIECE_BYTES", 1000)
+    target = tmp_path / "big.jsonl"
+    jsonl.export_single_jsonl(spark.range(10).coalesce(1), str(target))
+    df = spark.range(0, 3000, 1, 7).select("id", F.repeat(F.lit("é"), 30).alias("response"))
+    jsonl.export_single_jsonl(df, str(target))
+    assert [r["id"] for r in lines(target)] == list(range(3000))
+    assert sorted(r.id for r in spark.read.json(str(target)).collect()) == list(range(3000))
+    assert jsonl._pieces([2500, 0, 10]) == [(0, 0, 0, 1000), (0, 1000, 1000, 1000), (0, 2000, 2000, 500), (2, 0, 2500, 10)]
+
+
 def test_a_second_call_leaves_the_first_result(spark):
     """Queries that write do so under names of their own."""
     from pairloom.plans import generation, scoring, storage
