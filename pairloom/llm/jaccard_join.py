@@ -370,13 +370,15 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     shared = meetings.join(hubs, "meeting").where("cid != hub").groupBy("cid", "hub").agg(F.sum("n").alias("n"))
     first = keep(shared.groupBy("cid").agg(F.min_by("hub", F.struct(-F.col("n"), "hub")).alias("hub")), "pairs")
     texts = keep(_packed_texts(docs, classes, meetings.select("cid").distinct(), words), "texts")
+    met = classes.join(meetings.select("cid").distinct(), "cid", "left_semi").select("cid", "n", "sketch")
+    sketches = keep(met.dropDuplicates(["cid"]), "sketches")
     edges = keep(_verified(texts, first, words, percent), "links")
     release(spark)
     labels = keep(components(edges), "labels")
     tried, nearest, rows = first, 1, meetings
     while True:
         open_rows = keep(_open(rows, labels), "open")
-        near = keep(_nearest(open_rows, classes, percent, nearest), "near")
+        near = keep(_nearest(open_rows, sketches, percent, nearest), "near")
         pairs = near.where("other IS NOT NULL").select(
             F.greatest("cid", "other").alias("cid"), F.least("cid", "other").alias("hub")
         ).distinct()
@@ -393,7 +395,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         rows = keep(rows.select("meeting", "cid"), "rows")
         remove(spark, open_rows, near)
         nearest *= 4
-    remove(spark, meetings, texts)
+    remove(spark, meetings, texts, sketches)
     return _labelled(classes, labels)
 
 
@@ -574,5 +576,7 @@ def keep_representatives(docs: DataFrame, words: int = WORDS, percent: int = PER
     Rows without words or without an id stay, and so do all rows that share the smallest id.
     """
     found = keep(similar_components(docs, words, percent), "components")
-    kept = found.where("n_shingles = 0 OR doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    stays = F.coalesce(F.expr("n_shingles = 0 OR doc_id IS NULL OR doc_id = component_id"), F.lit(False))
+    # Fewer ids go than stay, and these move.
+    gone = found.groupBy("doc_id").agg(F.max(stays).alias("stays")).where("NOT stays").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
