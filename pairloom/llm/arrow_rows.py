@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,16 +18,21 @@ from pairloom.llm.text_words import groups
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+def worker_path(spark: SparkSession) -> None:
+    """Let workers of functions made from now on import this package."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
+
+
 def map_batches(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
     """``df.mapInArrow``, by workers that can import this package.
 
     Functions go to the workers by name, so a worker loads tables and caches once and keeps
     them for all its tasks.
     """
-    environment = df.sparkSession.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
+    worker_path(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

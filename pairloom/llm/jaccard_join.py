@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from pairloom.llm.arrow_rows import map_batches
 from pairloom.llm.components import components
+from pairloom.llm.key_filter import may_be_in
 from pairloom.llm.scratch import keep, release, remove
 from pairloom.llm.text_words import SPACED_LOWER, groups, mix, ngrams, words_of
 
@@ -34,8 +35,10 @@ LARGE = 16
 TILE = 2048
 #: Groups, the largest first, by which a class's pairs are told to have met before.
 EARLIER = 8
-#: Keys in one bucket of the key shuffle, on average.
-BUCKET_KEYS = 1 << 20
+#: Shingles for which the key shuffle has one bucket, and keys that a bucket's task sorts at once.
+BUCKET_SHINGLES, SLICE_KEYS = 1 << 23, 1 << 20
+#: Bits of a key that are sent, beside its bucket.
+SENT_BITS = 32
 #: Sets compared with a hub in one task's run.
 SALT_SETS = 512
 
@@ -117,12 +120,15 @@ class Bands:
         return -(-low * self.percent // 100)
 
 
-def sketch_keys(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sketch_keys(
+    sets: list[np.ndarray], percent: int = PERCENT, sent: int = SENT_BITS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(set, key, tag)`` for each block that a set must be found by, in all its bands.
 
     Blank blocks are left out as long as they are no more than the spare ones: similar sets then
     still agree in a block that is not blank. The tag is ``band * 65536`` plus the number of keys
-    that the set may yet do without in that band.
+    that the set may yet do without in that band. Keys of a set that are alike in their ``sent`` low
+    bits may become one where only these are sent, so the number is less by those.
     """
     bands = Bands(percent)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -147,7 +153,10 @@ def sketch_keys(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndar
         row, column = np.nonzero(~blank | (left < 0)[:, None])
         place = np.arange(m, dtype=np.uint64) + np.uint64((number + 1) << 32)
         owner.append(inside[row])
-        keys.append(mix(sketch ^ mix(place)[None, :])[row, column])
+        made = mix(sketch ^ mix(place)[None, :])
+        low_bits = np.sort((made & np.uint64((1 << sent) - 1)).astype(np.uint32), axis=1)
+        left -= (low_bits[:, 1:] == low_bits[:, :-1]).sum(axis=1)
+        keys.append(made[row, column])
         tags.append((number << 16) + np.minimum(np.maximum(left, 0), 65535)[row])
     return np.concatenate(owner), np.concatenate(keys), np.concatenate(tags)
 
@@ -178,7 +187,12 @@ def _row_key() -> Column:
 
 
 def _key_rows(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """Keys and classes, packed per bucket of keys and batch of documents."""
+    """Keys and classes, packed per bucket of keys and batch of documents.
+
+    Of a key its bucket and 32 bits are sent, with its class's place in a list of the classes that
+    the bucket gets from the batch. The longer a bucket, the more keys share an entry of that list.
+    Different keys that become one are one meeting more, no link less.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +210,7 @@ def _key_rows(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFr
                 # Few classes make many keys, so a key carries its class's place in a list.
                 used = [np.unique(owner[p], return_inverse=True) for p in parts]
                 columns = [
-                    [keys[p].tobytes() for p in parts],
+                    [(keys[p] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for p in parts],
                     [code[u].tobytes() for u, _ in used],
                     [_small(at.astype(np.uint32)) for _, at in used],
                     [_small(tags[p].astype(np.uint32)) for p in parts],
@@ -231,24 +245,40 @@ def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     classes that share too few keys with all others meet none of them.
     """
 
-    def flush(held: list[dict]) -> pa.RecordBatch | None:
-        keys = np.concatenate([np.frombuffer(h["keys"], dtype=np.uint64) for h in held])
-        cids = np.concatenate([np.frombuffer(h["cids"], dtype=np.int64)[_large(h["owners"])] for h in held])
-        tags = np.concatenate([_large(h["tags"]) for h in held])
+    def shared(keys: np.ndarray, cids: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, ...] | None:
+        """Sizes, keys, classes and tags of the groups of more than one class, by key."""
         order = np.lexsort((cids, keys))
         keys, cids, tags = keys[order], cids[order], tags[order]
         fresh = np.append(True, (keys[1:] != keys[:-1]) | (cids[1:] != cids[:-1]))
         keys, cids, tags = keys[fresh], cids[fresh], tags[fresh]
         edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         sizes = np.diff(np.append(edges, len(keys)))
-        shared = np.repeat(sizes > 1, sizes)
-        if not shared.any():
+        more = np.repeat(sizes > 1, sizes)
+        return (sizes[sizes > 1], keys[edges[sizes > 1]], cids[more], tags[more]) if more.any() else None
+
+    def flush(bucket: int, held: list[dict]) -> pa.RecordBatch | None:
+        lists = [np.frombuffer(h["cids"], dtype=np.int64) for h in held]
+        starts = np.cumsum([0, *map(len, lists)])[:-1]
+        listed = np.concatenate(lists)
+        owners = np.concatenate([_large(h["owners"]) + np.uint32(at) for h, at in zip(held, starts)])
+        tags = np.concatenate([_large(h["tags"]) for h in held])
+        keys = np.concatenate([np.frombuffer(h["keys"], dtype="<u4") for h in held])
+        # Sorted slice by slice, for memory; equal keys are in one slice.
+        slices = -(-len(keys) // SLICE_KEYS)
+        slice_of = (keys.astype(np.uint64) * np.uint64(slices) >> np.uint64(32)).astype(np.uint16)
+        found = []
+        for k in range(slices):
+            at = np.flatnonzero(slice_of == k)
+            whole = keys[at] | ((tags[at] >> 16).astype(np.uint64) << np.uint64(32))  # a key is of one band
+            if len(at) and (some := shared(whole, listed[owners[at]], tags[at])) is not None:
+                found.append(some)
+        if not found:
             return None
-        keys, cids, tags, sizes = keys[shared], cids[shared], tags[shared], sizes[sizes > 1]
+        sizes, keys, cids, tags = (np.concatenate(c) for c in zip(*found))
         begins = np.cumsum(sizes) - sizes
         # A small group's code depends on its members alone, so equal groups are one meeting.
         code = mix(np.add.reduceat(mix(cids.view(np.uint64) + np.uint64(7)), begins) + sizes.astype(np.uint64))
-        code = np.where(sizes > LARGE, keys[begins], code)
+        code = np.where(sizes > LARGE, mix(keys ^ mix(np.array([bucket + 1], dtype=np.uint64))), code)
         own = mix(code ^ mix((tags[begins] >> 16).astype(np.uint64)))  # counted for each band
         _, first, count = np.unique(own, return_index=True, return_counts=True)
         times = np.zeros(len(sizes), dtype=np.int64)
@@ -262,16 +292,17 @@ def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             for row in batch.to_pylist():
                 if row["bucket"] != now and held:
-                    if (found := flush(held)) is not None:
+                    if (found := flush(now, held)) is not None:
                         yield found
                     held = []
                 now = row["bucket"]
                 held.append(row)
-        if held and (found := flush(held)) is not None:
+        if held and (found := flush(now, held)) is not None:
             yield found
 
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     found = keep(map_batches(dealt, run, "meeting long, cid long, n long, crowd long, tag long"), "meetings", "zstd")
+    release(rows.sparkSession)  # the keys, before groups are shuffled
     band, spare = F.shiftright("tag", 16), F.col("tag").bitwiseAND(65535)
     # A small group may come from several buckets: the sum to a group holds all keys of it.
     crowded = Window.partitionBy("cid", "band").orderBy(F.desc("crowd"), "meeting")
@@ -297,7 +328,9 @@ def _packed_texts(docs: DataFrame, classes: DataFrame, cids: DataFrame, words: i
                 small = [len(t).to_bytes(8, "little") + pa.compress(t, codec="zstd", asbytes=True) for t in texts]
                 yield pa.record_batch([cids, pa.array(small, pa.binary())], ["cid", "packed"])
 
-    texts = docs.select(_row_key(), "text").join(wanted, "row_key")
+    wanted = keep(wanted, "wanted")
+    near = may_be_in(wanted, "row_key")
+    texts = docs.select(_row_key(), "text").where(near("row_key")).join(wanted, "row_key")
     return map_batches(texts, packed, "cid long, packed binary").dropDuplicates(["cid"])
 
 
@@ -361,7 +394,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     spark = docs.sparkSession
     classes = keep(_classes(docs, words, percent), "classes")
     total = classes.where("n > 0").agg(F.sum("n").alias("n")).first().n or 0
-    buckets = max(1, total // BUCKET_KEYS)
+    buckets = max(1, total // BUCKET_SHINGLES, min(total // SLICE_KEYS, spark.sparkContext.defaultParallelism))
     thinned, found = _meetings(_key_rows(docs, words, percent, buckets), buckets)
     meetings = keep(thinned, "meetings")
     remove(spark, found)
@@ -577,6 +610,7 @@ def keep_representatives(docs: DataFrame, words: int = WORDS, percent: int = PER
     """
     found = keep(similar_components(docs, words, percent), "components")
     stays = F.coalesce(F.expr("n_shingles = 0 OR doc_id IS NULL OR doc_id = component_id"), F.lit(False))
-    # Fewer ids go than stay, and these move.
-    gone = found.groupBy("doc_id").agg(F.max(stays).alias("stays")).where("NOT stays").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # Fewer ids go than stay. A row that is not like any of them stays where it is.
+    gone = keep(found.groupBy("doc_id").agg(F.max(stays).alias("stays")).where("NOT stays").select("doc_id"), "gone")
+    near = may_be_in(gone, "doc_id")("doc_id")
+    return docs.where(~near).union(docs.where(near).join(gone, "doc_id", "left_anti").select(*docs.columns))

@@ -25,6 +25,7 @@ from pairloom.llm import (
     topk,
 )
 from pairloom.llm.components import components
+from pairloom.llm.key_filter import may_be_in
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACED = re.compile("[^\x20\x09-\x0d]+")
@@ -473,6 +474,66 @@ def test_sketch_keys_meet_for_every_similar_pair():
                             assert len(both) > spare, (n, gone, new)
 
 
+def test_sent_bits_of_keys_lose_no_similar_pair():
+    """Keys of eight bits are alike within a set all the time; what is left out must allow for it."""
+    rng = np.random.default_rng(9)
+    for n in [40, 90, 150, 300]:
+        for _ in range(20):
+            whole = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+            gone = n // 9
+            sets = [np.unique(whole[:n]), np.unique(whole[gone : n + gone // 8])]
+            if not jaccard_join.links(*map(len, sets), len(np.intersect1d(*sets)), 80):
+                continue
+            owner, keys, tags = jaccard_join.sketch_keys(sets, 80, sent=8)
+            band = next(b for b, (low, high) in enumerate(jaccard_join.Bands(80).bounds(5000)) if low <= max(map(len, sets)) <= high)
+            own = [(owner == k) & (tags >> 16 == band) for k in (0, 1)]
+            short = [set((keys[m] & np.uint64(255)).tolist()) for m in own]
+            assert len(short[0] & short[1]) > max(int((tags[m] & 65535).max()) for m in own)
+
+
+def test_what_is_sent_of_a_key(documents):
+    """A key, its class and tag need less than 8 bytes, also where a batch goes to several buckets."""
+    rng = np.random.default_rng(6)
+    docs = documents([(i, " ".join(f"w{k}" for k in rng.integers(0, 10**6, 300))) for i in range(300)], parts=1)
+    for buckets in (1, 6):
+        rows = jaccard_join._key_rows(docs, 5, 80, buckets).collect()
+        n = sum(int.from_bytes(r.tags[:8], "little") for r in rows)
+        assert n > 20000 and sum(len(r[c]) for r in rows for c in jaccard_join._KEYED) < 8 * n
+
+
+def test_slices_of_a_bucket_change_no_meeting(documents, monkeypatch):
+    rows = graded(1)
+    met = []
+    for size in (1 << 20, 50):
+        monkeypatch.setattr(jaccard_join, "SLICE_KEYS", size)
+        held, _ = jaccard_join._meetings(jaccard_join._key_rows(documents(rows), 5, 80, 2), 2)
+        met.append(sorted(map(tuple, held.collect())))
+    assert met[0] == met[1] and met[0]
+
+
+def test_a_filter_of_keys_passes_all_of_them_and_few_others(spark):
+    keys = spark.range(0, 300_000, 10).toDF("doc_id").union(spark.sql("SELECT CAST(NULL AS LONG)"))
+    rows = spark.range(300_000).toDF("doc_id").union(spark.sql("SELECT CAST(NULL AS LONG)"))
+    passed = {r.doc_id for r in rows.where(may_be_in(keys, "doc_id")("doc_id")).collect()}
+    assert passed >= {None, *range(0, 300_000, 10)} and len(passed) < 30_001 + 270_000 / 12
+    assert not rows.where(may_be_in(keys.limit(0), "doc_id")("doc_id")).count()
+
+
+def test_only_texts_that_may_go_are_shuffled(documents, spark):
+    """Of 2,000 texts one goes: the join with the ids that go gets hardly any other."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(8))) for i in range(2000)]
+    docs = documents([*rows, (9000, rows[7][1])])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard_join.keep_representatives(docs)
+        assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [i for i, _ in rows]
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        joined = plan[plan.index("Join LeftAnti") :]
+        assert "Filter" in joined and "UDF" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_representatives_and_empty_tables(documents, spark):
     docs = documents([(1, "a b c d e"), (2, "A b c d e"), (3, None), (4, ""), (None, "a b c d e"), (5, "q r s t")])
     kept = jaccard_join.keep_representatives(docs)
