@@ -36,7 +36,7 @@ TILE = 2048
 #: Groups, the largest first, by which a class's pairs are told to have met before.
 EARLIER = 8
 #: Shingles for which the key shuffle has one bucket, and keys that a bucket's task sorts at once.
-BUCKET_SHINGLES, SLICE_KEYS = 1 << 23, 1 << 20
+BUCKET_SHINGLES, SLICE_KEYS = 1 << 22, 1 << 19
 #: Bits of a key that are sent, beside its bucket.
 SENT_BITS = 32
 #: Sets compared with a hub in one task's run.
@@ -154,7 +154,8 @@ def sketch_keys(
         place = np.arange(m, dtype=np.uint64) + np.uint64((number + 1) << 32)
         owner.append(inside[row])
         made = mix(sketch ^ mix(place)[None, :])
-        low_bits = np.sort((made & np.uint64((1 << sent) - 1)).astype(np.uint32), axis=1)
+        low_bits = made.astype(np.uint32) & np.uint32((1 << sent) - 1)
+        low_bits.sort(axis=1)
         left -= (low_bits[:, 1:] == low_bits[:, :-1]).sum(axis=1)
         keys.append(made[row, column])
         tags.append((number << 16) + np.minimum(np.maximum(left, 0), 65535)[row])
@@ -257,15 +258,21 @@ def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
         return (sizes[sizes > 1], keys[edges[sizes > 1]], cids[more], tags[more]) if more.any() else None
 
     def flush(bucket: int, held: list[dict]) -> pa.RecordBatch | None:
-        lists = [np.frombuffer(h["cids"], dtype=np.int64) for h in held]
-        starts = np.cumsum([0, *map(len, lists)])[:-1]
-        listed = np.concatenate(lists)
-        owners = np.concatenate([_large(h["owners"]) + np.uint32(at) for h, at in zip(held, starts)])
-        tags = np.concatenate([_large(h["tags"]) for h in held])
-        keys = np.concatenate([np.frombuffer(h["keys"], dtype="<u4") for h in held])
+        listed = np.concatenate([np.frombuffer(h["cids"], dtype=np.int64) for h in held])
+        ends = np.cumsum([len(h["keys"]) // 4 for h in held])
+        keys, owners, tags = (np.empty(ends[-1], dtype=np.uint32) for _ in range(3))
+        start = 0
+        for low, high, h in zip([0, *ends], ends, held):
+            keys[low:high] = np.frombuffer(h["keys"], dtype="<u4")
+            owners[low:high] = _large(h["owners"])
+            owners[low:high] += np.uint32(start)
+            tags[low:high] = _large(h["tags"])
+            start += len(h["cids"]) // 8
+        held.clear()
         # Sorted slice by slice, for memory; equal keys are in one slice.
-        slices = -(-len(keys) // SLICE_KEYS)
-        slice_of = (keys.astype(np.uint64) * np.uint64(slices) >> np.uint64(32)).astype(np.uint16)
+        bits = max(0, len(keys) - 1).bit_length() - (SLICE_KEYS - 1).bit_length()
+        slices = 1 << max(0, min(bits, 8))
+        slice_of = (keys >> np.uint32(24)).astype(np.uint8) >> np.uint8(9 - slices.bit_length())
         found = []
         for k in range(slices):
             at = np.flatnonzero(slice_of == k)
@@ -290,13 +297,14 @@ def _meetings(rows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != now and held:
+            buckets = batch.column("bucket").to_pylist()
+            for k, bucket in enumerate(buckets):
+                if bucket != now and held:
                     if (found := flush(now, held)) is not None:
                         yield found
                     held = []
-                now = row["bucket"]
-                held.append(row)
+                now = bucket
+                held.append({c: memoryview(batch.column(c)[k].as_buffer()) for c in _KEYED})
         if held and (found := flush(now, held)) is not None:
             yield found
 
